@@ -61,16 +61,22 @@ def stock_from_marker(out: Column) -> Column:
     return F.when(out, "Out of Stock").otherwise("In Stock")
 
 
+def title_case(c: Column | str) -> Column:
+    """Every run of letters starts with a capital, also after digits and apostrophes."""
+    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
+
+
 def category_from_url(url: Column | str) -> Column:
     """Last path segment without the query, in title case."""
     path = F.rtrim(F.split_part(_col(url), F.lit("?"), F.lit(1)), F.lit("/"))
-    return F.initcap(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("-"), F.lit(" ")))
+    return title_case(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("-"), F.lit(" ")))
 
 
 def listing_key(url: Column | str) -> Column:
     """Last segment first, query dropped afterwards."""
     segment = F.element_at(F.split(F.rtrim(_col(url), F.lit("/")), "/"), -1)
-    return F.initcap(F.replace(F.split_part(segment, F.lit("?"), F.lit(1)), F.lit("-"), F.lit(" ")))
+    return title_case(F.replace(F.split_part(segment, F.lit("?"), F.lit(1)), F.lit("-"), F.lit(" ")))
 
 
 def crumb_at(crumbs: Column | str, position: int) -> Column:

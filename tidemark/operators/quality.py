@@ -143,11 +143,11 @@ def _source_checks(df: DataFrame, known: list[str]) -> list[tuple]:
     def some(cond: Column) -> list:
         return counts.where(cond).orderBy("source").limit(NAMES_IN_DETAIL).collect()
 
-    names = ", ".join(r["source"] for r in some(strange)) if found["strange"] else ""
-    low = ", ".join(f"{r['source']}: {r['n']}" for r in some(rare)) if found["rare"] else ""
+    names = ", ".join(repr(r["source"]) for r in some(strange)) if found["strange"] else ""
+    low = {r["source"]: r["n"] for r in some(rare)} if found["rare"] else {}
     return [
-        ("all sources are known", found["strange"] == 0, f"unknown: {names}" if names else ""),
-        ("each source has >= 5 records", found["rare"] == 0, f"low-count sources: {{{low}}}"),
+        ("all sources are known", found["strange"] == 0, f"unknown: {{{names}}}" if names else ""),
+        ("each source has >= 5 records", found["rare"] == 0, f"low-count sources: {low}"),
     ]
 
 
