@@ -13,13 +13,11 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
 from tidemark.functions import parsing as p
-from tidemark.operators.history import latest_row
-from tidemark.operators.staging import sellable
 from tidemark.schema import PRICE_COLUMNS
 
 RAW_FIELDS = (
@@ -260,7 +258,7 @@ def read_raw_fields(pages: DataFrame) -> DataFrame:
     return known.select("site", "url", "html", "fetched_at").mapInPandas(_read_pages, RAW_FIELDS)
 
 
-def _to_items(raw: DataFrame) -> DataFrame:
+def _to_items(raw: DataFrame, *extra: str | Column) -> DataFrame:
     site = F.col("site")
     symbol = site.isin("books.toscrape.com", "scrapeme.live")
     rating = (
@@ -280,6 +278,7 @@ def _to_items(raw: DataFrame) -> DataFrame:
         .otherwise(c.first_match("page_category", p.category_from_url("url")))
     )
     return raw.select(
+        *extra,
         c.product_id_from_url("href").alias("product_id"),
         site.alias("source"),
         F.col("href").alias("url"),
@@ -294,39 +293,43 @@ def _to_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def merge_detail(listing: DataFrame, detail: DataFrame, how: str = "inner") -> DataFrame:
-    """Listing items completed by the detail page of the same day.
+def merge_detail(raw: DataFrame, how: str = "inner") -> DataFrame:
+    """Items of the two-step shops: each listing completed by the detail page of the same URL and day.
 
-    Both sides are first reduced to one row per URL and day, so a link that is listed very often does
-    not make one task large. ``how="inner"`` keeps items whose detail page was read, ``"left"`` all.
+    Listing and detail rows meet in one aggregation by URL and day, so pages are read once and a link
+    that is listed very often is combined before the shuffle. ``how="inner"`` keeps items whose detail
+    page was read, ``"left"`` all of them.
     """
-    day = F.to_date("scraped_at")
-    left = latest_row(listing.withColumn("_day", day), ["url", "_day"])
-    right = latest_row(detail.withColumn("_day", day), ["url", "_day"], ["price_text"]).select(
-        "url",
-        "_day",
-        p.parse_price_fr("price_text").alias("d_price"),
-        F.col("crumbs").alias("d_crumbs"),
-        p.stock_from_marker(F.col("out_marked")).alias("d_availability"),
-        F.col("image_url").alias("d_image"),
+    is_detail = F.col("kind") == "detail"
+    items = _to_items(
+        raw,
+        "kind",
+        "crumbs",
+        F.to_date("scraped_at").alias("day"),
     )
-    merged = left.join(right, ["url", "_day"], how)
-    return (
-        merged.withColumn("price", F.coalesce(F.when(F.col("d_price") > 0, F.col("d_price")), F.col("price")))
-        .withColumn("category", F.coalesce(p.crumb_before_last("d_crumbs", "category"), F.col("category")))
-        .withColumn("availability", F.coalesce("d_availability", "availability"))
-        .withColumn("image_url", F.coalesce(F.nullif("d_image", F.lit("")), F.col("image_url")))
-        .select(*PRICE_COLUMNS)
+    listed = ~is_detail & (F.col("title") != "") & (F.col("price") != 0)
+    item = F.struct(*PRICE_COLUMNS)
+    page = F.struct("price", "crumbs", "availability", "image_url")
+    latest = F.struct("scraped_at", "price")
+    merged = items.groupBy("url", "day").agg(
+        F.max_by(item, F.when(listed, latest)).alias("l"), F.max_by(page, F.when(is_detail, latest)).alias("d")
     )
+    merged = merged.where(F.col("l").isNotNull() & (F.col("d").isNotNull() if how == "inner" else F.lit(True)))
+    better = {
+        "price": F.coalesce(F.when(F.col("d.price") > 0, F.col("d.price")), F.col("l.price")),
+        "category": F.coalesce(p.crumb_before_last("d.crumbs", "l.category"), F.col("l.category")),
+        "availability": F.coalesce("d.availability", "l.availability"),
+        "image_url": F.coalesce(F.nullif("d.image_url", F.lit("")), F.col("l.image_url")),
+    }
+    return merged.select(*[better.get(x, F.col(f"l.{x}")).alias(x) for x in PRICE_COLUMNS])
 
 
 def extract_products(pages: DataFrame, how: str = "inner") -> DataFrame:
-    """All five shops: complete items, listings of the two-step shops merged with their detail pages."""
-    raw = read_raw_fields(pages)
+    """All five shops: complete items, and listings of the two-step shops merged with their details."""
+    if "site" not in pages.columns:
+        pages = pages.withColumn("site", site_of(F.col("url")))
     two_step = [site for site, layout in LAYOUTS.items() if len(layout) == 2]
-    direct = raw.where(~F.col("site").isin(two_step))
-    items = _to_items(direct)
-    simple = items.where(F.col("source") != "jumia.ma").unionByName(sellable(items.where(F.col("source") == "jumia.ma")))
-    listing = sellable(_to_items(raw.where(F.col("site").isin(two_step) & (F.col("kind") == "listing"))))
-    detail = raw.where(F.col("site").isin(two_step) & (F.col("kind") == "detail"))
-    return simple.select(*PRICE_COLUMNS).unionByName(merge_detail(listing, detail, how))
+    direct = _to_items(read_raw_fields(pages.where(~F.col("site").isin(two_step))))
+    unsellable = (F.col("source") == "jumia.ma") & ((F.col("title") == "") | (F.col("price") == 0))
+    merged = merge_detail(read_raw_fields(pages.where(F.col("site").isin(two_step))), how)
+    return direct.where(~unsellable).unionByName(merged)
