@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.functions import cleaning as c
 from tidemark.functions import special as s
 from tidemark.operators.descriptive import in_top_categories, top_categories
-from tidemark.operators.distribution import counts_by_group, mid_ranks, profile, quantiles, summarise
+from tidemark.operators.distribution import ValueProfile, counts_by_group, mid_ranks, profile, quantiles, summarise
 from tidemark.operators.sampling import sample_per_group
 from tidemark.operators.small import attach, localize
 
@@ -109,9 +109,8 @@ def welch_t(df: DataFrame, group: str = "source", col: str = "price", alpha: flo
     return out.orderBy("p_value", f"{group}_a", f"{group}_b")
 
 
-def _pair_statistics(df: DataFrame, group: str, groups: list, col: str) -> list[tuple]:
+def _pair_statistics(df: DataFrame, group: str, groups: list, col: str, prof: ValueProfile) -> list[tuple]:
     """(a, b, U of a, tie sum) for every pair, all from one ordered table of value counts."""
-    prof = profile(df, col)
     table, cells = counts_by_group(df, group, groups, col, prof)
     wanted = list(combinations(range(len(groups)), 2))
     out = []
@@ -128,17 +127,19 @@ def _pair_statistics(df: DataFrame, group: str, groups: list, col: str) -> list[
 
 
 def mann_whitney(
-    df: DataFrame, group: str = "source", col: str = "price", alpha: float = ALPHA, min_n: int = 1
+    df: DataFrame, group: str = "source", col: str = "price", alpha: float = ALPHA, min_n: int = 1,
+    prof: ValueProfile | None = None,
 ) -> DataFrame:
     """Pairwise rank test, two-sided. U counts, for the first group, the rows of the second below its
     own, ties as one half. Exact law where one group has at most 8 rows and nothing is tied."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
-    sizes = summarise(rows, [group], col, [F.count(col).alias("n")], {"median": 0.5}).where(F.col("n") >= min_n)
+    prof = prof or profile(rows, col)
+    sizes = summarise(rows, [group], col, [F.count(col).alias("n")], {"median": 0.5}, prof).where(F.col("n") >= min_n)
     sizes = localize(sizes)
     groups = [r[0] for r in sizes.select(group).orderBy(group).collect()]
     kind = df.schema[group].dataType
     stats = df.sparkSession.createDataFrame(
-        _pair_statistics(rows, group, groups, col),
+        _pair_statistics(rows, group, groups, col, prof),
         T.StructType([
             T.StructField(f"{group}_a", kind), T.StructField(f"{group}_b", kind),
             T.StructField("u", T.DoubleType()), T.StructField("ties", T.DoubleType()),
@@ -182,13 +183,15 @@ def matrix_wide(matrix: DataFrame) -> DataFrame:
     return matrix.groupBy("row").pivot("col").agg(F.first("log10_p"))
 
 
-def kruskal(df: DataFrame, group: str = "source", col: str = "price", min_n: int = 1) -> DataFrame:
+def kruskal(
+    df: DataFrame, group: str = "source", col: str = "price", min_n: int = 1, prof: ValueProfile | None = None
+) -> DataFrame:
     """Rank-based analysis of variance with tie correction: H, p and epsilon squared."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
     if min_n > 1:
         kept = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_n).select(group)
         rows = attach(rows, kept, [group], how="inner")
-    ranks = mid_ranks(rows, group, col)
+    ranks = mid_ranks(rows, group, col, prof)
     ties = F.col("ties").cast("double")
     sums = localize(
         ranks.groupBy(group).agg(

@@ -12,6 +12,7 @@ from tidemark.operators.distribution import summarise
 from tidemark.operators.history import dedupe_daily, price_changes
 from tidemark.operators.staging import stage_prices
 from tidemark.schema import CURRENT_COLUMNS, HISTORY_COLUMNS
+from tidemark.sources.files import materialize, read_mart, write_history
 
 # Alert threshold in percent and look-back in days.
 ALERT_DROP_PCT = 5
@@ -98,11 +99,8 @@ def price_alerts(
     )
 
 
-def build_marts(
-    raw: DataFrame, as_of: dt.date | str | Column | None = None, tie_break: list[str] | None = None
-) -> dict[str, DataFrame]:
-    """All marts over one deduplicated relation, which is kept for the three readers of it."""
-    deduped = dedupe_daily(stage_prices(raw), tie_break).persist(StorageLevel.MEMORY_AND_DISK)
+def build_marts(deduped: DataFrame, as_of: dt.date | str | Column | None = None) -> dict[str, DataFrame]:
+    """All marts over one deduplicated relation."""
     changes = price_changes(deduped)
     return {
         "current_prices": current_prices(deduped),
@@ -110,3 +108,24 @@ def build_marts(
         "price_stats": price_stats(deduped),
         "price_alerts": price_alerts(changes, as_of),
     }
+
+
+def publish_marts(
+    raw: DataFrame,
+    path: str,
+    as_of: dt.date | str | Column | None = None,
+    tie_break: list[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Build and write all marts below ``path``; the relation they share is kept while they are written."""
+    deduped = dedupe_daily(stage_prices(raw), tie_break).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        written = {}
+        for name, df in build_marts(deduped, as_of).items():
+            if name == "price_history":
+                write_history(df, f"{path}/{name}")
+                written[name] = read_mart(raw.sparkSession, f"{path}/{name}")
+            else:
+                written[name] = materialize(df, name, "table", path)
+        return written
+    finally:
+        deduped.unpersist()
