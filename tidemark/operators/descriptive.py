@@ -138,9 +138,9 @@ def median_pivot(df: DataFrame, categories: list[str] | None = None) -> DataFram
     return wide
 
 
-def daily_average(df: DataFrame) -> DataFrame:
+def daily_average(df: DataFrame, digits: int = 2) -> DataFrame:
     return df.groupBy("scraped_date", "source").agg(
-        F.round(F.avg("price"), 2).alias("avg_price"), F.count("price").alias("n")
+        F.round(F.avg("price"), digits).alias("avg_price"), F.count("price").alias("n")
     )
 
 

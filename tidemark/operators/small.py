@@ -41,5 +41,6 @@ def salted_join(
     df: DataFrame, summary: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    copies = summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    copies = summary.withColumn("_salt", F.explode(every))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -80,7 +80,7 @@ DED = STG + """, ded AS (
 
 def rnd(x: str, n: int) -> str:
     """Round half up on the shortest decimal text of a double, as the JVM does."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
 
 def pctl(x: str, share: float, cond: str = "") -> str:
@@ -456,15 +456,18 @@ register(
     )
 )
 
-WIDE = STG + """, wide AS (SELECT product_id || '#' || lpad(CAST(9223372036854775807 - epoch_ms(scraped_at) AS VARCHAR), 19, '0') AS row_key, * FROM stg)"""
+WIDE = STG + """, wide AS (SELECT product_id || '#' || lpad(CAST(9223372036854775807 - epoch_us(scraped_at) // 1000 AS VARCHAR), 19, '0') AS row_key, * FROM stg)"""
+
+
+BUCKETS = 8
 
 
 def wide_table(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice: the second version of each key must win."""
     path = fresh_dir(spark, "wide")
     rows = staged(spark, sf)
-    widerow.upsert_wide_row(rows.withColumn("price", F.lit(1.0)), path, F.lit("2024-01-01").cast("timestamp"))
-    widerow.upsert_wide_row(rows, path, F.lit("2024-01-02").cast("timestamp"))
+    widerow.upsert_wide_row(rows.withColumn("price", F.lit(1.0)), path, F.lit("2024-01-01").cast("timestamp"), BUCKETS)
+    widerow.upsert_wide_row(rows, path, F.lit("2024-01-02").cast("timestamp"), BUCKETS)
     return widerow.read_rows(spark, path)
 
 
@@ -477,10 +480,10 @@ register(
     )
 )
 register("wide_row_history", f"WITH {WIDE} SELECT row_key, price, rating FROM wide WHERE product_id = 'p8' ORDER BY row_key LIMIT 100")(
-    lambda s, f: widerow.product_history(wide_table(s, f), "p8").select("row_key", "price", "rating")
+    lambda s, f: widerow.product_history(wide_table(s, f), "p8", buckets=BUCKETS).select("row_key", "price", "rating")
 )
 register("wide_row_latest", f"WITH {WIDE} SELECT row_key, price FROM wide WHERE product_id = 'p8' ORDER BY row_key LIMIT 1")(
-    lambda s, f: widerow.latest_price(wide_table(s, f), "p8").select("row_key", "price")
+    lambda s, f: widerow.latest_price(wide_table(s, f), "p8", BUCKETS).select("row_key", "price")
 )
 register("wide_row_scan", f"WITH {WIDE} SELECT row_key, price FROM wide ORDER BY row_key LIMIT 1000")(
     lambda s, f: widerow.scan_all(wide_table(s, f), 1000).select("row_key", "price")
@@ -674,8 +677,8 @@ register("median_pivot", f"WITH {STG} SELECT source, " + ", ".join(
     rnd(pctl("price", 0.5, f" FILTER (WHERE category = '{x}')"), 2) + f' AS "{x}"' for x in CATS) + " FROM pos GROUP BY source")(
     lambda s, f: d.median_pivot(positive(s, f), CATS)
 )
-register("daily_average", f"""WITH {STG} SELECT scraped_date, source, {rnd('avg(price)', 2)} AS avg_price, count(price) AS n
-  FROM pos GROUP BY 1, 2""")(lambda s, f: d.daily_average(positive(s, f)))
+register("daily_average", f"""WITH {STG} SELECT scraped_date, source, {rnd('avg(price)', 6)} AS avg_price, count(price) AS n
+  FROM pos GROUP BY 1, 2""")(lambda s, f: d.daily_average(positive(s, f), digits=6))
 register("daily_volume", f"WITH {STG} SELECT scraped_date, count(*) AS records FROM pos GROUP BY 1")(
     lambda s, f: d.daily_volume(positive(s, f))
 )
@@ -757,7 +760,7 @@ register("density_grid", f"""WITH {STG}, lim AS (SELECT source, n, lo, hi, 1.059
   bins AS (SELECT source, least(floor((price - lo) / ((hi - lo) / 200)), 199) AS bin, count(*) AS m FROM pos JOIN lim USING (source) GROUP BY 1, 2),
   grid AS (SELECT unnest(range(0, 64)) AS point)
   SELECT source, CAST(point AS INTEGER) AS point, {rnd('any_value(lo + point * (hi - lo) / 63)', 6)} AS x,
-    {rnd('sum(m * exp(-(((lo + point * (hi - lo) / 63) - (lo + (bin + 0.5) * ((hi - lo) / 200))) / h) ** 2 / 2) / sqrt(2 * pi()) / (n * h))', 8)} AS density
+    {rnd('sum(m * exp(-0.5 * ((((lo + point * (hi - lo) / 63) - (lo + (bin + 0.5) * ((hi - lo) / 200))) / h) ** 2)) / sqrt(2 * pi()) / (n * h))', 8)} AS density
   FROM bins JOIN lim USING (source), grid GROUP BY 1, 2""")(
     lambda s, f: d.density_grid(positive(s, f)).select(
         "source", "point", F.round("x", 6).alias("x"), F.round("density", 8).alias("density")
@@ -1130,7 +1133,7 @@ def stream_current(spark: SparkSession, sf: str) -> DataFrame:
 def stream_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = fresh_dir(spark, "swide")
     stream = st.stage_prices(tables.raw_from_events(tables.stream_table(spark, sf, "events")))
-    sink = ingest.Sink("wide", lambda batch, _: widerow.upsert_wide_row(batch, f"{base}/wide"))
+    sink = ingest.Sink("wide", lambda batch, _: widerow.upsert_wide_row(batch, f"{base}/wide", buckets=BUCKETS))
     run(ingest.start(stream, [sink], f"{base}/cp"))
     widerow.compact(widerow.read_rows(spark, f"{base}/wide"), f"{base}/compact")
     return widerow.decode_wide_row(widerow.read_rows(spark, f"{base}/compact")).select("row_key", "price", "rating")

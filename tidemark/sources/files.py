@@ -16,6 +16,8 @@ from tidemark.schema import PRICE_SCHEMA
 log = logging.getLogger(__name__)
 
 CORRUPT = "_corrupt_record"
+# Keeps the microseconds that the default JSON format drops.
+JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +78,7 @@ def load_raw(df: DataFrame, path: str) -> DataFrame:
 
 def write_jsonl(df: DataFrame, folder: str) -> None:
     """JSON lines in one sub-folder per source; the source stays in each record."""
-    df.withColumn("spider", F.col("source")).write.mode("append").partitionBy("spider").json(folder)
+    df.withColumn("spider", F.col("source")).write.mode("append").options(**JSON_TIME).partitionBy("spider").json(folder)
 
 
 def read_mart(spark: SparkSession, name: str) -> DataFrame:

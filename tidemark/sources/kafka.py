@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schema import PRICE_COLUMNS
-from tidemark.sources.files import parse_records
+from tidemark.sources.files import JSON_TIME, parse_records
 
 TOPIC = "price.raw"
 
@@ -36,7 +36,7 @@ def to_messages(df: DataFrame, source: str | None = None) -> DataFrame:
         df = df.where(F.col("source") == source)
     key = F.coalesce(F.nullif("product_id", F.lit("")), F.col("title"), F.lit(""))
     record = F.struct(*[x for x in PRICE_COLUMNS if x in df.columns])
-    return df.select(F.nullif(key, F.lit("")).alias("key"), F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
+    return df.select(F.nullif(key, F.lit("")).alias("key"), F.to_json(record, {"ignoreNullFields": "false", **JSON_TIME}).alias("value"))
 
 
 def publish(df: DataFrame, servers: str, topic: str = TOPIC, source: str | None = None) -> None:

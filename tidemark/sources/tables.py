@@ -28,9 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
+    """The same table as a file stream; the pattern matches a single file as well as a folder."""
     schema = read_table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def raw_from_events(events: DataFrame) -> DataFrame:

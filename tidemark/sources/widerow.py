@@ -37,7 +37,7 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def encode_rows(df: DataFrame, written_at: Column | None = None) -> DataFrame:
+def encode_rows(df: DataFrame, written_at: Column | None = None, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Observations as wide rows. Rows without a product id are refused by the caller (see ``writable``)."""
     return df.select(
         c.row_key("product_id", "scraped_at").alias("row_key"),
@@ -45,7 +45,7 @@ def encode_rows(df: DataFrame, written_at: Column | None = None) -> DataFrame:
         F.struct(*[c.encode_cell(x).alias(x) for x in METADATA_CELLS]).alias("metadata_cf"),
         F.lit(None).cast("map<string,string>").alias("agg_cf"),
         (F.current_timestamp() if written_at is None else written_at).alias("written_at"),
-        key_bucket(F.col("product_id")).alias("key_bucket"),
+        key_bucket(F.col("product_id"), buckets).alias("key_bucket"),
     )
 
 
@@ -55,13 +55,15 @@ def writable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(named), df.where(~named)
 
 
-def upsert_wide_row(df: DataFrame, path: str, written_at: Column | None = None) -> None:
+def upsert_wide_row(
+    df: DataFrame, path: str, written_at: Column | None = None, buckets: int = KEY_BUCKETS
+) -> None:
     """Append the last version of each key of this batch.
 
     Rows are ordered by key within range partitions, so a product with very many rows is spread over
     several files.
     """
-    rows = latest_version(encode_rows(writable(df)[0], written_at))
+    rows = latest_version(encode_rows(writable(df)[0], written_at, buckets))
     (
         rows.repartitionByRange("key_bucket", "row_key")
         .sortWithinPartitions("key_bucket", "row_key")
@@ -81,20 +83,20 @@ def decode_wide_row(rows: DataFrame) -> DataFrame:
     return cells.withColumn("price", c.to_number("price")).withColumn("rating", c.to_number("rating"))
 
 
-def product_rows(rows: DataFrame, product_id: str) -> DataFrame:
+def product_rows(rows: DataFrame, product_id: str, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Range of keys of one product: ``id#`` <= key < ``id$``."""
-    bucket = key_bucket(F.lit(product_id))
+    bucket = key_bucket(F.lit(product_id), buckets)
     in_range = (F.col("row_key") >= f"{product_id}#") & (F.col("row_key") < f"{product_id}$")
     return latest_version(rows.where((F.col("key_bucket") == bucket) & in_range))
 
 
-def product_history(rows: DataFrame, product_id: str, limit: int = 100) -> DataFrame:
+def product_history(rows: DataFrame, product_id: str, limit: int = 100, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Observations of a product, newest first."""
-    return decode_wide_row(product_rows(rows, product_id).orderBy("row_key").limit(limit))
+    return decode_wide_row(product_rows(rows, product_id, buckets).orderBy("row_key").limit(limit))
 
 
-def latest_price(rows: DataFrame, product_id: str) -> DataFrame:
-    return product_history(rows, product_id, 1)
+def latest_price(rows: DataFrame, product_id: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    return product_history(rows, product_id, 1, buckets)
 
 
 def scan_all(rows: DataFrame, limit: int = 1000) -> DataFrame:

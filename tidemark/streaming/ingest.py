@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamReader, StreamingQuery, StreamingQue
 from tidemark.functions import cleaning as c
 from tidemark.operators.staging import STREAM_DEFAULTS, default_fields, reject_reason
 from tidemark.schema import PRICE_COLUMNS
-from tidemark.sources.files import CORRUPT, parse_records
+from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records
 
 log = logging.getLogger(__name__)
 
@@ -144,6 +144,7 @@ def stream_to_jsonl(df: DataFrame, folder: str, checkpoint: str) -> StreamingQue
     """Append a stream to JSON lines files, each record exactly once."""
     return (
         df.writeStream.format("json")
+        .options(**JSON_TIME)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
