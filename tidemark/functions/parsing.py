@@ -8,33 +8,37 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleaning import _col, lookup
 from tidemark.schema import STARS_BY_WORD
 
+# The characters that count as white space.
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
+
 
 def parse_price_fr(c: Column | str) -> Column:
     """'4 299,00 DH' -> 4299.0. The rightmost of , and . is the decimal mark; a lone comma
     before exactly three digits groups thousands; text that is no number gives 0."""
-    text = F.regexp_replace(_col(c), r"(?U)[DdHhMmAa\s]", "")
-    has_comma, has_dot = F.contains(text, F.lit(",")), F.contains(text, F.lit("."))
-    comma_last = F.instr(F.reverse(text), ",") < F.instr(F.reverse(text), ".")
-    no_commas = F.regexp_replace(text, ",", "")
-    comma_to_dot = F.regexp_replace(text, ",", ".")
+    text = F.translate(_col(c), "DdHhMmAa" + SPACES, "")
+    comma, dot = F.contains(text, F.lit(",")), F.contains(text, F.lit("."))
+    dot_last = F.contains(F.substring_index(text, ",", -1), F.lit("."))
+    grouped = F.length(text) - F.instr(text, ",") == 3
     number = (
-        F.when(has_comma & has_dot & comma_last, F.regexp_replace(F.regexp_replace(text, r"\.", ""), ",", "."))
-        .when(has_comma & has_dot, no_commas)
-        .when(text.rlike(r"^\d+,.{3}$"), no_commas)
-        .otherwise(comma_to_dot)
+        F.when(~comma, text)
+        .when(dot & ~dot_last, F.translate(text, ",.", "."))
+        .when(dot | (grouped & text.rlike(r"^\d+,.{3}$")), F.translate(text, ",", ""))
+        .otherwise(F.translate(text, ",", "."))
     )
     return F.coalesce(_plain_number(number), F.lit(0.0))
 
 
 def parse_price_symbol(c: Column | str) -> Column:
     """'£51.77' -> 51.77; non-ASCII marks, $ , and spaces are dropped, other text gives 0."""
-    text = F.regexp_replace(_col(c), r"[^\x00-\x7F]|[$, ]", "")
+    text = F.translate(F.regexp_replace(_col(c), r"[^\x00-\x7F]+", ""), "$, ", "")
     return F.coalesce(_plain_number(text), F.lit(0.0))
 
 
 def _plain_number(text: Column) -> Column:
     """Cast that does not accept the type suffixes ('1d', '2f') the JVM would."""
-    return F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
+    return F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f"), text.try_cast("double"))
 
 
 def parse_star_width(c: Column | str) -> Column:

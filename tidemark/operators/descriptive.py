@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.distribution import ValueProfile, profile, quantiles, summarise, value_counts
+from tidemark.operators.distribution import count_values, quantiles, summarise
 from tidemark.operators.history import lag_price
 from tidemark.operators.small import attach, localize
 
@@ -37,10 +37,9 @@ def central_tendency(df: DataFrame, group: str = "source") -> DataFrame:
 
     All of it follows from the counts of the distinct values; the overall row reuses them.
     """
-    prof = profile(df, "price")
-    counts = value_counts(df, [group], "price")
-    overall = counts.groupBy("price").agg(F.sum("n").alias("n")).withColumn(group, F.lit(OVERALL))
-    both = counts.unionByName(overall)
+    counted = count_values(df, [group], "price")
+    overall = counted.table.groupBy("price").agg(F.sum("n").alias("n")).withColumn(group, F.lit(OVERALL))
+    both = counted.table.unionByName(overall)
     n = F.sum("n")
     aggs = [
         n.alias("n"),
@@ -51,13 +50,8 @@ def central_tendency(df: DataFrame, group: str = "source") -> DataFrame:
             / F.sum(F.when(F.col("price") > 0, F.col("n")))
         ).alias("geometric_mean"),
     ]
-    if prof.few:
-        out = both.groupBy(group).agg(*aggs, F.percentile("price", F.lit(0.5), F.col("n")).alias("median"))
-    else:
-        medians = quantiles(df, [group], "price", MEDIAN, prof).unionByName(
-            quantiles(df, [], "price", MEDIAN, prof).withColumn(group, F.lit(OVERALL))
-        )
-        out = both.groupBy(group).agg(*aggs).join(localize(medians), group, "left")
+    medians = counted.quantiles(MEDIAN).unionByName(counted.quantiles(MEDIAN, []).withColumn(group, F.lit(OVERALL)))
+    out = both.groupBy(group).agg(*aggs).join(localize(medians), group, "left")
     return _rounded(
         out.select(group, "n", "mean", "median", "mode", "geometric_mean"),
         {"mean": 2, "median": 2, "mode": 2, "geometric_mean": 2},
@@ -182,12 +176,12 @@ def with_zscore(df: DataFrame, group: str = "source") -> DataFrame:
 
 def outlier_summary(df: DataFrame, group: str = "source", k: float = 1.5, z: float = 3.0) -> DataFrame:
     """Outliers by the quartile fence and by z-score. The second pass runs over value counts."""
-    prof = profile(df, "price")
-    aggs = [F.count("price").alias("total"), F.avg("price").alias("mean"), F.stddev_pop("price").alias("sd")]
-    limits = summarise(df, [group], "price", aggs, QUARTILES, prof)
+    counted = count_values(df, [group], "price")
+    aggs = [F.avg("price").alias("mean"), F.stddev_pop("price").alias("sd")]
+    limits = summarise(df, [group], "price", aggs, QUARTILES, counted)
     low, high = _fences(k)
     limits = limits.withColumn("lower", low).withColumn("upper", high).drop("q25", "q75")
-    counts = attach(value_counts(df, [group], "price"), limits, [group])
+    counts = attach(counted.table, limits, [group])
     price, n = F.col("price"), F.col("n")
     fenced = F.sum(F.when((price < F.col("lower")) | (price > F.col("upper")), n).otherwise(0))
     extreme = F.sum(F.when(F.abs((price - F.col("mean")) / F.nullif("sd", F.lit(0.0))) > z, n).otherwise(0))
@@ -247,13 +241,13 @@ def histogram(
     )
 
 
-def box_stats(df: DataFrame, group: str = "source", k: float = 1.5, prof: ValueProfile | None = None) -> DataFrame:
+def box_stats(df: DataFrame, group: str = "source", k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (most distant values inside the fences) and number of points outside."""
-    prof = prof or profile(df, "price")
-    quarts = quantiles(df, [group], "price", {**QUARTILES, **MEDIAN}, prof)
+    counted = count_values(df, [group], "price")
+    quarts = counted.quantiles({**QUARTILES, **MEDIAN})
     low, high = _fences(k)
     limits = quarts.withColumn("lower", low).withColumn("upper", high)
-    counts = attach(value_counts(df, [group], "price"), limits, [group])
+    counts = attach(counted.table, limits, [group])
     inside = F.col("price").between(F.col("lower"), F.col("upper"))
     return counts.groupBy(group).agg(
         F.first("q25").alias("q25"),

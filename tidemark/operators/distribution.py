@@ -1,14 +1,16 @@
 """Exact quantiles and ranks without an unbounded sort in one task.
 
-Values are first reduced to counts. When the column has few distinct values (checked), the built-in
-``percentile`` or one window over the counts is enough. Otherwise the value range is cut into buckets
-of about equal weight; only bucket totals travel to the driver, and each bucket is sorted by itself.
-A heavy single value is one counted row, so it cannot make a bucket large.
+The rows are read once and reduced to counts of distinct values, which are written to the shared folder.
+All else works on these counts. When there are few of them, the built-in ``percentile`` or one window is
+enough. Otherwise the value range is cut into buckets with about the same number of distinct values;
+only bucket totals travel to the driver, and each bucket is sorted by itself. A value that a third of
+all rows share is one counted row, so it cannot make a bucket large.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
@@ -16,32 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import any_of
-from tidemark.operators.small import attach
+from tidemark.operators.small import attach, localize
+from tidemark.session import stash
 
-FEW_DISTINCT = 200_000
-BUCKETS = 1024
-
-
-@dataclass(frozen=True)
-class ValueProfile:
-    """What one pass over a column tells about its values."""
-
-    distinct: int
-    cuts: tuple[float, ...]
-
-    @property
-    def few(self) -> bool:
-        return not self.cuts
-
-
-def profile(df: DataFrame, col: str, few: int = FEW_DISTINCT, buckets: int = BUCKETS) -> ValueProfile:
-    """Approximate distinct count, and bucket limits where that count is high."""
-    distinct = df.agg(F.approx_count_distinct(col, 0.02)).first()[0] or 0
-    if distinct <= few:
-        return ValueProfile(distinct, ())
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(col, shares, max(10_000, 10 * buckets))).first()[0] or []
-    return ValueProfile(distinct, tuple(sorted(set(cuts))))
+FEW_COUNTS = 2_000_000
+COUNTS_PER_BUCKET = 200_000
+MAX_BUCKETS = 4096
 
 
 def value_counts(df: DataFrame, by: list[str], col: str) -> DataFrame:
@@ -49,8 +31,67 @@ def value_counts(df: DataFrame, by: list[str], col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def bucketed(df: DataFrame, col: str, cuts: tuple[float, ...]) -> DataFrame:
-    """Bucket number that grows with the value; the limits are literals, so reruns agree."""
+@dataclass(frozen=True)
+class Counted:
+    """Counts ``(by..., col, n)`` in a written table."""
+
+    table: DataFrame
+    by: list[str]
+    col: str
+    few: int
+    per_bucket: int
+
+    @cached_property
+    def size(self) -> int:
+        return self.table.count()
+
+    @cached_property
+    def cuts(self) -> tuple[float, ...]:
+        """Limits of the value buckets, empty if one bucket is enough."""
+        if self.size <= self.few:
+            return ()
+        buckets = min(MAX_BUCKETS, self.size // self.per_bucket + 2)
+        shares = [i / buckets for i in range(1, buckets)]
+        cuts = self.table.agg(F.percentile_approx(self.col, shares, max(10_000, 10 * buckets))).first()[0]
+        return tuple(sorted(set(cuts or [])))
+
+    def bucketed(self, df: DataFrame | None = None) -> DataFrame:
+        """Bucket number that grows with the value; the limits are literals, so reruns agree."""
+        return into_buckets(self.table if df is None else df, self.col, self.cuts)
+
+    def quantiles(self, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+        """Linearly interpolated quantiles by group, one column per entry of ``probs``."""
+        by = self.by if by is None else by
+        if not self.cuts:
+            return self.table.groupBy(*by).agg(
+                *[F.percentile(self.col, F.lit(p), F.col("n")).alias(name) for name, p in probs.items()]
+            )
+        counts = self.table
+        if by != self.by:
+            counts = counts.groupBy(*by, self.col).agg(F.sum("n").alias("n"))
+        return _selected_quantiles(self.bucketed(counts), by, self.col, probs)
+
+    def offsets(self, by: str | None = None) -> dict:
+        """Rows before each bucket, overall or for every value of ``by`` (at most buckets x groups)."""
+        if not self.cuts:
+            return {}
+        keys = ["bucket"] if by is None else [by, "bucket"]
+        groups: dict = {}
+        for row in self.bucketed().groupBy(*keys).agg(F.sum("n").alias("n")).collect():
+            groups.setdefault(row[by] if by else None, {})[row["bucket"]] = row["n"]
+        size = len(self.cuts) + 1
+        return {
+            g: [0, *accumulate(totals.get(b, 0) for b in range(size))][:size] for g, totals in groups.items()
+        }
+
+
+def count_values(
+    df: DataFrame, by: list[str], col: str, few: int = FEW_COUNTS, per_bucket: int = COUNTS_PER_BUCKET
+) -> Counted:
+    return Counted(stash(value_counts(df, by, col), "counts"), by, col, few, per_bucket)
+
+
+def into_buckets(df: DataFrame, col: str, cuts: tuple[float, ...]) -> DataFrame:
     if not cuts:
         return df.withColumn("bucket", F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -59,17 +100,10 @@ def bucketed(df: DataFrame, col: str, cuts: tuple[float, ...]) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, by: list[str], col: str, probs: dict[str, float], prof: ValueProfile | None = None
+    df: DataFrame, by: list[str], col: str, probs: dict[str, float], few: int = FEW_COUNTS,
+    per_bucket: int = COUNTS_PER_BUCKET,
 ) -> DataFrame:
-    """Linearly interpolated quantiles by group, one column per entry of ``probs``."""
-    prof = prof or profile(df, col)
-    if prof.few:
-        return df.where(F.col(col).isNotNull()).groupBy(*by).agg(*percentile_columns(col, probs))
-    return _selected_quantiles(df, by, col, probs, prof.cuts)
-
-
-def percentile_columns(col: Column | str, probs: dict[str, float]) -> list[Column]:
-    return [F.percentile(col, F.lit(p)).alias(name) for name, p in probs.items()]
+    return count_values(df, by, col, few, per_bucket).quantiles(probs)
 
 
 def summarise(
@@ -78,38 +112,26 @@ def summarise(
     col: str,
     aggs: list[Column],
     probs: dict[str, float],
-    prof: ValueProfile | None = None,
+    counted: Counted | None = None,
 ) -> DataFrame:
-    """Plain aggregates and exact quantiles side by side, in one pass when values are few."""
-    prof = prof or profile(df, col)
-    if prof.few:
-        return df.groupBy(*by).agg(*aggs, *percentile_columns(col, probs))
+    """Plain aggregates and exact quantiles side by side."""
+    counted = counted or count_values(df, by, col)
     plain = df.groupBy(*by).agg(*aggs)
-    ranked = _selected_quantiles(df, by, col, probs, prof.cuts)
-    if not by:
-        return plain.withColumn("_k", F.lit(0)).join(ranked.withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
-    return plain.join(ranked, on=_null_safe(plain, ranked, by), how="left").select(
-        plain["*"], *[ranked[name] for name in probs]
-    )
-
+    ranked = localize(counted.quantiles(probs, by))
+    renamed = ranked.select(*[F.col(x).alias(f"_{x}") for x in by], *probs)
+    same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in by]
+    return plain.join(renamed, same, "left").select(*plain.columns, *probs)
 
-def _null_safe(left: DataFrame, right: DataFrame, by: list[str]) -> list[Column]:
-    return [left[c].eqNullSafe(right[c]) for c in by]
 
-
-def _selected_quantiles(
-    df: DataFrame, by: list[str], col: str, probs: dict[str, float], cuts: tuple[float, ...]
-) -> DataFrame:
+def _selected_quantiles(counts: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
     """Find the buckets that hold the wanted ranks, then sort only those."""
-    rows = bucketed(df.where(F.col(col).isNotNull()).select(*by, col), col, cuts)
-    # A null-safe text key lets groups with a null label join like any other.
-    key = F.to_json(F.struct(*by)) if by else F.lit("")
-    rows = rows.withColumn("_g", key)
-    totals = rows.groupBy("_g", "bucket").agg(F.count(F.lit(1)).alias("bn"))
+    # A text key lets groups with a null label join like any other.
+    key = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
+    rows = counts.withColumn("_g", key)
+    totals = rows.groupBy("_g", "bucket").agg(F.sum("n").alias("bn"))
     upto = Window.partitionBy("_g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    spans = (
-        totals.withColumn("before", F.sum("bn").over(upto) - F.col("bn"))
-        .withColumn("total", F.sum("bn").over(Window.partitionBy("_g")))
+    spans = totals.withColumn("before", F.sum("bn").over(upto) - F.col("bn")).withColumn(
+        "total", F.sum("bn").over(Window.partitionBy("_g"))
     )
     position = {name: F.lit(float(p)) * (F.col("total") - 1) for name, p in probs.items()}
     wanted = any_of(
@@ -121,9 +143,8 @@ def _selected_quantiles(
     )
     chosen = spans.where(wanted).select("_g", "bucket", "before", "total")
     kept = attach(rows, chosen, ["_g", "bucket"], how="inner")
-    counts = kept.groupBy("_g", *by, "bucket", "before", "total", col).agg(F.count(F.lit(1)).alias("n"))
     inside = Window.partitionBy("_g", "bucket").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("end", F.col("before") + F.sum("n").over(inside)).withColumn(
+    placed = kept.withColumn("end", F.col("before") + F.sum("n").over(inside)).withColumn(
         "start", F.col("end") - F.col("n")
     )
 
@@ -137,63 +158,48 @@ def _selected_quantiles(
     out = []
     for name, pos in position.items():
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        frac = pos - F.floor(pos)
-        out.append(F.when(frac == 0, lo).otherwise((F.ceil(pos) - pos) * lo + frac * hi).alias(name))
+        between = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+        out.append(F.when(pos == F.floor(pos), lo).otherwise(between).alias(name))
     return found.select(*by, *out)
 
 
-def bucket_offsets(df: DataFrame, col: str, cuts: tuple[float, ...], by: str | None = None) -> dict:
-    """Rows before each bucket, overall or for every value of ``by`` (bounded: buckets x groups)."""
-    keys = ["bucket"] if by is None else [by, "bucket"]
-    totals = bucketed(df.select(*([by] if by else []), col), col, cuts).groupBy(*keys).count().collect()
-    groups: dict = {}
-    for row in totals:
-        groups.setdefault(row[by] if by else None, {})[row["bucket"]] = row["count"]
-    size = len(cuts) + 1
-    return {
-        g: [0, *accumulate(counts.get(b, 0) for b in range(size))][:size] for g, counts in groups.items()
-    }
-
-
-def offset_column(offsets: list[int]) -> Column:
-    if len(offsets) == 1:
-        return F.lit(offsets[0]).cast("long")
+def offset_column(offsets: list[int] | None) -> Column:
+    """Rows before the bucket of the current row."""
+    if not offsets:
+        return F.lit(0).cast("long")
     return F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in offsets]), F.col("bucket") + 1)
 
 
-def mid_ranks(df: DataFrame, group: str, col: str, prof: ValueProfile | None = None) -> DataFrame:
-    """(group, value, n, ties, rank): ``rank`` is the mid-rank of the value over all groups and
-    ``ties`` how many rows share it."""
-    prof = prof or profile(df, col)
-    counts = bucketed(value_counts(df, [group], col), col, prof.cuts)
-    offsets = [0] if prof.few else bucket_offsets(df.where(F.col(col).isNotNull()), col, prof.cuts)[None]
+def mid_ranks(counted: Counted) -> DataFrame:
+    """(group, value, n, ties, rank) for counts by one group: ``rank`` is the mid-rank of the value over
+    all groups and ``ties`` how many rows share it."""
+    group, col = counted.by[0], counted.col
     upto = Window.partitionBy("bucket").orderBy(col).rangeBetween(Window.unboundedPreceding, 0)
     return (
-        counts.withColumn("_end", F.sum("n").over(upto))
+        counted.bucketed()
+        .withColumn("_end", F.sum("n").over(upto))
         .withColumn("ties", F.sum("n").over(Window.partitionBy("bucket", col)))
-        .withColumn("rank", offset_column(offsets) + F.col("_end") - (F.col("ties") - 1) / 2)
+        .withColumn("rank", offset_column(counted.offsets().get(None)) + F.col("_end") - (F.col("ties") - 1) / 2)
         .select(group, col, "n", "ties", "rank")
     )
 
 
-def counts_by_group(
-    df: DataFrame, group: str, groups: list, col: str, prof: ValueProfile
-) -> tuple[DataFrame, list[tuple[Column, Column]]]:
+def counts_by_group(counted: Counted, groups: list) -> tuple[DataFrame, list[tuple[Column, Column]]]:
     """One row per distinct value with, for every group, its rows at that value (``n_i``) and
     below it (``b_i``)."""
-    rows = df.where(F.col(col).isNotNull())
-    wide = bucketed(
-        rows.groupBy(col).agg(
-            *[F.count(F.when(F.col(group).eqNullSafe(F.lit(g)), 1)).alias(f"n_{i}") for i, g in enumerate(groups)]
-        ),
-        col,
-        prof.cuts,
+    group, col = counted.by[0], counted.col
+    wide = counted.bucketed(
+        counted.table.groupBy(col).agg(
+            *[
+                F.sum(F.when(F.col(group) == F.lit(g), F.col("n")).otherwise(0)).alias(f"n_{i}")
+                for i, g in enumerate(groups)
+            ]
+        )
     )
-    offsets = {} if prof.few else bucket_offsets(rows, col, prof.cuts, group)
+    offsets = counted.offsets(group)
     upto = Window.partitionBy("bucket").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
     below = [
-        (offset_column(offsets.get(g, [0])) + F.sum(f"n_{i}").over(upto) - F.col(f"n_{i}")).alias(f"b_{i}")
+        (offset_column(offsets.get(g)) + F.sum(f"n_{i}").over(upto) - F.col(f"n_{i}")).alias(f"b_{i}")
         for i, g in enumerate(groups)
     ]
-    out = wide.select("*", *below)
-    return out, [(F.col(f"n_{i}"), F.col(f"b_{i}")) for i in range(len(groups))]
+    return wide.select("*", *below), [(F.col(f"n_{i}"), F.col(f"b_{i}")) for i in range(len(groups))]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.distribution import bucketed
+from tidemark.operators.distribution import into_buckets
 from tidemark.operators.small import attach, collect_small
 
 HOT_ROWS = 5_000_000
@@ -73,7 +73,7 @@ def _lag_by_span(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
     seconds = df.withColumn("_t", F.unix_micros("scraped_at").cast("double"))
     shares = [i / chunks for i in range(1, chunks)]
     cuts = seconds.agg(F.percentile_approx("_t", shares, 10 * chunks)).first()[0] or []
-    rows = bucketed(seconds, "_t", tuple(sorted(set(cuts)))).drop("_t")
+    rows = into_buckets(seconds, "_t", tuple(sorted(set(cuts)))).drop("_t")
     span = Window.partitionBy("product_id", "bucket").orderBy(*order)
     rows = rows.withColumn("_prev", F.lag("price").over(span)).withColumn("_pos", F.row_number().over(span))
     lasts = rows.groupBy("product_id", "bucket").agg(F.max_by("price", F.struct(*order)).alias("_last"))

@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from tidemark.functions import cleaning as c
 from tidemark.functions import special as s
 from tidemark.operators.descriptive import in_top_categories, top_categories
-from tidemark.operators.distribution import ValueProfile, counts_by_group, mid_ranks, profile, quantiles, summarise
+from tidemark.operators.distribution import (
+    COUNTS_PER_BUCKET, FEW_COUNTS, Counted, count_values, counts_by_group, mid_ranks, quantiles, summarise,
+)
 from tidemark.operators.sampling import sample_per_group
 from tidemark.operators.small import attach, localize
 
@@ -109,9 +111,9 @@ def welch_t(df: DataFrame, group: str = "source", col: str = "price", alpha: flo
     return out.orderBy("p_value", f"{group}_a", f"{group}_b")
 
 
-def _pair_statistics(df: DataFrame, group: str, groups: list, col: str, prof: ValueProfile) -> list[tuple]:
+def _pair_statistics(counted: Counted, groups: list) -> list[tuple]:
     """(a, b, U of a, tie sum) for every pair, all from one ordered table of value counts."""
-    table, cells = counts_by_group(df, group, groups, col, prof)
+    table, cells = counts_by_group(counted, groups)
     wanted = list(combinations(range(len(groups)), 2))
     out = []
     for start in range(0, len(wanted), PAIRS_PER_PASS):
@@ -128,18 +130,19 @@ def _pair_statistics(df: DataFrame, group: str, groups: list, col: str, prof: Va
 
 def mann_whitney(
     df: DataFrame, group: str = "source", col: str = "price", alpha: float = ALPHA, min_n: int = 1,
-    prof: ValueProfile | None = None,
+    few: int = FEW_COUNTS, per_bucket: int = COUNTS_PER_BUCKET,
 ) -> DataFrame:
     """Pairwise rank test, two-sided. U counts, for the first group, the rows of the second below its
     own, ties as one half. Exact law where one group has at most 8 rows and nothing is tied."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
-    prof = prof or profile(rows, col)
-    sizes = summarise(rows, [group], col, [F.count(col).alias("n")], {"median": 0.5}, prof).where(F.col("n") >= min_n)
-    sizes = localize(sizes)
+    counted = count_values(rows, [group], col, few, per_bucket)
+    medians = localize(counted.quantiles({"median": 0.5}))
+    sizes = counted.table.groupBy(group).agg(F.sum("n").alias("n")).where(F.col("n") >= min_n)
+    sizes = localize(sizes.join(medians, group))
     groups = [r[0] for r in sizes.select(group).orderBy(group).collect()]
     kind = df.schema[group].dataType
     stats = df.sparkSession.createDataFrame(
-        _pair_statistics(rows, group, groups, col, prof),
+        _pair_statistics(counted, groups),
         T.StructType([
             T.StructField(f"{group}_a", kind), T.StructField(f"{group}_b", kind),
             T.StructField("u", T.DoubleType()), T.StructField("ties", T.DoubleType()),
@@ -184,14 +187,15 @@ def matrix_wide(matrix: DataFrame) -> DataFrame:
 
 
 def kruskal(
-    df: DataFrame, group: str = "source", col: str = "price", min_n: int = 1, prof: ValueProfile | None = None
+    df: DataFrame, group: str = "source", col: str = "price", min_n: int = 1,
+    few: int = FEW_COUNTS, per_bucket: int = COUNTS_PER_BUCKET,
 ) -> DataFrame:
     """Rank-based analysis of variance with tie correction: H, p and epsilon squared."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
     if min_n > 1:
         kept = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_n).select(group)
         rows = attach(rows, kept, [group], how="inner")
-    ranks = mid_ranks(rows, group, col, prof)
+    ranks = mid_ranks(count_values(rows, [group], col, few, per_bucket))
     ties = F.col("ties").cast("double")
     sums = localize(
         ranks.groupBy(group).agg(
@@ -213,18 +217,23 @@ def kruskal(
     )
 
 
-def category_tests(df: DataFrame, k: int = 8, min_n: int = 5) -> dict[str, DataFrame]:
-    """ANOVA and rank test over the ``k`` most frequent categories, and their means and medians."""
-    rows = in_top_categories(df, k)
+def category_anova(df: DataFrame, k: int = 8, min_n: int = 5) -> DataFrame:
+    """Means of the ``k`` most frequent categories compared."""
+    return anova(in_top_categories(df, k), "category", "price", min_n)
+
+
+def category_kruskal(df: DataFrame, k: int = 8, min_n: int = 5) -> DataFrame:
+    return kruskal(in_top_categories(df, k), "category", "price", min_n)
+
+
+def category_means(df: DataFrame, k: int = 8, min_n: int = 5) -> DataFrame:
     aggs = [F.count("price").alias("n"), F.avg("price").alias("mean")]
-    table = summarise(rows, ["category"], "price", aggs, {"median": 0.5}).where(F.col("n") >= min_n)
-    return {
-        "anova": anova(rows, "category", "price", min_n),
-        "kruskal": kruskal(rows, "category", "price", min_n),
-        "means": table.select(
-            "category", "n", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median")
-        ).orderBy(F.desc("median"), "category"),
-    }
+    table = summarise(in_top_categories(df, k), ["category"], "price", aggs, {"median": 0.5})
+    return (
+        table.where(F.col("n") >= min_n)
+        .select("category", "n", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"))
+        .orderBy(F.desc("median"), "category")
+    )
 
 
 def confidence_interval(df: DataFrame, group: str = "source", level: float = 0.95, min_n: int = 2) -> DataFrame:
@@ -346,7 +355,7 @@ def cohens_d(df: DataFrame, group: str = "source", col: str = "price") -> DataFr
 
 
 __all__ = [
-    "anova", "category_tests", "cohens_d", "confidence_interval", "kruskal", "levene", "linregress",
+    "anova", "category_anova", "category_kruskal", "category_means", "cohens_d", "confidence_interval", "kruskal", "levene", "linregress",
     "log_price_model", "mann_whitney", "matrix_wide", "moments", "ols", "p_value_matrix", "pairs",
     "power_adequacy", "required_n", "shapiro", "top_categories", "trend", "welch_t", "with_days",
 ]

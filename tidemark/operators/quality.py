@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.distribution import quantiles, value_counts
+from tidemark.operators.distribution import count_values
 from tidemark.schema import KNOWN_SOURCES
 
 # Columns every data set must have, in reporting order.
@@ -128,11 +128,11 @@ def run_checks(
 
 def _far_rows(df: DataFrame, col: str, k: float) -> int:
     """Rows outside the quartile fences, counted over distinct values."""
-    quarts = quantiles(df, [], col, {"q25": 0.25, "q75": 0.75}).first()
+    counted = count_values(df, [], col)
+    quarts = counted.quantiles({"q25": 0.25, "q75": 0.75}).first()
     reach = k * (quarts["q75"] - quarts["q25"])
-    counts = value_counts(df, [], col)
     outside = ~F.col(col).between(quarts["q25"] - reach, quarts["q75"] + reach)
-    return counts.where(outside).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counted.table.where(outside).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def _source_checks(df: DataFrame, known: list[str]) -> list[tuple]:

@@ -16,7 +16,7 @@ from tidemark.operators import quality as q
 from tidemark.operators import sampling
 from tidemark.operators import serving as sv
 from tidemark.operators import staging as st
-from tidemark.operators.distribution import profile, quantiles
+from tidemark.operators.distribution import quantiles
 from tidemark.operators.small import salted_join
 from tidemark.plans import marts as m
 from tidemark.schema import KNOWN_HOSTS, PRICE_COLUMNS, PRICE_SCHEMA
@@ -785,16 +785,16 @@ register("quantiles", f"WITH {STG} SELECT source, category, {SEVEN_SQL} FROM pos
 )
 
 
-def bucket_quantiles(df: DataFrame, by: list[str]) -> DataFrame:
+def bucket_quantiles(df: DataFrame, by: list[str], len_bucket: int = 500) -> DataFrame:
     """The path for columns with very many distinct values, forced on."""
-    return four(quantiles(df, by, "price", SEVEN, profile(df, "price", few=0, buckets=32)))
+    return four(quantiles(df, by, "price", SEVEN, few=0, per_bucket=len_bucket))
 
 
 register("quantiles_by_bucket", f"WITH {STG} SELECT source, category, {SEVEN_SQL} FROM pos GROUP BY 1, 2")(
     lambda s, f: bucket_quantiles(positive(s, f), ["source", "category"])
 )
 register("lineitem_quantiles", f"WITH {LINES} SELECT source, {SEVEN_SQL} FROM lines GROUP BY 1")(
-    lambda s, f: bucket_quantiles(lines(s, f), ["source"])
+    lambda s, f: bucket_quantiles(lines(s, f), ["source"], 20_000)
 )
 register("sample_per_group", f"""WITH {STG} SELECT source, event_id, price FROM (SELECT *, row_number() OVER (PARTITION BY source
   ORDER BY CAST('0x' || substr(md5('42|' || event_id), 1, 13) AS BIGINT), event_id) AS rn FROM pos) WHERE rn <= 100""")(
@@ -853,7 +853,7 @@ def kruskal_sql(rows: str, group: str) -> str:
 KRUSKAL = f"WITH {STG} " + kruskal_sql("pos", "source").replace("{p}", rnd(sql_chi2_p4("h"), 6))
 register("kruskal", KRUSKAL)(lambda s, f: p6(i.kruskal(positive(s, f))))
 register("kruskal_by_bucket", KRUSKAL)(
-    lambda s, f: p6(i.kruskal(positive(s, f), prof=profile(positive(s, f), "price", few=0, buckets=32)))
+    lambda s, f: p6(i.kruskal(positive(s, f), few=0, per_bucket=500))
 )
 MWU = f"""WITH {STG}, ranked AS (
     SELECT g.a, g.b, pos.source, pos.price, rank() OVER (PARTITION BY g.a, g.b ORDER BY price)
@@ -870,7 +870,7 @@ MWU = f"""WITH {STG}, ranked AS (
     {rnd('1 - 2 * u / (n1 * n2)', 3)} AS effect_r, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant FROM p"""
 register("mann_whitney", MWU)(lambda s, f: i.mann_whitney(positive(s, f)))
 register("mann_whitney_by_bucket", MWU)(
-    lambda s, f: i.mann_whitney(positive(s, f), prof=profile(positive(s, f), "price", few=0, buckets=32))
+    lambda s, f: i.mann_whitney(positive(s, f), few=0, per_bucket=500)
 )
 register("p_value_matrix", f"""WITH m AS ({MWU}), x AS (SELECT source_a AS "row", source_b AS col, p_value FROM m
     UNION ALL SELECT source_b, source_a, p_value FROM m UNION ALL SELECT DISTINCT s, s, 1.0 FROM (
@@ -881,13 +881,13 @@ register("p_value_matrix", f"""WITH m AS ({MWU}), x AS (SELECT source_a AS "row"
 TOP4 = STG + """, top AS (SELECT category FROM pos WHERE category IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, category LIMIT 5),
   cat AS (SELECT * FROM pos WHERE category IN (SELECT category FROM top))"""
 register("category_anova", f"WITH {TOP4} {anova_sql('cat', 'category', 'price')}")(
-    lambda s, f: p6(i.category_tests(positive(s, f), 5)["anova"])
+    lambda s, f: p6(i.category_anova(positive(s, f), 5))
 )
 register("category_kruskal", f"WITH {TOP4} " + kruskal_sql("cat", "category").replace("{p}", rnd(sql_chi2_p4("h"), 6)))(
-    lambda s, f: p6(i.category_tests(positive(s, f), 5)["kruskal"])
+    lambda s, f: p6(i.category_kruskal(positive(s, f), 5))
 )
 register("category_means", f"WITH {TOP4} SELECT category, count(*) AS n, {MEAN2}, {MEDIAN2} FROM cat GROUP BY category HAVING count(*) >= 5")(
-    lambda s, f: i.category_tests(positive(s, f), 5)["means"]
+    lambda s, f: i.category_means(positive(s, f), 5)
 )
 # Quantile of Student's t near the normal one, by the usual expansion in 1 / df.
 Z975 = "1.959963984540054"

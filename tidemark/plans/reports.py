@@ -27,7 +27,6 @@ def descriptive_report(df: DataFrame, tie_break: list[str] | None = None) -> dic
 
 def inferential_report(df: DataFrame) -> dict[str, DataFrame]:
     rows = positive_price(df)
-    category = i.category_tests(rows)
     return {
         "normality": i.shapiro(rows),
         "levene": i.levene(rows),
@@ -35,9 +34,9 @@ def inferential_report(df: DataFrame) -> dict[str, DataFrame]:
         "mann_whitney": i.mann_whitney(rows),
         "anova": i.anova(rows),
         "kruskal": i.kruskal(rows),
-        "category_anova": category["anova"],
-        "category_kruskal": category["kruskal"],
-        "category_means": category["means"],
+        "category_anova": i.category_anova(rows),
+        "category_kruskal": i.category_kruskal(rows),
+        "category_means": i.category_means(rows),
         "confidence": i.confidence_interval(rows),
         "rating_regression": i.linregress(rows, "price", "rating", "source"),
         "time_regression": i.trend(rows),
