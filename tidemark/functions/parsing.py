@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,31 +11,40 @@ from tidemark.functions.cleaning import _col, lookup
 from tidemark.schema import STARS_BY_WORD
 
 # The characters that count as white space.
-SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    map(chr, range(0x2000, 0x200B))
-)
+SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _replace(text: Column, old: str, new: str) -> Column:
+    return F.replace(text, F.lit(old), F.lit(new))
 
 
 def parse_price_fr(c: Column | str) -> Column:
     """'4 299,00 DH' -> 4299.0. The rightmost of , and . is the decimal mark; a lone comma
     before exactly three digits groups thousands; text that is no number gives 0."""
-    text = F.translate(_col(c), "DdHhMmAa" + SPACES, "")
+    text = F.regexp_replace(_col(c), f"[DdHhMmAa{SPACES}]+", "")
+    return F.coalesce(_let(_let(text, _decimal_point), _plain_number), F.lit(0.0))
+
+
+def _decimal_point(text: Column) -> Column:
     comma, dot = F.contains(text, F.lit(",")), F.contains(text, F.lit("."))
     dot_last = F.contains(F.substring_index(text, ",", -1), F.lit("."))
-    grouped = F.length(text) - F.instr(text, ",") == 3
-    number = (
+    return (
         F.when(~comma, text)
-        .when(dot & ~dot_last, F.translate(text, ",.", "."))
-        .when(dot | (grouped & text.rlike(r"^\d+,.{3}$")), F.translate(text, ",", ""))
-        .otherwise(F.translate(text, ",", "."))
+        .when(dot & ~dot_last, _replace(_replace(text, ".", ""), ",", "."))
+        .when(dot | text.rlike(r"^\d+,[^,]{3}$"), _replace(text, ",", ""))
+        .otherwise(_replace(text, ",", "."))
     )
-    return F.coalesce(_plain_number(number), F.lit(0.0))
 
 
 def parse_price_symbol(c: Column | str) -> Column:
     """'£51.77' -> 51.77; non-ASCII marks, $ , and spaces are dropped, other text gives 0."""
-    text = F.translate(F.regexp_replace(_col(c), r"[^\x00-\x7F]+", ""), "$, ", "")
-    return F.coalesce(_plain_number(text), F.lit(0.0))
+    text = F.regexp_replace(_col(c), r"[^\x00-\x7F]+|[$, ]+", "")
+    return F.coalesce(_let(text, _plain_number), F.lit(0.0))
 
 
 def _plain_number(text: Column) -> Column:

@@ -12,6 +12,7 @@ from tidemark.operators.distribution import summarise
 from tidemark.operators.history import dedupe_daily, price_changes
 from tidemark.operators.staging import stage_prices
 from tidemark.schema import CURRENT_COLUMNS, HISTORY_COLUMNS
+from tidemark.session import stash
 from tidemark.sources.files import materialize, read_mart, write_history
 
 # Alert threshold in percent and look-back in days.
@@ -63,7 +64,9 @@ def price_stats(deduped: DataFrame, approx: bool = False) -> DataFrame:
         for i, name in enumerate(QUARTILES):
             stats = stats.withColumn(name, F.col("_q")[i])
     else:
-        stats = summarise(deduped, by, "price", aggs, QUARTILES)
+        rows = deduped.select(*by, "product_id", "price", "scraped_date")
+        # Read twice below: a written copy spares a second deduplication.
+        stats = summarise(rows if deduped.is_cached else stash(rows, "stats"), by, "price", aggs, QUARTILES)
     rounded = ["avg_price", "min_price", "max_price", "stddev_price", *QUARTILES]
     return stats.select(
         *by,

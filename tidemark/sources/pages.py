@@ -89,19 +89,24 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "nodes", "texts")
+    __slots__ = ("tag", "attrs", "classes", "parent", "nodes", "texts", "found")
 
     def __init__(self, tag: str, attrs: dict, parent: _Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = frozenset(attrs.get("class", "").split())
         self.nodes: list[_Node] = []
         self.texts: list[str] = []
+        self.found: list[_Node] | None = None
 
-    def walk(self) -> Iterator[_Node]:
-        stack = [self]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(reversed(node.nodes))
+    def all(self) -> list[_Node]:
+        """This node and all below it in document order, listed once the page is complete."""
+        if self.found is None:
+            self.found, stack = [], [self]
+            while stack:
+                node = stack.pop()
+                self.found.append(node)
+                stack.extend(reversed(node.nodes))
+        return self.found
 
 
 class _Page(HTMLParser):
@@ -150,7 +155,7 @@ def _selector(text: str) -> tuple:
             word = word.removesuffix(":last-child")
             tag = re.match(r"[\w-]*", word).group()
             ids = re.findall(r"#([\w-]+)", word)
-            steps.append((direct, tag, ids, re.findall(r"\.([\w-]+)", word), last))
+            steps.append((direct, tag, ids, frozenset(re.findall(r"\.([\w-]+)", word)), last))
             direct = False
         out.append((tuple(steps), attr))
     return tuple(out)
@@ -160,7 +165,7 @@ def _fits(node: _Node, step: tuple) -> bool:
     _, tag, ids, classes, last = step
     if (tag and node.tag != tag) or (ids and node.attrs.get("id") != ids[0]):
         return False
-    if classes and not set(classes) <= set(node.attrs.get("class", "").split()):
+    if not classes <= node.classes:
         return False
     return not last or (node.parent is not None and node.parent.nodes[-1] is node)
 
@@ -182,7 +187,7 @@ def _matches(node: _Node, steps: tuple, top: _Node) -> bool:
 
 def _select(top: _Node, text: str) -> list[tuple[_Node, str]]:
     wanted = _selector(text)
-    return [(n, attr) for n in top.walk() for steps, attr in wanted if _matches(n, steps, top)]
+    return [(n, attr) for n in top.all() for steps, attr in wanted if _matches(n, steps, top)]
 
 
 def _values(top: _Node, text: str) -> list[str]:

@@ -108,6 +108,23 @@ def json_texts(events: DataFrame) -> DataFrame:
     return raw.select(value.alias("value"), F.explode(copies).alias("copy")).select("value")
 
 
+def written_prices(lines: DataFrame) -> DataFrame:
+    """Line items with their price as shops write it."""
+    way, whole = F.col("l_orderkey") % 6, F.floor("l_extendedprice")
+    text = F.col("_t")
+    local = (
+        F.when(way == 0, F.concat(F.translate(text, ",.", " ,"), F.lit(" DH")))
+        .when(way == 1, F.concat(F.translate(text, ",.", ".,"), F.lit(" MAD")))
+        .when(way == 2, text)
+        .when(way == 3, F.concat(whole.cast("string"), F.lit(" DH")))
+        .when(way == 4, F.format_number(whole, 0))
+        .otherwise(F.concat(F.lit("Prix sur devis "), text))
+    )
+    return lines.withColumn("_t", F.format_number("l_extendedprice", 2)).select(
+        "*", local.alias("local_text"), F.concat(F.lit("Â£"), text).alias("symbol_text")
+    )
+
+
 def _price_text(unit: str) -> Column:
     """'1 234,50 DH'."""
     return F.concat(F.translate(F.format_number("p_retailprice", 2), ",.", " ,"), F.lit(f" {unit}"))
