@@ -22,16 +22,11 @@ JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """All JSON lines below ``path``. Unknown fields are ignored, missing ones are null and records that
-    cannot be read keep their text in ``_corrupt_record``."""
-    schema = T.StructType([*PRICE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", "true")
-        .json(path)
+    cannot be read keep their text in ``_corrupt_record``; files that cannot be read are passed over."""
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(path)
     )
+    return parse_records(lines.where(F.trim("value") != "")).drop("value")
 
 
 def parse_records(df: DataFrame, text: str = "value") -> DataFrame:
