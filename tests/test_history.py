@@ -107,6 +107,14 @@ def test_lag_with_a_hot_product(spark):
     assert plain == want
 
 
+def test_lag_over_copies(spark):
+    df = spark.createDataFrame([("p", 1, 5.0)] * 4 + [("p", 2, 7.0)] * 2, "product_id string, s long, price double")
+    df = df.withColumn("scraped_at", F.timestamp_seconds("s"))
+    for hot in (1, 100):
+        got = sorted(((r.s, r.prev_price) for r in h.lag_price(df, ["scraped_at"], hot, 3).collect()), key=str)
+        assert got == sorted([(1, None)] + [(1, 5.0)] * 3 + [(2, 5.0), (2, 7.0)], key=str)
+
+
 def test_last_non_null(spark):
     df = spark.createDataFrame([("a", 1, 5, None), ("a", 2, None, "x"), ("a", 3, None, None)], "k string, t int, v int, w string")
     assert h.last_non_null(df, ["k"], ["t"]).first().asDict() == {"k": "a", "t": 3, "v": 5, "w": "x"}

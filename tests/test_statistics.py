@@ -104,6 +104,19 @@ def test_mann_whitney_exact_for_small_groups(spark):
     assert row.u_stat == 3 and row.p_value == pytest.approx(2 * 7 / 252, abs=1e-6)
 
 
+def test_mann_whitney_with_many_groups(spark):
+    """More groups than one pass handles: every pair must appear once."""
+    rng = random.Random(5)
+    rows = [(f"g{n % 37:02d}", float(rng.randrange(30))) for n in range(740)]
+    df = spark.createDataFrame(rows, "source string, price double")
+    got = {(r.source_a, r.source_b): r.effect_r for r in i.mann_whitney(df).collect()}
+    names = sorted({g for g, _ in rows})
+    assert set(got) == set(itertools.combinations(names, 2))
+    for a, b in (("g00", "g36"), ("g15", "g16"), ("g33", "g34"), ("g16", "g31")):
+        va, vb = ([v for g, v in rows if g == x] for x in (a, b))
+        assert got[a, b] == pytest.approx(1 - 2 * brute_u(va, vb) / 400, abs=6e-4)
+
+
 def test_anova_kruskal_levene_welch(prices):
     df, rows = prices
     groups = [np.array([x[2] for x in rows if x[0] == g]) for g in "abc"]

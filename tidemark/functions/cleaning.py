@@ -29,7 +29,8 @@ def blank_to_null(c: Column | str) -> Column:
 
 def to_number(c: Column | str) -> Column:
     """Numeric value, null where the text is no number."""
-    return _col(c).try_cast("double")
+    number = _col(c).try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def to_utc(c: Column | str) -> Column:

@@ -21,14 +21,14 @@ from tidemark.functions.cleaning import any_of
 from tidemark.operators.small import attach, localize
 from tidemark.session import stash
 
-FEW_COUNTS = 2_000_000
+FEW_COUNTS = 1_000_000
 COUNTS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4096
 
 
 def value_counts(df: DataFrame, by: list[str], col: str) -> DataFrame:
-    """One row per distinct value and group: the counts are combined before the shuffle."""
-    return df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
+    """One row per distinct value and group: the counts are combined before the shuffle. NaN is no value."""
+    return df.where(F.col(col).isNotNull() & ~F.isnan(col)).groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)

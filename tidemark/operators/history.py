@@ -70,7 +70,9 @@ def lag_price(
 
 
 def _lag_by_span(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    seconds = df.withColumn("_t", F.unix_micros("scraped_at").cast("double"))
+    # Copies of a row are one counted row: the first takes the price before it, the others their own.
+    once = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    seconds = once.withColumn("_t", F.unix_micros("scraped_at").cast("double"))
     shares = [i / chunks for i in range(1, chunks)]
     cuts = seconds.agg(F.percentile_approx("_t", shares, 10 * chunks)).first()[0] or []
     rows = into_buckets(seconds, "_t", tuple(sorted(set(cuts)))).drop("_t")
@@ -81,8 +83,14 @@ def _lag_by_span(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
     carried = lasts.select("product_id", "bucket", F.lag("_last").over(between).alias("_carried"))
     return (
         attach(rows, carried, ["product_id", "bucket"])
-        .withColumn("prev_price", F.when(F.col("_pos") == 1, F.col("_carried")).otherwise(F.col("_prev")))
-        .drop("bucket", "_prev", "_pos", "_carried")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+        .withColumn(
+            "prev_price",
+            F.when(F.col("_copy") > 1, F.col("price"))
+            .when(F.col("_pos") == 1, F.col("_carried"))
+            .otherwise(F.col("_prev")),
+        )
+        .select(*df.columns, "prev_price")
     )
 
 

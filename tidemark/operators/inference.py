@@ -7,7 +7,8 @@ rank tests). Only these small tables are paired and passed to the tail-probabili
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from dataclasses import replace
+from itertools import combinations, product
 from statistics import NormalDist
 
 import numpy as np
@@ -26,7 +27,7 @@ from tidemark.operators.sampling import sample_per_group
 from tidemark.operators.small import attach, localize
 
 ALPHA = 0.05
-PAIRS_PER_PASS = 100
+GROUPS_PER_BLOCK = 16
 
 
 def moments(df: DataFrame, group: str, col: str = "price", min_n: int = 1) -> DataFrame:
@@ -52,7 +53,7 @@ def shapiro(df: DataFrame, group: str = "source", col: str = "price", max_n: int
             key: list[str] | None = None, alpha: float = ALPHA, seed: int = 42) -> DataFrame:
     """Shapiro-Wilk on a seeded sample of at most ``max_n`` rows per group."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
-    keys = key or ["product_id", "scraped_at"]
+    keys = key or ["product_id", "scraped_at", col]
     drawn = sample_per_group(rows.select(group, col, *[k for k in keys if k not in (group, col)]), group, keys, max_n, seed)
 
     def test(labels: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -113,21 +114,35 @@ def welch_t(df: DataFrame, group: str = "source", col: str = "price", alpha: flo
 
 def _pair_statistics(counted: Counted, groups: list) -> list[tuple]:
     """(a, b, U of a, tie sum) for every pair, all from one ordered table of value counts."""
-    table, cells = counts_by_group(counted, groups)
-    wanted = list(combinations(range(len(groups)), 2))
+    blocks = [groups[x : x + GROUPS_PER_BLOCK] for x in range(0, len(groups), GROUPS_PER_BLOCK)]
+    if len(blocks) == 1:
+        return _block_statistics(counted, groups, list(combinations(groups, 2)))
     out = []
-    for start in range(0, len(wanted), PAIRS_PER_PASS):
-        part = wanted[start : start + PAIRS_PER_PASS]
-        aggs = []
-        for i, j in part:
-            (n_a, _), (n_b, below_b) = cells[i], cells[j]
-            both = (n_a + n_b).cast("double")
-            aggs += [F.sum(n_a * (below_b + n_b / 2.0)), F.sum(both * both * both - both)]
-        row = table.agg(*[a.alias(f"x{k}") for k, a in enumerate(aggs)]).first()
-        out += [(groups[i], groups[j], row[2 * k], row[2 * k + 1]) for k, (i, j) in enumerate(part)]
+    for x, y in combinations(range(len(blocks)), 2):
+        pairs_of_blocks = list(product(blocks[x], blocks[y]))
+        # Pairs within a block are taken along with the block's neighbour.
+        if y == x + 1:
+            pairs_of_blocks += combinations(blocks[x], 2)
+            if y == len(blocks) - 1:
+                pairs_of_blocks += combinations(blocks[y], 2)
+        out += _block_statistics(counted, blocks[x] + blocks[y], pairs_of_blocks)
     return out
 
 
+def _block_statistics(counted: Counted, groups: list, wanted: list[tuple]) -> list[tuple]:
+    if not wanted:
+        return []
+    table, cells = counts_by_group(counted, groups)
+    of_group = dict(zip(groups, cells))
+    aggs = []
+    for a, b in wanted:
+        (n_a, _), (n_b, below_b) = of_group[a], of_group[b]
+        both = (n_a + n_b).cast("double")
+        aggs += [F.sum(n_a * (below_b + n_b / 2.0)), F.sum(both * both * both - both)]
+    row = table.agg(*[x.alias(f"x{k}") for k, x in enumerate(aggs)]).first()
+    return [(a, b, row[2 * k], row[2 * k + 1]) for k, (a, b) in enumerate(wanted)]
+
+
 def mann_whitney(
     df: DataFrame, group: str = "source", col: str = "price", alpha: float = ALPHA, min_n: int = 1,
     few: int = FEW_COUNTS, per_bucket: int = COUNTS_PER_BUCKET,
@@ -192,10 +207,11 @@ def kruskal(
 ) -> DataFrame:
     """Rank-based analysis of variance with tie correction: H, p and epsilon squared."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
+    counted = count_values(rows, [group], col, few, per_bucket)
     if min_n > 1:
-        kept = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_n).select(group)
-        rows = attach(rows, kept, [group], how="inner")
-    ranks = mid_ranks(count_values(rows, [group], col, few, per_bucket))
+        kept = counted.table.groupBy(group).agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_n).select(group)
+        counted = replace(counted, table=attach(counted.table, kept, [group], how="inner"))
+    ranks = mid_ranks(counted)
     ties = F.col("ties").cast("double")
     sums = localize(
         ranks.groupBy(group).agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
 from tidemark.operators.distribution import count_values
+from tidemark.operators.small import localize
 from tidemark.schema import KNOWN_SOURCES
 
 # Columns every data set must have, in reporting order.
@@ -136,7 +137,7 @@ def _far_rows(df: DataFrame, col: str, k: float) -> int:
 
 
 def _source_checks(df: DataFrame, known: list[str]) -> list[tuple]:
-    counts = df.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    counts = localize(df.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n")))
     strange, rare = ~F.col("source").isin(known), F.col("n") < 5
     found = counts.agg(F.count_if(strange).alias("strange"), F.count_if(rare).alias("rare")).first()
 

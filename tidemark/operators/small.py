@@ -40,7 +40,9 @@ def attach(
 def salted_join(
     df: DataFrame, summary: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    # The partition number tells copies of one row apart and stays the same when a task is repeated.
+    salt = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts))
+    salted = df.withColumn("_salt", salt)
     every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     copies = summary.withColumn("_salt", F.explode(every))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

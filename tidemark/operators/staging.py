@@ -33,9 +33,7 @@ def conform(df: DataFrame, default_currency: str = "GBP") -> DataFrame:
 
 def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
     """Typed, trimmed and defaulted observations; further columns of ``raw`` are passed on."""
-    price = F.col("price").cast("string").try_cast("double") if _is_text(raw, "price") else F.col("price").cast("double")
     at = F.try_to_timestamp("scraped_at") if _is_text(raw, "scraped_at") else F.col("scraped_at").cast("timestamp")
-    rating = F.col("rating").try_cast("double")
     extra = [x for x in raw.columns if x not in {*PRICE_SCHEMA.fieldNames(), "scraped_date"}]
     return (
         raw.where(F.col("product_id").isNotNull() & F.col("source").isNotNull())
@@ -44,9 +42,9 @@ def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
             "source",
             "url",
             F.trim("title").alias("title"),
-            price.alias("price"),
+            c.to_number("price").alias("price"),
             F.upper(F.trim("currency")).alias("currency"),
-            rating.alias("rating"),
+            c.to_number("rating").alias("rating"),
             F.coalesce(c.blank_to_null(F.trim("availability")), F.lit("Unknown")).alias("availability"),
             c.blank_to_null(F.trim("category")).alias("category"),
             c.blank_to_null("image_url").alias("image_url"),

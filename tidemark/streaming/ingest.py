@@ -20,6 +20,7 @@ from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records
 log = logging.getLogger(__name__)
 
 LATE = "1 day"
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -52,10 +53,19 @@ def prepare(texts: DataFrame) -> DataFrame:
     return filled.withColumn("reject_reason", reason).drop(CORRUPT)
 
 
-def valid_records(prepared: DataFrame, late: str = LATE) -> DataFrame:
-    """Accepted records without replays: one per product and time within the watermark."""
+def valid_records(prepared: DataFrame, late: str = LATE, salts: int = SALTS) -> DataFrame:
+    """Accepted records without replays: one per product and time within the watermark.
+
+    Copies are first dropped per salt (the number of the input partition), then altogether, so that a
+    record that is sent over and over does not send all its copies to one task. ``salts=1`` skips this.
+    """
+    key = ["product_id", "scraped_at"]
     good = prepared.where(F.col("reject_reason").isNull()).select(*PRICE_COLUMNS, "pipeline")
-    return good.withWatermark("scraped_at", late).dropDuplicatesWithinWatermark(["product_id", "scraped_at"])
+    good = good.withWatermark("scraped_at", late)
+    if salts > 1:
+        salted = good.withColumn("_salt", F.spark_partition_id() % salts)
+        good = salted.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt")
+    return good.dropDuplicatesWithinWatermark(key)
 
 
 def rejected_records(prepared: DataFrame) -> DataFrame:
