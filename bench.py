@@ -57,14 +57,18 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # Start the JVM's code paths and the Python workers before anything is timed.
-    registry.QUERIES["price_alerts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    registry.QUERIES["welch_t"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    took = {}
-    for name in names:
+
+    def run(name: str, folder: str) -> float:
         start = time.perf_counter()
-        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        took[name] = round(time.perf_counter() - start, 3)
+        registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - start, 3)
+
+    # Load classes, generated code and Python workers on the smallest tables before anything is timed.
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm_dir):
+        for name in names:
+            run(name, warm_dir)
+    took = {name: run(name, sf_dir) for name in names}
     print(
         json.dumps(
             {

@@ -125,8 +125,8 @@ def summarise(
 
 def _selected_quantiles(counts: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
     """Find the buckets that hold the wanted ranks, then sort only those."""
-    # A text key lets groups with a null label join like any other.
-    key = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
+    # As fields of a struct, null labels join like any other.
+    key = F.struct(*by) if by else F.lit("")
     rows = counts.withColumn("_g", key)
     totals = rows.groupBy("_g", "bucket").agg(F.sum("n").alias("bn"))
     upto = Window.partitionBy("_g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)

@@ -151,10 +151,9 @@ def mann_whitney(
     own, ties as one half. Exact law where one group has at most 8 rows and nothing is tied."""
     rows = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
     counted = count_values(rows, [group], col, few, per_bucket)
-    medians = localize(counted.quantiles({"median": 0.5}))
     sizes = counted.table.groupBy(group).agg(F.sum("n").alias("n")).where(F.col("n") >= min_n)
-    sizes = localize(sizes.join(medians, group))
-    groups = [r[0] for r in sizes.select(group).orderBy(group).collect()]
+    sizes = localize(sizes.join(counted.quantiles({"median": 0.5}), group))
+    groups = sorted(r[0] for r in sizes.select(group).collect())
     kind = df.schema[group].dataType
     stats = df.sparkSession.createDataFrame(
         _pair_statistics(counted, groups),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleaning as c
 from tidemark.operators.distribution import count_values
 from tidemark.operators.small import localize
+from tidemark.operators.staging import as_instant
 from tidemark.schema import KNOWN_SOURCES
 
 # Columns every data set must have, in reporting order.
@@ -54,7 +55,7 @@ def run_checks(
     if "price" in cols:
         df = df.withColumn("_price", c.to_number("price"))
     if "scraped_at" in cols:
-        df = df.withColumn("_at", c.to_utc("scraped_at"))
+        df = df.withColumn("_at", as_instant(df, "scraped_at"))
     if "rating" in cols:
         df = df.withColumn("_rating", c.to_number("rating"))
     bad = lambda cond: F.count_if(cond)

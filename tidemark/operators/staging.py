@@ -16,7 +16,8 @@ def conform(df: DataFrame, default_currency: str = "GBP") -> DataFrame:
         df = df.withColumn("source", F.col("spider") if "spider" in has else F.lit("unknown"))
     df = df.withColumn("source", c.normalize_source("source")).withColumn("price", c.to_number("price"))
     if "scraped_at" in has:
-        df = df.withColumn("scraped_at", c.to_utc("scraped_at")).withColumn("scraped_date", F.to_date("scraped_at"))
+        df = df.withColumn("scraped_at", as_instant(df, "scraped_at"))
+        df = df.withColumn("scraped_date", F.to_date("scraped_at"))
     if "availability" in has:
         df = df.withColumn("availability", c.normalize_availability("availability"))
     if "product_id" not in has:
@@ -33,7 +34,7 @@ def conform(df: DataFrame, default_currency: str = "GBP") -> DataFrame:
 
 def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
     """Typed, trimmed and defaulted observations; further columns of ``raw`` are passed on."""
-    at = F.try_to_timestamp("scraped_at") if _is_text(raw, "scraped_at") else F.col("scraped_at").cast("timestamp")
+    at = as_instant(raw, "scraped_at")
     extra = [x for x in raw.columns if x not in {*PRICE_SCHEMA.fieldNames(), "scraped_date"}]
     return (
         raw.where(F.col("product_id").isNotNull() & F.col("source").isNotNull())
@@ -60,6 +61,11 @@ def _is_text(df: DataFrame, col: str) -> bool:
     return df.schema[col].dataType.simpleString() == "string"
 
 
+def as_instant(df: DataFrame, col: str) -> Column:
+    """A time column as instants; only text has to be parsed."""
+    return c.to_utc(col) if _is_text(df, col) else F.col(col).cast("timestamp")
+
+
 def shift_fields(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Keep and rename the listed fields (target: source name) and drop all others."""
     return df.select(*[F.col(src).alias(dst) for dst, src in spec.items()])

@@ -297,7 +297,7 @@ register(
     WHEN 4 THEN floor(l_extendedprice) WHEN 5 THEN 0 ELSE l_extendedprice END AS local_price, l_extendedprice AS symbol_price
   FROM lineitem""",
 )(
-    lambda s, f: tables.written_prices(tables.read_table(s, f, "lineitem")).select(
+    lambda s, f: tables.written_prices(tables.read_lines(s, f)).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         p.parse_price_fr("local_text").alias("local_price"),
         p.parse_price_symbol("symbol_text").alias("symbol_price"),
@@ -941,6 +941,28 @@ register("cohens_d", f"""WITH {MOM}, x AS (SELECT source_a, source_b, (mean_a -
 # Shapiro-Wilk needs normal order statistics of a sorted sample; SQL has no counterpart.
 register("shapiro")(lambda s, f: i.shapiro(positive(s, f), key=["event_id"]))
 
+
+
+@register(
+    "stat_tables",
+    f"""WITH {STG} SELECT 'cohens_d' AS name, 10 AS row_count, DATE '2024-01-30' AS run_date
+  UNION ALL SELECT 'daily_volume', (SELECT count(DISTINCT scraped_date) FROM pos), DATE '2024-01-30'
+  UNION ALL SELECT 'dispersion', (SELECT count(DISTINCT source) FROM pos), DATE '2024-01-30'""",
+)
+def stat_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Result tables of a report, written with the date of the run and read back."""
+    rows, base = positive(spark, sf), fresh_dir(spark, "stats")
+    built = {"cohens_d": i.cohens_d(rows), "daily_volume": d.daily_volume(rows), "dispersion": d.dispersion(rows)}
+    files.write_stat_tables(built, base, "2024-01-30")
+    parts = [
+        files.read_mart(spark, f"{base}/{name}").groupBy("run_date").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("name"), "row_count", "run_date"
+        )
+        for name in built
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --------------------------------------------------------------------------- data quality
 
 NOW = "2024-01-25 00:00:00"

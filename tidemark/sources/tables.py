@@ -27,6 +27,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items. A table in fewer splits than there are cores is spread over them; a large table has
+    far more splits and is read as it is."""
+    lines, cores = read_table(spark, sf_dir, "lineitem"), spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        return lines.repartition(cores, "l_orderkey", "l_linenumber")
+    return lines
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a file stream; the pattern matches a single file as well as a folder."""
     schema = read_table(spark, sf_dir, name).schema
@@ -64,7 +73,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw observation per line item; brand is the source and type the category."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = read_lines(spark, sf_dir)
     key = F.col("l_partkey").cast("string")
     return lines.join(part, lines["l_partkey"] == part["p_partkey"]).select(
         key.alias("product_id"),
