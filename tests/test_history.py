@@ -147,5 +147,7 @@ def test_conform_adds_columns(spark):
     df = spark.createDataFrame([("jumia.ma", "A b", "3.5")], "spider string, title string, price string")
     row = st.conform(df).first()
     assert (row.source, row.product_id, row.currency, row.category, row.price) == ("jumia_ma", "a_b_jumia_ma", "GBP", "Unknown", 3.5)
+    prices = spark.createDataFrame([("a", "-1"), ("b", "x"), ("c", "NaN"), ("d", "0")], "product_id string, price string")
+    assert [r.product_id for r in st.clean_live(prices).collect()] == ["d"]
     bare = st.conform(spark.createDataFrame([("x", "1")], "product_id string, price string")).first()
     assert (bare.source, bare.title) == ("unknown", "x")

@@ -146,5 +146,14 @@ def sellable(df: DataFrame) -> DataFrame:
     return df.where((F.col("title") != "") & (F.col("price") != 0))
 
 
+def non_negative_price(df: DataFrame) -> DataFrame:
+    return df.where(F.col("price") >= 0)
+
+
+def clean_live(raw: DataFrame) -> DataFrame:
+    """What a reader of raw records shows: conformed rows that have a price of at least zero."""
+    return non_negative_price(conform(raw))
+
+
 def positive_price(df: DataFrame) -> DataFrame:
     return df.where(F.col("price") > 0)
