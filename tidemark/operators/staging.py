@@ -43,9 +43,9 @@ def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
             "source",
             "url",
             F.trim("title").alias("title"),
-            c.to_number("price").alias("price"),
+            _as_number(raw, "price").alias("price"),
             F.upper(F.trim("currency")).alias("currency"),
-            c.to_number("rating").alias("rating"),
+            _as_number(raw, "rating").alias("rating"),
             F.coalesce(c.blank_to_null(F.trim("availability")), F.lit("Unknown")).alias("availability"),
             c.blank_to_null(F.trim("category")).alias("category"),
             c.blank_to_null("image_url").alias("image_url"),
@@ -53,7 +53,7 @@ def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
             F.to_date(at).alias("scraped_date"),
             *extra,
         )
-        .where(F.col("price") >= min_price)
+        .where((F.col("price") >= min_price) & ~F.isnan("price"))
     )
 
 
@@ -61,6 +61,11 @@ def _is_text(df: DataFrame, col: str) -> bool:
     return df.schema[col].dataType.simpleString() == "string"
 
 
+def _as_number(df: DataFrame, col: str) -> Column:
+    """A numeric column stays bare, so that a filter on it reaches the scan."""
+    return c.to_number(col) if _is_text(df, col) else F.col(col).cast("double")
+
+
 def as_instant(df: DataFrame, col: str) -> Column:
     """A time column as instants; only text has to be parsed."""
     return c.to_utc(col) if _is_text(df, col) else F.col(col).cast("timestamp")
