@@ -1,5 +1,5 @@
 """Spark-native analytics over product price observations."""
 
-from tidemark.session import checkpoint_root, make_session, use_utc
+from tidemark.session import checkpoint_root, make_session, prepare
 
-__all__ = ["checkpoint_root", "make_session", "use_utc"]
+__all__ = ["checkpoint_root", "make_session", "prepare"]

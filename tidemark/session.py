@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,7 +26,7 @@ def make_session(app: str = "tidemark", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -34,6 +36,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make a session that was built elsewhere fit for this package; repeated calls do nothing more."""
+    ship_package(spark)
+    return use_utc(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, which do not share the driver's import path."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):
+        target = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark")
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._tidemark_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only where none is set (tests)."""
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import lookup
-from tidemark.session import use_utc
+from tidemark.session import prepare
 
 SOURCE_BY_EVENT = {
     "click": "books.toscrape.com",
@@ -24,7 +24,7 @@ LINE_TIE = ["l_orderkey", "l_linenumber", "l_suppkey"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
