@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, mixing
+from tidemark.llm import decontamination, mixing, token_codes
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op7_token_codes")
+def op7_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_codes.write_token_files(table(spark, sf_dir, "documents"), token_codes.token_folder(spark))
+    return token_codes.read_digests(manifest)
+
+
 # A word is a run of characters that are neither ASCII punctuation nor blanks, after lower-casing A-Z.
 OP8_SQL = """
 WITH d AS (
