@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, mixing, secrets, token_codes
+from tidemark.llm import decontamination, mixing, pii, secrets, token_codes
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(docs))
 
 
+@register("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digest(pii.find_personal_data(docs))
+
+
 @register("op7_token_codes")
 def op7_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_codes.write_token_files(table(spark, sf_dir, "documents"), token_codes.token_folder(spark))
