@@ -20,9 +20,11 @@ ANCHORS = (
     "le les un une est et du des pour dans "
     "el los una es y en por con se su"
 ).split()
-#: The beginning of a line starts a chain too, so that any text with a content word has a signature.
+#: The beginning of a line starts a chain of one word, so that any text with a content word has a signature.
 LINE = "¶"
 CHAIN = 2
+#: Content words with a CRC-32 divisible by this start chains as well: texts of other languages and lists have spots too.
+SPREAD = 8
 #: Words after an anchor among which the words of its chain are looked for.
 REACH = 8
 SIMILAR = 0.8
@@ -38,7 +40,8 @@ def signatures(text: Column) -> Column:
     """The sorted set of 64-bit hashes of the text's chains.
 
     Words are runs of letters and digits of the lower-cased text. A chain is an anchor and the next content words,
-    two at most; one that finds none within reach is left out. Null, empty and wordless texts have the empty set.
+    two at most (one after the beginning of a line); one that finds none within reach is left out. Null, empty and
+    wordless texts have the empty set.
     """
     lined = F.concat(F.lit(LINE), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\n+", f" {LINE} "))
     tokens = F.filter(F.split(F.regexp_replace(lined, LINE, f" {LINE} "), rf"[^\p{{L}}\p{{N}}{LINE}]+"), lambda w: w != "")
@@ -49,8 +52,9 @@ def signatures(text: Column) -> Column:
     def spots(words: Column) -> Column:
         def chain(w: Column, i: Column) -> Column:
             following = F.filter(F.slice(words, i + 2, F.lit(REACH)), lambda x: ~anchor(x))
-            content = F.slice(following, 1, CHAIN)
-            return F.when(anchor(w), F.when(F.size(content) > 0, F.xxhash64(w, F.array_join(content, " "))))
+            content = F.slice(following, F.lit(1), F.when(w == LINE, 1).otherwise(CHAIN))
+            spot = anchor(w) | (F.crc32(w) % SPREAD == 0)
+            return F.when(spot, F.when(F.size(content) > 0, F.xxhash64(w, F.array_join(content, " "))))
 
         return F.array_sort(F.array_distinct(F.filter(F.transform(words, chain), lambda h: h.isNotNull())))
 
