@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, mixing, pii, secrets, token_codes
-from tidemark.llm.common import table
+from tidemark.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, token_codes
+from tidemark.llm.common import crc_mod, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +26,32 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = written(quality.document_statistics(table(spark, sf_dir, "documents")), "quality-stats")
+    model = quality.train(stats, quality.learnable(table(spark, sf_dir, "labels")))
+    return quality.score_statistics(stats, model).select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
+
+
 @register("op2_secrets")
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.find_secrets(docs))
 
 
+@register("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = language.train(docs.filter(crc_mod("doc_id", 4) != 2))
+    return language.predict(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @register("op6_pii")
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
