@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, token_codes
+from tidemark.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, substrings, token_codes
 from tidemark.llm.common import crc_mod, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,28 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(docs))
 
 
+OP4_SQL = """
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') END AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+low AS (SELECT gram, min(doc_id) AS first FROM win GROUP BY gram),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS k FROM win JOIN low USING (gram) WHERE doc_id > first),
+cut AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@register("op4_substrings", OP4_SQL)
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register("op5_language")
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
