@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, substrings, token_codes
+from tidemark.llm import decontamination, fingerprints, jaccard_join, language, mixing, pii, quality, secrets, substrings, token_codes
 from tidemark.llm.common import crc_mod, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(docs))
 
 
+@register("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP4_SQL = """
 WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') END AS w FROM documents),
 win AS (
