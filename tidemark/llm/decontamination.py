@@ -163,14 +163,36 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     with the row. What is broadcast never exceeds a block.
     """
     ready(docs.sparkSession)
-    items = [(r.item_id, r.text) for r in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").toLocalIterator()]
-    parts = blocks(windows(items, window), block_bytes)
+    parts = benchmark_blocks(benchmark, window, block_bytes)
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for number, patterns in enumerate(parts[:-1]):
         state = written(_scanned(state, number, patterns, False), "decontamination").select("doc_id", "text", "items", "runs")
     return _scanned(state, len(parts) - 1, parts[-1], True)
 
 
+def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, list[int]]]]:
+    items = [(r.item_id, r.text) for r in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").toLocalIterator()]
+    return blocks(windows(items, window), block_bytes)
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` without an occurrence of a benchmark window, with all their columns and without a shuffle."""
+    spark = ready(docs.sparkSession)
+    for number, patterns in enumerate(benchmark_blocks(benchmark, window, block_bytes)):
+        shared = spark.sparkContext.broadcast(patterns)
+        at = docs.columns.index("text")
+
+        def run(batches, number=number, shared=shared, at=at):
+            for batch in batches:
+                ids = pa.array(range(len(batch)), pa.int64())
+                texts = pa.RecordBatch.from_arrays([ids, batch.column(at)], names=["doc_id", "text"])
+                clean = [n == 0 for found in scan_batches(iter([texts]), number, shared.value) for n in found.column(2).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def _scanned(state: DataFrame, number: int, patterns: list[tuple[str, list[int]]], last: bool) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast(patterns)
 
