@@ -43,7 +43,7 @@ def source_targets(
     return (
         named.withColumn("_level", level)
         .withColumn("_free", F.col("_level") * F.col("_weight") <= F.col("_bound"))
-        .withColumn("_line", F.min(F.when(F.col("_free"), F.col("_level"))).over(every))
+        .withColumn("_line", F.max(F.when(F.col("_free"), F.col("_level"))).over(every))
         .select(
             "source",
             "source_size",

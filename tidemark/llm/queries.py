@@ -142,7 +142,7 @@ weighed AS (
 shares AS (
   SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY bound / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY bound / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
-line AS (SELECT min(level) AS level FROM shares WHERE level * weight <= bound),
+line AS (SELECT max(level) AS level FROM shares WHERE level * weight <= bound),
 targets AS (
   SELECT source, source_size, CASE WHEN s.level * weight <= bound THEN least(l.level * weight, bound) ELSE bound END AS target
   FROM shares s, line l),
