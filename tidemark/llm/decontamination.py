@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,22 +58,22 @@ def blocks(found: dict[str, set[int]], block_bytes: int = BLOCK_BYTES) -> list[l
     return out
 
 
-_built: dict[int, object] = {}
+_built: dict[str, object] = {}
 
 
-def _automaton(number: int, patterns: list[tuple[str, list[int]]]):
-    """One automaton at a time is kept by a worker. Bytes stand for themselves as Latin-1 characters."""
+def _automaton(name: str, patterns: list[tuple[str, list[int]]]):
+    """One automaton at a time is kept by a worker, under a name that no other set of patterns has. Bytes stand for themselves as Latin-1 characters."""
     import ahocorasick
 
-    if number not in _built:
+    if name not in _built:
         _built.clear()
         machine = ahocorasick.Automaton()
         for i, (window, _) in enumerate(patterns):
             key = f" {window} ".encode().decode("latin-1")
             machine.add_word(key, (i, len(key)))
         machine.make_automaton()
-        _built[number] = machine
-    return _built[number]
+        _built[name] = machine
+    return _built[name]
 
 
 def _scan(machine, patterns, normal: bytes) -> tuple[list[tuple[int, int]], set[int]]:
@@ -85,10 +86,10 @@ def _scan(machine, patterns, normal: bytes) -> tuple[list[tuple[int, int]], set[
 
 
 def scan_batches(
-    batches: Iterator[pa.RecordBatch], number: int, patterns: list[tuple[str, list[int]]], last: bool = True
+    batches: Iterator[pa.RecordBatch], name: str, patterns: list[tuple[str, list[int]]], last: bool = True
 ) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND (STATE if not the last block) for rows of doc_id, text and, after the first block, items and runs."""
-    machine = _automaton(number, patterns) if patterns else None
+    machine = _automaton(name, patterns) if patterns else None
     names, kinds = zip(*_ARROW[: 5 if last else 7], strict=True)
     for batch in batches:
         ids, column = batch.column(0).to_pylist(), batch.column(1)
@@ -165,9 +166,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     ready(docs.sparkSession)
     parts = benchmark_blocks(benchmark, window, block_bytes)
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for number, patterns in enumerate(parts[:-1]):
-        state = written(_scanned(state, number, patterns, False), "decontamination").select("doc_id", "text", "items", "runs")
-    return _scanned(state, len(parts) - 1, parts[-1], True)
+    for patterns in parts[:-1]:
+        state = written(_scanned(state, patterns, False), "decontamination").select("doc_id", "text", "items", "runs")
+    return _scanned(state, parts[-1], True)
 
 
 def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, list[int]]]]:
@@ -178,25 +179,27 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: in
 def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without an occurrence of a benchmark window, with all their columns and without a shuffle."""
     spark = ready(docs.sparkSession)
-    for number, patterns in enumerate(benchmark_blocks(benchmark, window, block_bytes)):
+    for patterns in benchmark_blocks(benchmark, window, block_bytes):
+        name = uuid.uuid4().hex
         shared = spark.sparkContext.broadcast(patterns)
         at = docs.columns.index("text")
 
-        def run(batches, number=number, shared=shared, at=at):
+        def run(batches, name=name, shared=shared, at=at):
             for batch in batches:
                 ids = pa.array(range(len(batch)), pa.int64())
                 texts = pa.RecordBatch.from_arrays([ids, batch.column(at)], names=["doc_id", "text"])
-                clean = [n == 0 for found in scan_batches(iter([texts]), number, shared.value) for n in found.column(2).to_pylist()]
+                clean = [n == 0 for found in scan_batches(iter([texts]), name, shared.value) for n in found.column(2).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
 
 
-def _scanned(state: DataFrame, number: int, patterns: list[tuple[str, list[int]]], last: bool) -> DataFrame:
+def _scanned(state: DataFrame, patterns: list[tuple[str, list[int]]], last: bool) -> DataFrame:
+    name = uuid.uuid4().hex
     shared = state.sparkSession.sparkContext.broadcast(patterns)
 
     def run(batches):
-        return scan_batches(batches, number, shared.value, last)
+        return scan_batches(batches, name, shared.value, last)
 
     return state.mapInArrow(run, FOUND if last else STATE)
