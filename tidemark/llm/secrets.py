@@ -32,7 +32,7 @@ THRESHOLD = 0.5
 #: Documents the models are trained on at most, about; taken by the hash of doc_id.
 TRAIN_DOCS = 20_000
 LETTERS = 96  # ASCII 32 to 127
-SMOOTHING = 0.5
+SMOOTHING = 0.01
 
 
 @dataclass(frozen=True)
@@ -51,14 +51,14 @@ def base_spans(text: Column) -> Column:
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Models:
     """Count character pairs of labelled samples in about ``train_docs`` documents, chosen by the hash of doc_id.
 
-    Random samples are the values that the base patterns find; ordinary ones are the runs of six or more
-    characters in documents without a base span. At most 2 * 96 * 96 counts come to the driver.
+    Random samples are the values that the base patterns find; ordinary ones are the shorter runs, which are never
+    judged, of documents without a base span. At most 2 * 96 * 96 counts come to the driver.
     """
     every = max(1, -(-docs.count() // train_docs))
     sample = docs.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(every)) == 0).select(
         F.col("text"), base_spans(F.col("text")).alias("base")
     )
-    runs = F.regexp_extract_all("text", F.lit(f"[{RUN_CLASS}]{{6,}}"), F.lit(0))
+    runs = F.regexp_extract_all("text", F.lit(f"(?<![{RUN_CLASS}])[{RUN_CLASS}]{{6,{LEAST_RUN - 1}}}(?![{RUN_CLASS}])"), F.lit(0))
     labelled = sample.select(
         (F.size("base") > 0).alias("random"),
         F.explode(F.when(F.size("base") > 0, F.transform("base", lambda x: x["value"])).otherwise(runs)).alias("run"),

@@ -38,7 +38,7 @@ def running_sums(values: Column) -> Column:
         blocks = F.transform(firsts, lambda first: _running(F.slice(v, first, width)))
 
         def moved(b: Column) -> Column:
-            before = F.concat(F.array(F.lit(0)), _running(F.transform(b, lambda x: F.coalesce(F.element_at(x, -1), F.lit(0)))))
+            before = F.concat(F.array(F.lit(0)), _running(F.transform(b, lambda x: F.coalesce(F.try_element_at(x, F.lit(-1)), F.lit(0)))))
             return let(
                 before,
                 lambda base: F.flatten(F.transform(b, lambda x, i: F.transform(x, lambda y: y + F.element_at(base, i + 1)))),
