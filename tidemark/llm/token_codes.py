@@ -34,8 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Tokens after which a task begins another file (a longer document still lies in one).
 FILE_TOKENS = 4 << 20
-#: Distinct words whose ids a worker remembers; it starts anew beyond.
-KNOWN_WORDS = 300_000
+#: Distinct words whose ids a worker remembers.
+KNOWN_WORDS = 500_000
 
 MANIFEST = "file string, first_doc long, n_docs long, n_tokens long"
 
@@ -132,49 +132,90 @@ class TokenFile:
 class WordEncoder:
     """Ids of texts by a tokenizer that never joins characters across ASCII white space.
 
-    Each distinct word of a batch is encoded once and remembered; the ids of a text are those of its words in
-    turn. ``tests`` hold this against the tokenizer applied to whole texts.
+    Each distinct word of a slice is encoded once and remembered; the ids of a text are those of its words in
+    turn. New words are encoded many at a time with a word of one control character between them, whose id no
+    other text has, so that the ids fall apart again. Beyond ``known_words`` those seen once are forgotten.
+    ``tests`` hold this against the tokenizer applied to whole texts.
     """
 
+    BETWEEN = b"\x01"
+    AT_A_TIME = 400
+
     def __init__(self, tokenizer_json: str, known_words: int = KNOWN_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known_words = known_words
-        self._forget()
+        between = self.tokenizer.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+        self._remember([], np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _remember(self, words: list[bytes], counts: np.ndarray, flat: np.ndarray, seen: np.ndarray) -> None:
+        self.place = dict(zip(words, range(len(words)), strict=True))
+        self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        self.flat = flat
+        self.seen = seen
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        keep = np.flatnonzero(self.seen > 1)
+        if len(keep) > self.known_words // 2:
+            keep = keep[:0]
+        words = list(self.place)
+        counts = np.diff(self.first)
+        inside = np.repeat(np.isin(np.arange(len(counts)), keep), counts)
+        self._remember([words[i] for i in keep], counts[keep], self.flat[inside], np.zeros(len(keep), np.int64))
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in turn, number of ids of each), each word encoded by itself or among others."""
+        if self.between is None or any(self.BETWEEN in w for w in words):
+            ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+            return np.fromiter((i for x in ids for i in x), np.uint32), np.array([len(x) for x in ids], np.int64)
+        mark = b" " + self.BETWEEN + b" "
+        groups = [words[i : i + self.AT_A_TIME] for i in range(0, len(words), self.AT_A_TIME)]
+        texts = [(mark.join(g) + mark).decode("utf-8", "replace") for g in groups]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        marks = np.flatnonzero(flat == self.between)
+        return np.delete(flat, marks), np.diff(np.concatenate([[-1], marks])) - 1
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.place) + len(words) > self.known_words and self.place:
-            raise MemoryError
         new = list(words)
-        ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-        ends = np.cumsum([len(x) for x in ids]) + self.first[-1]
-        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
-        self.first = np.concatenate([self.first, ends])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32)])
+        ids, counts = self._ids(new)
+        known = len(self.place)
+        self.place.update(zip(new, range(known, known + len(new)), strict=True))
+        self.first = np.concatenate([self.first, np.cumsum(counts) + self.first[-1]])
+        self.flat = np.concatenate([self.flat, ids])
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in turn, number of ids of each word)."""
-        new = set(words).difference(self.place)
+        distinct = set(words)
+        new = distinct.difference(self.place)
         if new:
-            try:
-                self._learn(new)
-            except MemoryError:
+            if len(self.place) + len(new) > self.known_words:
                 self._forget()
-                self._learn(set(words))
+                new = distinct.difference(self.place)
+            self._learn(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.seen += np.bincount(at, minlength=len(self.seen))
         counts = self.first[at + 1] - self.first[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(total)], counts
 
 
+_encoders: dict[int, WordEncoder] = {}
+
+
+def worker_encoder(tokenizer_json: str) -> WordEncoder:
+    """The encoder of this Python worker, which serves its tasks one after another."""
+    key = zlib.crc32(tokenizer_json.encode())
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = WordEncoder(tokenizer_json)
+    return _encoders[key]
+
+
 def encode_texts(encoder: WordEncoder, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, each closed by ``end_id``; number of ids of each text)."""
     raw = data.tobytes()
@@ -203,7 +244,7 @@ def write_batches(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_json
     A file gets a name of its own and appears under it when it is whole, so that a repeated attempt of a task
     never touches the files of another one. What an attempt that is lost has left is in no manifest.
     """
-    encoder = WordEncoder(tokenizer_json)
+    encoder = worker_encoder(tokenizer_json)
     system, base = _open(folder)
     system.create_dir(base, recursive=True)
     docs, sizes, ids, held = [], [], [], 0
