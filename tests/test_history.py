@@ -151,3 +151,30 @@ def test_conform_adds_columns(spark):
     assert [r.product_id for r in st.clean_live(prices).collect()] == ["d"]
     bare = st.conform(spark.createDataFrame([("x", "1")], "product_id string, price string")).first()
     assert (bare.source, bare.title) == ("unknown", "x")
+
+
+def test_ties_are_ordered_by_every_column(spark):
+    from tidemark.operators.history import dedupe_daily
+
+    rows = [("p", "2024-01-01 10:00:00", 5.0, rating, cat) for rating in (1.0, 4.0) for cat in ("a", "b")]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(order, "product_id string, t string, price double, rating double, category string").repartition(3)
+        df = df.withColumn("scraped_at", df.t.cast("timestamp")).withColumn("scraped_date", df.t.cast("date")).drop("t")
+        assert [(r.rating, r.category) for r in dedupe_daily(df).collect()] == [(4.0, "b")]
+
+
+def test_payload_without_a_time(spark):
+    from tidemark.operators.staging import validate_payload
+
+    rows = spark.createDataFrame([("p", "s", "u", "t", 1.0, "MAD", None)], "product_id string, source string, url string, title string, price double, currency string, scraped_at timestamp")
+    good, bad = validate_payload(rows)
+    assert good.first().scraped_at is None and good.first().pipeline == "unknown" and bad.count() == 0
+
+
+def test_white_space_of_any_kind_is_stripped(spark):
+    from tidemark.operators.staging import stage_prices
+
+    row = ("p", "s", "u", "\tHP\n", "1", "mad \n", None, "\n", " Phones\t", "", "2024-01-01T00:00:00Z")
+    names = "product_id source url title price currency rating availability category image_url scraped_at".split()
+    got = stage_prices(spark.createDataFrame([row], ", ".join(f"{n} string" for n in names))).first()
+    assert (got.title, got.currency, got.availability, got.category) == ("HP", "MAD", "Unknown", "Phones")

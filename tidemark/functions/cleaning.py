@@ -11,6 +11,11 @@ from tidemark.schema import SOURCE_BY_HOST
 
 MAX_MILLIS = 9223372036854775807
 
+# The characters that count as white space.
+#: White space of any script, as a regular expression's class body.
+SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$|^[+-]?(?i:inf(?:inity)?)$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,10 +32,15 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
+def strip(c: Column | str) -> Column:
+    """Text without white space of any kind around it."""
+    return F.regexp_replace(_col(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
+
+
 def to_number(c: Column | str) -> Column:
-    """Numeric value, null where the text is no number."""
-    number = _col(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Numeric value, null where the text is no plain number: a type suffix or a hexadecimal form is none."""
+    text = strip(_col(c).cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_utc(c: Column | str) -> Column:
@@ -39,12 +49,12 @@ def to_utc(c: Column | str) -> Column:
 
 
 def normalize_source(c: Column | str) -> Column:
-    trimmed = F.trim(_col(c))
+    trimmed = strip(c)
     return lookup(F.lower(trimmed), SOURCE_BY_HOST, trimmed)
 
 
 def normalize_availability(c: Column | str) -> Column:
-    text = F.lower(F.trim(F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"\s+", " ")))
+    text = F.lower(strip(F.regexp_replace(F.coalesce(_col(c), F.lit("")), f"[{SPACES}]+", " ")))
     digits = F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit(""))
     count = digits.try_cast("decimal(38,0)")
     return (

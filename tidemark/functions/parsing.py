@@ -7,12 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import _col, lookup
+from tidemark.functions.cleaning import SPACES, _col, lookup, strip
 from tidemark.schema import STARS_BY_WORD
 
-# The characters that count as white space.
-SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` names it."""
@@ -60,12 +57,12 @@ def parse_star_width(c: Column | str) -> Column:
 
 def rating_from_word(c: Column | str) -> Column:
     """Last word of a CSS class, One..Five."""
-    return lookup(F.try_element_at(F.split(F.trim(_col(c)), r"\s+"), F.lit(-1)), STARS_BY_WORD)
+    return lookup(F.try_element_at(F.split(strip(c), f"[{SPACES}]+"), F.lit(-1)), STARS_BY_WORD)
 
 
 def rating_from_label(c: Column | str) -> Column:
     """'3.00 out of 5' -> 3.0."""
-    return _plain_number(F.split_part(F.trim(_col(c)), F.lit(" "), F.lit(1)))
+    return _plain_number(F.split_part(strip(c), F.lit(" "), F.lit(1)))
 
 
 def stock_from_text(c: Column | str) -> Column:
@@ -96,16 +93,16 @@ def listing_key(url: Column | str) -> Column:
 
 def crumb_at(crumbs: Column | str, position: int) -> Column:
     """1-based breadcrumb from the left, '' if the trail is shorter."""
-    return F.coalesce(F.trim(F.try_element_at(_col(crumbs), F.lit(position))), F.lit(""))
+    return F.coalesce(strip(F.try_element_at(_col(crumbs), F.lit(position))), F.lit(""))
 
 
 def crumb_before_last(crumbs: Column | str, otherwise: Column | str) -> Column:
-    return F.when(F.size(_col(crumbs)) >= 2, F.trim(F.try_element_at(_col(crumbs), F.lit(-2)))).otherwise(
+    return F.when(F.size(_col(crumbs)) >= 2, strip(F.try_element_at(_col(crumbs), F.lit(-2)))).otherwise(
         _col(otherwise)
     )
 
 
 def join_texts(parts: Column | str) -> Column:
     """Join text nodes by a blank, leaving out empty ones."""
-    stripped = F.transform(_col(parts), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    stripped = F.transform(_col(parts), strip)
     return F.array_join(F.filter(stripped, lambda x: x != ""), " ")

@@ -14,9 +14,20 @@ TIME_CHUNKS = 512
 
 
 def newest_first(df: DataFrame, tie_break: list[str]) -> list[Column]:
-    """Latest row first. Rows of equal time are ordered by ``tie_break``, or by what they contain."""
-    ties = tie_break or [x for x in ("source", "url", "title", "price", "currency", "availability") if x in df.columns]
-    return [F.desc("scraped_at"), *[F.desc(x) for x in ties]]
+    """Latest row first. Rows of equal time are ordered by ``tie_break``, or by all they contain."""
+    if tie_break:
+        return [F.desc("scraped_at"), *[F.desc(x) for x in tie_break]]
+    return [F.desc("scraped_at"), *by_content(df, {"scraped_at"})]
+
+
+def by_content(df: DataFrame, known: set[str]) -> list[Column]:
+    """An order by every other column, so that only equal rows can change places; maps by their sorted entries."""
+    out = []
+    for field in df.schema.fields:
+        if field.name not in known:
+            x = F.col(f"`{field.name}`")
+            out.append((F.array_sort(F.map_entries(x)) if field.dataType.typeName() == "map" else x).desc())
+    return out
 
 
 def dedupe_daily(df: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
@@ -30,8 +41,8 @@ def dedupe_daily(df: DataFrame, tie_break: list[str] | None = None) -> DataFrame
 
 
 def latest_version(df: DataFrame, key: str = "row_key", written: str = "written_at") -> DataFrame:
-    """Keep one version, the last written, of every key."""
-    w = Window.partitionBy(key).orderBy(F.desc(written))
+    """Keep one version, the last written, of every key; of versions written together the greatest by content."""
+    w = Window.partitionBy(key).orderBy(F.desc(written), *by_content(df, {key, written}))
     return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1).drop("rn")
 
 

@@ -17,7 +17,6 @@ from tidemark.schema import KNOWN_SOURCES
 REQUIRED_COLUMNS = ["product_id", "price", "source", "title", "scraped_at"]
 FIRST_DAY = "2020-01-01"
 CHECK_SCHEMA = "check string, passed boolean, detail string"
-NAMES_IN_DETAIL = 20
 
 
 def unknown_sources(df: DataFrame, known: list[str] | None = None) -> DataFrame:
@@ -38,8 +37,8 @@ def run_checks(
 ) -> DataFrame:
     """The suite as (check, passed, detail), in a fixed order.
 
-    One aggregate pass covers all scalar checks, one the outlier fence and one the sources. The first
-    twenty names of unknown or rare sources go into the detail; ``unknown_sources`` lists them all.
+    One aggregate pass covers all scalar checks, one the outlier fence and one the sources. All names of
+    unknown and of rare sources go into the detail.
     """
     spark = df.sparkSession
     known = known or KNOWN_SOURCES
@@ -75,7 +74,7 @@ def run_checks(
             bad(F.col("_at") < F.lit(FIRST_DAY).cast("timestamp")).alias("ancient"),
         ]
     if "title" in cols:
-        aggs += [bad(F.col("title").isNull() | (F.trim(F.col("title").cast("string")) == "")).alias("untitled")]
+        aggs += [bad(F.col("title").isNull() | (c.strip(F.col("title").cast("string")) == "")).alias("untitled")]
     if "rating" in cols:
         aggs += [F.count("_rating").alias("ratings"), bad(~F.col("_rating").between(0, 5)).alias("bad_ratings")]
     row = df.agg(*aggs).first().asDict()
@@ -143,7 +142,7 @@ def _source_checks(df: DataFrame, known: list[str]) -> list[tuple]:
     found = counts.agg(F.count_if(strange).alias("strange"), F.count_if(rare).alias("rare")).first()
 
     def some(cond: Column) -> list:
-        return counts.where(cond).orderBy("source").limit(NAMES_IN_DETAIL).collect()
+        return counts.where(cond).orderBy("source").collect()
 
     names = ", ".join(repr(r["source"]) for r in some(strange)) if found["strange"] else ""
     low = {r["source"]: r["n"] for r in some(rare)} if found["rare"] else {}

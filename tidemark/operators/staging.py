@@ -42,12 +42,12 @@ def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
             "product_id",
             "source",
             "url",
-            F.trim("title").alias("title"),
+            c.strip("title").alias("title"),
             _as_number(raw, "price").alias("price"),
-            F.upper(F.trim("currency")).alias("currency"),
+            F.upper(c.strip("currency")).alias("currency"),
             _as_number(raw, "rating").alias("rating"),
-            F.coalesce(c.blank_to_null(F.trim("availability")), F.lit("Unknown")).alias("availability"),
-            c.blank_to_null(F.trim("category")).alias("category"),
+            F.coalesce(c.blank_to_null(c.strip("availability")), F.lit("Unknown")).alias("availability"),
+            c.blank_to_null(c.strip("category")).alias("category"),
             c.blank_to_null("image_url").alias("image_url"),
             at.alias("scraped_at"),
             F.to_date(at).alias("scraped_date"),
@@ -77,11 +77,14 @@ def shift_fields(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 
 
 def default_fields(df: DataFrame, spec: dict[str, object]) -> DataFrame:
-    """Give absent or null fields a value; a null default only makes sure the field exists."""
+    """Give absent or null fields a value; a null default only makes sure the field exists.
+
+    A text default is for text: a null time or number stays null.
+    """
     for name, value in spec.items():
         if name not in df.columns:
             df = df.withColumn(name, F.lit(value).cast("double") if value is None else F.lit(value))
-        elif value is not None:
+        elif value is not None and (_is_text(df, name) or not isinstance(value, str)):
             df = df.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
     return df
 

@@ -55,20 +55,20 @@ RAW = """raw AS (
     CASE event_type WHEN 'click' THEN 'books.toscrape.com' WHEN 'error' THEN 'scrapeme.live'
       WHEN 'purchase' THEN 'jumia.ma' WHEN 'signup' THEN 'ultrapc.ma' WHEN 'view' THEN 'micromagma.ma' END AS source,
     'https://shop.example.com/p/' || user_id AS url,
-    '  Product ' || user_id || ' ' AS title,
+    '  Product ' || user_id || ' ' || chr(10) AS title,
     value AS price,
-    CASE WHEN event_type IN ('click', 'error') THEN ' gbp' ELSE 'mad ' END AS currency,
+    CASE WHEN event_type IN ('click', 'error') THEN ' gbp' ELSE 'mad' || chr(9) END AS currency,
     CAST(k % 51 AS DOUBLE) / 10 AS rating,
     CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN ' In stock' WHEN 2 THEN k || ' available' END AS availability,
-    CASE WHEN k % 13 = 0 THEN ' ' ELSE 'Cat ' || (k % 6) END AS category,
+    CASE WHEN k % 13 = 0 THEN ' ' || chr(10) || chr(9) ELSE 'Cat ' || (k % 6) END AS category,
     CASE WHEN k % 3 = 0 THEN '' ELSE 'https://img.example.com/' || user_id END AS image_url,
     ts AS scraped_at, event_id
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events))"""
 
 STG = RAW + """, stg AS (
-  SELECT product_id, source, url, trim(title) AS title, price, upper(trim(currency)) AS currency, rating,
-    coalesce(nullif(trim(availability), ''), 'Unknown') AS availability,
-    nullif(trim(category), '') AS category, nullif(image_url, '') AS image_url,
+  SELECT product_id, source, url, trim(title, ' ' || chr(9) || chr(10)) AS title, price, upper(trim(currency, ' ' || chr(9) || chr(10))) AS currency, rating,
+    coalesce(nullif(trim(availability, ' ' || chr(9) || chr(10)), ''), 'Unknown') AS availability,
+    nullif(trim(category, ' ' || chr(9) || chr(10)), '') AS category, nullif(image_url, '') AS image_url,
     scraped_at, CAST(scraped_at AS DATE) AS scraped_date, event_id
   FROM raw WHERE product_id IS NOT NULL AND source IS NOT NULL AND price >= 0),
 pos AS (SELECT * FROM stg WHERE price > 0)"""
@@ -327,12 +327,12 @@ register(
 )
 register(
     "text_functions",
-    """SELECT doc_id, lang, lower(regexp_replace(substr(text, 1, 40) || '_' || source, '[^\\p{L}\\p{N}_]+', '_', 'g')) AS surrogate,
+    """SELECT doc_id, lang, lower(regexp_replace(coalesce(text, '') || '_' || source, '[^\\p{L}\\p{N}_]+', '_', 'g')) AS surrogate,
   substr(text, 1, 38) AS short, coalesce(nullif(trim(source), ''), lang) AS first_label FROM documents""",
 )(
     lambda s, f: tables.read_table(s, f, "documents").select(
         "doc_id", "lang",
-        c.surrogate_product_id(F.substring("text", 1, 40), F.col("source")).alias("surrogate"),
+        c.surrogate_product_id("text", F.col("source")).alias("surrogate"),
         c.truncate("text", 38).alias("short"),
         c.first_match(F.trim("source"), "lang").alias("first_label"),
     )
@@ -402,12 +402,21 @@ register(
 # --------------------------------------------------------------------------- sources and sinks
 
 
+# Records as they are sent: broken, refused, without a time, twice, or again from another source.
+SENT = """sent AS (SELECT * REPLACE (CASE WHEN copy = 2 THEN 'other.example' ELSE source END AS source,
+    CASE WHEN event_id % 101 <> 0 THEN scraped_at END AS scraped_at) FROM (
+  SELECT stg.*, raw.availability AS raw_av, CASE WHEN event_id % 83 = 0 THEN '' ELSE stg.title END AS title2,
+    CASE WHEN event_id % 89 = 0 THEN -stg.price ELSE stg.price END AS price2, event_id % 97 = 0 AS corrupt,
+    unnest(CASE WHEN event_id % 10 = 0 THEN [1, 1] WHEN event_id % 13 = 0 AND event_id % 97 <> 0 THEN [1, 2] ELSE [1] END) AS copy
+  FROM stg JOIN raw USING (event_id)))"""
+JSON_OK = f"""{STG}, {SENT}, good AS (SELECT product_id, source, url, title2 AS title, price2 AS price, currency, rating,
+    nullif(raw_av, '') AS raw_av, scraped_at FROM sent WHERE NOT corrupt AND title2 <> '' AND price2 >= 0)"""
+
+
 @register(
     "json_records",
-    f"""WITH {STG} SELECT product_id, source, url, title, price, currency, rating, scraped_at FROM (
-    SELECT *, CASE WHEN event_id % 83 = 0 THEN '' ELSE title END AS title2,
-      CASE WHEN event_id % 89 = 0 THEN -price ELSE price END AS price2 FROM stg WHERE event_id % 97 <> 0)
-  WHERE title2 <> '' AND price2 >= 0""",
+    f"""WITH {JSON_OK} SELECT product_id, source, url, title, price, currency, rating, scraped_at FROM (
+  SELECT DISTINCT * FROM good WHERE scraped_at IS NOT NULL)""",
 )
 def json_records(spark: SparkSession, sf: str) -> DataFrame:
     """Write JSON lines, read them back, set aside what is broken, load the rest once."""
@@ -668,7 +677,7 @@ register("describe_prices", f"""WITH {STG} SELECT source, count(price) AS n, {ME
 CATS = [f"Cat {x}" for x in range(6)]
 register("median_pivot", f"WITH {STG} SELECT source, " + ", ".join(
     rnd(pctl("price", 0.5, f" FILTER (WHERE category = '{x}')"), 2) + f' AS "{x}"' for x in CATS) + " FROM pos GROUP BY source")(
-    lambda s, f: d.median_pivot(positive(s, f), CATS)
+    lambda s, f: d.median_pivot(positive(s, f).where("category IS NOT NULL"))
 )
 register("daily_average", f"""WITH {STG} SELECT scraped_date, source, {rnd('avg(price)', 6)} AS avg_price, count(price) AS n
   FROM pos GROUP BY 1, 2""")(lambda s, f: d.daily_average(positive(s, f), digits=6))
@@ -1051,13 +1060,10 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- streaming
 
-JSON_OK = STG + """, sent AS (SELECT *, CASE WHEN event_id % 83 = 0 THEN '' ELSE title END AS title2,
-    CASE WHEN event_id % 89 = 0 THEN -price ELSE price END AS price2, event_id % 97 = 0 AS corrupt FROM stg)"""
-
-
-def texts(spark: SparkSession, sf: str, stream: bool = True) -> DataFrame:
-    read = tables.stream_table if stream else tables.read_table
-    return tables.json_texts(read(spark, sf, "events"))
+def texts(spark: SparkSession, sf: str, base: str) -> DataFrame:
+    """The records as a stream of several micro-batches, in no order of time."""
+    tables.json_files(spark, sf, f"{base}/sent")
+    return ingest.text_stream(spark, f"{base}/sent", max_files=1)
 
 
 def run(*queries) -> None:
@@ -1065,45 +1071,50 @@ def run(*queries) -> None:
         query.awaitTermination()
 
 
-@register("stream_ingest", f"""WITH {JSON_OK} SELECT product_id, source, title, price, currency, rating, coalesce(nullif(raw_av, ''), 'Unknown') AS availability,
-  scraped_at, 'nifi-streaming' AS pipeline FROM (SELECT sent.*, raw.availability AS raw_av FROM sent JOIN raw USING (event_id))
-  WHERE NOT corrupt AND title2 <> '' AND price2 >= 0""")
+@register("stream_ingest", f"""WITH {JSON_OK} SELECT product_id, source, title, price, currency, rating, coalesce(raw_av, 'Unknown') AS availability,
+  scraped_at, 'nifi-streaming' AS pipeline FROM (SELECT DISTINCT * FROM good)""")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Accepted records of the stream, replays dropped; a second sink that fails must not matter."""
+    """Accepted records of all batches, replays dropped; a sink that was down gets its batches afterwards.
+
+    The time of a record that was sent without one is the time of ingest: shown as null.
+    """
     base = fresh_dir(spark, "ingest")
 
     def broken_sink(batch: DataFrame, batch_id: int) -> None:
         raise OSError("sink is down")
 
-    sinks = [ingest.Sink("down", broken_sink), ingest.folder_sink("off", f"{base}/off", enabled=False), ingest.folder_sink("valid", f"{base}/valid")]
-    run(*ingest.ingest_stream(texts(spark, sf), sinks, ingest.folder_sink("rejects", f"{base}/rejects"), f"{base}/cp"))
-    return spark.read.parquet(f"{base}/valid").select(
-        "product_id", "source", "title", "price", "currency", "rating", "availability", "scraped_at", "pipeline"
+    sinks = [ingest.Sink("late", broken_sink), ingest.folder_sink("off", f"{base}/off", enabled=False), ingest.folder_sink("valid", f"{base}/valid")]
+    run(*ingest.ingest_stream(texts(spark, sf, base), sinks, ingest.folder_sink("rejects", f"{base}/rejects"), f"{base}/cp"))
+    ingest.retry_failed(spark, ingest.folder_sink("late", f"{base}/late"), f"{base}/cp/valid/failed")
+    return spark.read.parquet(f"{base}/late").select(
+        "product_id", "source", "title", "price", "currency", "rating", "availability",
+        F.when(F.col("scraped_at") < "2025-01-01", F.col("scraped_at")).alias("scraped_at"), "pipeline",
     )
 
 
-@register("stream_rejects", f"""WITH {JSON_OK} SELECT reject_reason, count(*) AS n FROM (
-    SELECT CASE WHEN corrupt THEN 'corrupt record' WHEN title2 = '' THEN 'missing title' WHEN price2 < 0 THEN 'negative price' END AS reject_reason,
-      unnest(CASE WHEN event_id % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM sent) WHERE reject_reason IS NOT NULL GROUP BY 1""")
+@register("stream_rejects", f"""WITH {STG}, {SENT} SELECT reject_reason, count(*) AS n FROM (
+    SELECT CASE WHEN corrupt THEN 'corrupt record' WHEN title2 = '' THEN 'missing title' WHEN price2 < 0 THEN 'negative price' END AS reject_reason
+    FROM sent) WHERE reject_reason IS NOT NULL GROUP BY 1""")
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     base = fresh_dir(spark, "rejects")
     sink = ingest.folder_sink("rejects", f"{base}/rejects")
-    run(ingest.start(ingest.rejected_records(ingest.prepare(texts(spark, sf))), [sink], f"{base}/cp"))
+    run(ingest.start(ingest.rejected_records(ingest.prepare(texts(spark, sf, base))), [sink], f"{base}/cp"))
     return spark.read.parquet(f"{base}/rejects").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stream_counters", f"""WITH {JSON_OK} SELECT count(*) FILTER (WHERE NOT corrupt AND title2 <> '' AND price2 >= 0) AS ingested,
-  count(*) FILTER (WHERE corrupt OR title2 = '' OR price2 < 0) AS errors FROM (
-    SELECT *, unnest(CASE WHEN event_id % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM sent)""")
+@register("stream_counters", f"""WITH {JSON_OK} SELECT (SELECT count(*) FROM sent) AS sent, (SELECT count(*) FROM (SELECT DISTINCT * FROM good)) AS ingested,
+  (SELECT count(*) FROM good) - (SELECT count(*) FROM (SELECT DISTINCT * FROM good)) AS replays,
+  (SELECT count(*) FROM sent WHERE corrupt OR title2 = '' OR price2 < 0) AS errors""")
 def stream_counters(spark: SparkSession, sf: str) -> DataFrame:
-    """Totals of the counters that were observed while the stream ran."""
+    """What became of every record that was sent: written, a replay, or refused."""
     base = fresh_dir(spark, "counters")
-    marked = ingest.observed(ingest.prepare(texts(spark, sf)))
-    query = ingest.start(marked, [ingest.folder_sink("all", f"{base}/all")], f"{base}/cp")
-    run(query)
-    seen = [x["observedMetrics"]["ingest"] for x in query.recentProgress if x["observedMetrics"].get("ingest")]
-    totals = [(sum(r["ingested"] for r in seen), sum(r["errors"] for r in seen))]
-    return spark.createDataFrame(totals, "ingested long, errors long")
+    sinks = [ingest.folder_sink("valid", f"{base}/valid")]
+    run(*ingest.ingest_stream(texts(spark, sf, base), sinks, ingest.folder_sink("rejects", f"{base}/rejects"), f"{base}/cp"))
+    refused = spark.read.parquet(f"{base}/rejects").agg(F.count(F.lit(1)).alias("errors"))
+    written = spark.read.parquet(f"{base}/valid").agg(F.count(F.lit(1)).alias("ingested"))
+    sent = spark.read.text(f"{base}/sent").agg(F.count(F.lit(1)).alias("sent"))
+    counted = ingest.read_counters(spark, f"{base}/cp/valid").select("replays")
+    return sent.join(written).join(counted).join(refused)
 
 
 @register("stream_to_jsonl", f"WITH {STG} SELECT product_id, price, scraped_at FROM stg")

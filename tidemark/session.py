@@ -55,9 +55,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is set (tests)."""
+    """The shared folder named by the cluster.
+
+    Without one, a session whose master is ``local`` or ``local[...]`` gets a temporary folder, as its only
+    executor is the driver. On any other master intermediate tables would be scattered over machines: an error.
+    """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.cleaning import strip, to_number
 from tidemark.operators.small import collect_small
 from tidemark.schema import PRICE_SCHEMA
 
@@ -22,19 +23,24 @@ JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """All JSON lines below ``path``. Unknown fields are ignored, missing ones are null and records that
-    cannot be read keep their text in ``_corrupt_record``; files that cannot be read are passed over."""
+    cannot be read keep their text in ``_corrupt_record``; files that cannot be read are passed over.
+    Price and rating may be numbers or their text; any other text there is read as null."""
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(path)
     )
-    return parse_records(lines.where(F.trim("value") != "")).drop("value")
+    return parse_records(lines.where(strip("value") != "")).drop("value")
 
 
 def parse_records(df: DataFrame, text: str = "value") -> DataFrame:
     """The same for JSON texts in a column; other columns are kept."""
-    schema = T.StructType([*PRICE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    number = {f.name for f in PRICE_SCHEMA.fields if f.dataType == T.DoubleType()}
+    fields = [T.StructField(f.name, T.StringType()) if f.name in number else f for f in PRICE_SCHEMA.fields]
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = df.withColumn("_r", F.from_json(text, schema, options))
-    return parsed.select(*df.columns, "_r.*")
+    return parsed.select(
+        *df.columns, *[(to_number(f"_r.{x}") if x in number else F.col(f"_r.{x}")).alias(x) for x in schema.fieldNames()]
+    )
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,20 +60,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def load_raw(df: DataFrame, path: str) -> DataFrame:
     """Append observations to the raw table, partitioned by day, and return what was new.
 
-    A repeated load adds nothing: an event is known by its product and time. Only the days of the batch
-    are read back from the table.
+    A repeated load adds nothing: a record is known by all its fields, null or not. Rows of one product and
+    time that differ in anything are different records. Only the days of the batch are read back from the
+    table, or all of them if a batch has more than ten thousand.
     """
     spark = df.sparkSession
-    batch = df.withColumn("scraped_date", F.to_date("scraped_at")).dropDuplicates(["product_id", "scraped_at"])
+    batch = df.withColumn("scraped_date", F.to_date("scraped_at")).distinct()
     if path_exists(spark, path):
-        present = spark.read.parquet(path)
+        present = spark.read.schema(batch.schema).parquet(path)
         days = collect_small(batch.select("scraped_date").distinct(), 10_000)
         if days is not None:
-            present = present.where(F.col("scraped_date").isin([r[0] for r in days.collect()]))
-        # With the day among the keys, no task has to hold more of a product than one day.
-        keys = ["scraped_date", "product_id", "scraped_at"]
-        batch = batch.join(present.select(*keys), keys, "left_anti")
-    batch.write.mode("append").partitionBy("scraped_date").parquet(path)
+            known = [r[0] for r in days.collect()]
+            same_day = F.col("scraped_date").isin([x for x in known if x is not None])
+            present = present.where(same_day | F.col("scraped_date").isNull() if None in known else same_day)
+        batch = batch.subtract(present.select(batch.columns))
+    # Few files for each day; a day with very many rows is still split over tasks.
+    batch.hint("rebalance", "scraped_date").write.mode("append").partitionBy("scraped_date").parquet(path)
     return batch
 
 

@@ -80,6 +80,7 @@ LAYOUTS = {
             "rating_text": ["div.stars > div@style"],
             "image": ["img.img@data-src", "img.img@src"],
             "out": ["div.s-info"],
+            "image_absolute": False,
         }
     },
     "ultrapc.ma": {"listing": SHOP_LISTING, "detail": SHOP_DETAIL},
@@ -205,11 +206,19 @@ def _first(top: _Node, candidates: list[str]) -> str:
     return ""
 
 
+def _absolute(url: str, link: str) -> str:
+    """The link as seen from the page; one that cannot be read as a link is left as it is."""
+    try:
+        return urljoin(url, link)
+    except ValueError:
+        return link
+
+
 def _fields(page: _Node, top: _Node, spec: dict, url: str) -> dict:
     image = _first(top, spec.get("image", []))
     href = _first(top, spec.get("href", []))
     return {
-        "href": urljoin(url, href) if "href" in spec else url,
+        "href": _absolute(url, href) if "href" in spec else url,
         "title": _first(top, spec.get("title", [])),
         "price_text": _first(top, spec["price_text"]),
         "rating_text": _first(top, spec.get("rating_text", [])),
@@ -219,7 +228,7 @@ def _fields(page: _Node, top: _Node, spec: dict, url: str) -> dict:
         "out_marked": any(_select(top, x) for x in spec.get("out", [])),
         "crumbs": _values(page, spec["crumbs"]) if "crumbs" in spec else [],
         "page_category": _first(page, spec.get("page_category", [])),
-        "image_url": urljoin(url, image) if image else "",
+        "image_url": _absolute(url, image) if image and spec.get("image_absolute", True) else image,
     }
 
 

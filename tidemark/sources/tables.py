@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import lookup
+from tidemark.functions.cleaning import lookup, strip
 from tidemark.session import prepare
 
 SOURCE_BY_EVENT = {
@@ -52,14 +52,14 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("p"), user).alias("product_id"),
         lookup("event_type", SOURCE_BY_EVENT).alias("source"),
         F.concat(F.lit("https://shop.example.com/p/"), user).alias("url"),
-        F.concat(F.lit("  Product "), user, F.lit(" ")).alias("title"),
+        F.concat(F.lit("  Product "), user, F.lit(" \n")).alias("title"),
         F.col("value").alias("price"),
-        F.when(F.col("event_type").isin("click", "error"), " gbp").otherwise("mad ").alias("currency"),
+        F.when(F.col("event_type").isin("click", "error"), " gbp").otherwise("mad\t").alias("currency"),
         ((k % 51).cast("double") / 10).alias("rating"),
         F.when(k % 4 == 0, "").when(k % 4 == 1, " In stock").when(
             k % 4 == 2, F.concat(k.cast("string"), F.lit(" available"))
         ).alias("availability"),
-        F.when(k % 13 == 0, " ").otherwise(F.concat(F.lit("Cat "), (k % 6).cast("string"))).alias("category"),
+        F.when(k % 13 == 0, " \n\t").otherwise(F.concat(F.lit("Cat "), (k % 6).cast("string"))).alias("category"),
         F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("https://img.example.com/"), user)).alias("image_url"),
         F.col("ts").cast("timestamp").alias("scraped_at"),
         "event_id",
@@ -96,25 +96,39 @@ def _iso(at: Column) -> Column:
 
 
 def json_texts(events: DataFrame) -> DataFrame:
-    """Each event as a JSON record ``value``. Some records are broken on purpose, and some sent twice."""
+    """Each event as a JSON record ``value``.
+
+    Some records are broken on purpose, some sent twice, some have their price as text, some no time, and some
+    come a second time from another source.
+    """
     raw = raw_from_events(events)
     e = F.col("event_id")
     record = F.struct(
         "product_id",
         "source",
         "url",
-        F.when(e % 83 == 0, "").otherwise(F.trim("title")).alias("title"),
-        F.when(e % 89 == 0, -F.col("price")).otherwise(F.col("price")).alias("price"),
-        F.upper(F.trim("currency")).alias("currency"),
+        F.when(e % 83 == 0, "").otherwise(strip("title")).alias("title"),
+        F.when(e % 89 == 0, -F.col("price")).otherwise(F.col("price")).cast("string").alias("price"),
+        F.upper(strip("currency")).alias("currency"),
         "rating",
         F.nullif("availability", F.lit("")).alias("availability"),
         F.lit("x").alias("unknown_field"),
-        _iso(F.col("scraped_at")).alias("scraped_at"),
+        F.when(e % 101 != 0, _iso(F.col("scraped_at"))).alias("scraped_at"),
+    )
+    # A price goes out as a number but for one in seven, which stays text.
+    text = F.when(e % 7 == 0, F.to_json(record)).otherwise(
+        F.regexp_replace(F.to_json(record), r'"price":"([^"]*)"', r'"price":$1')
     )
-    text = F.to_json(record)
+    other = F.regexp_replace(text, r'"source":"[^"]*"', r'"source":"other.example"')
     value = F.when(e % 97 == 0, F.substring(text, 1, 30)).otherwise(text)
-    copies = F.when(e % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return raw.select(value.alias("value"), F.explode(copies).alias("copy")).select("value")
+    copies = F.when(e % 10 == 0, F.array(value, value)).when((e % 13 == 0) & (e % 97 != 0), F.array(value, other)).otherwise(F.array(value))
+    return raw.select(F.explode(copies).alias("value"))
+
+
+def json_files(spark: SparkSession, sf_dir: str, folder: str, batches: int = 4) -> None:
+    """The same records as text files, dealt one after another, so that a stream of files gets all times in any
+    order and copies in another batch than the record."""
+    json_texts(read_table(spark, sf_dir, "events")).repartition(batches).write.text(folder)
 
 
 def written_prices(lines: DataFrame) -> DataFrame:

@@ -13,16 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery, StreamingQueryListener
 
 from tidemark.functions import cleaning as c
+from tidemark.operators.small import collect_small
 from tidemark.operators.staging import STREAM_DEFAULTS, default_fields, reject_reason
 from tidemark.schema import PRICE_COLUMNS
-from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records
+from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records, path_exists
 
 log = logging.getLogger(__name__)
 
-LATE = "1 day"
-SALTS = 16
-
-
 @dataclass(frozen=True)
 class Sink:
     """A named target of a micro-batch; ``write(df, batch_id)`` must give the same result when repeated."""
@@ -40,32 +37,56 @@ def text_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return reader.load(folder)
 
 
+RECORD_KEY = ["_key", "_key2"]
+
+
 def prepare(texts: DataFrame) -> DataFrame:
     """Typed records with defaults, and ``reject_reason`` where a record is refused.
 
     Works on streams and on tables with a ``value`` column. A record without a time gets the time of
-    ingest; one that is no JSON is refused as corrupt.
+    ingest; one that is no JSON is refused as corrupt. ``_day`` and the two hashes in RECORD_KEY are of the
+    record as it was sent, before any default.
     """
     parsed = parse_records(texts.select(F.col("value").cast("string").alias("value")))
-    timed = parsed.withColumn("scraped_at", F.when(F.col(CORRUPT).isNull(), c.default_event_time("scraped_at")))
+    known = [F.col(x) for x in PRICE_COLUMNS]
+    keyed = (
+        parsed.withColumn("_day", F.coalesce(F.date_format("scraped_at", "yyyy-MM-dd"), F.lit("none")))
+        .withColumn("_key", F.xxhash64(*known, *[x.isNull() for x in known]))
+        .withColumn("_key2", F.xxhash64(F.lit("second"), *[x.isNull() for x in known], *known))
+    )
+    no_number = F.col("price").isNull() & F.get_json_object("value", "$.price").isNotNull()
+    timed = keyed.withColumn("scraped_at", F.when(F.col(CORRUPT).isNull(), c.default_event_time("scraped_at")))
     filled = default_fields(timed, STREAM_DEFAULTS)
-    reason = F.coalesce(F.when(F.col(CORRUPT).isNotNull(), "corrupt record"), reject_reason(filled))
+    reason = F.coalesce(
+        F.when(F.col(CORRUPT).isNotNull(), "corrupt record"), F.when(no_number, "price not numeric"), reject_reason(filled)
+    )
     return filled.withColumn("reject_reason", reason).drop(CORRUPT)
 
 
-def valid_records(prepared: DataFrame, late: str = LATE, salts: int = SALTS) -> DataFrame:
-    """Accepted records without replays: one per product and time within the watermark.
+def valid_records(prepared: DataFrame) -> DataFrame:
+    """Accepted records with the key and day of what was sent; replays are dropped when a batch is written."""
+    return prepared.where(F.col("reject_reason").isNull()).select(*PRICE_COLUMNS, "pipeline", "_day", *RECORD_KEY)
+
+
+def without_replays(batch: DataFrame, batch_id: int, ledger: str) -> DataFrame:
+    """Rows of the batch that no other batch has delivered, each once, however late they come.
 
-    Copies are first dropped per salt (the number of the input partition), then altogether, so that a
-    record that is sent over and over does not send all its copies to one task. ``salts=1`` skips this.
+    The ledger holds the keys of all delivered records by day; only the days of the batch are read from it.
+    Keys of the batch itself do not count, so that a repeated batch gives the same rows again.
     """
-    key = ["product_id", "scraped_at"]
-    good = prepared.where(F.col("reject_reason").isNull()).select(*PRICE_COLUMNS, "pipeline")
-    good = good.withWatermark("scraped_at", late)
-    if salts > 1:
-        salted = good.withColumn("_salt", F.spark_partition_id() % salts)
-        good = salted.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt")
-    return good.dropDuplicatesWithinWatermark(key)
+    once = batch.dropDuplicates(["_day", *RECORD_KEY])
+    spark = batch.sparkSession
+    if not path_exists(spark, ledger):
+        return once
+    seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("batch") != batch_id)
+    days = collect_small(batch.select("_day").distinct(), 10_000)
+    if days is not None:
+        seen = seen.where(F.col("_day").isin([r[0] for r in days.collect()]))
+    return once.join(seen.drop("batch"), ["_day", *RECORD_KEY], "left_anti")
+
+
+LEDGER = "_key long, _key2 long, batch long, _day string"
+COUNTERS = "received long, written long, replays long, batch long"
 
 
 def rejected_records(prepared: DataFrame) -> DataFrame:
@@ -107,9 +128,12 @@ class IngestCounters(StreamingQueryListener):
         return round(self.ingested / max(int(time.time() - self.started), 1), 2)
 
 
-def fan_out(sinks: list[Sink]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: every enabled sink gets the batch; one that fails is logged and the
-    others go on."""
+def fan_out(sinks: list[Sink], failed: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: every enabled sink gets the batch; the others go on when one fails.
+
+    With ``failed``, a folder, the batch of a failed sink is written there for ``retry_failed``; if that fails
+    too, the stream stops, so that nothing is lost. Without it a failure is only logged.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -121,12 +145,31 @@ def fan_out(sinks: list[Sink]) -> Callable[[DataFrame, int], None]:
                     sink.write(kept, batch_id)
                 except Exception as err:  # noqa: BLE001 - any sink may fail in its own way
                     log.warning("sink %s failed for batch %s: %s", sink.name, batch_id, err)
+                    if failed:
+                        kept.write.mode("overwrite").parquet(f"{failed}/{sink.name}/batch={batch_id}")
         finally:
             kept.unpersist()
 
     return run
 
 
+def retry_failed(spark: SparkSession, sink: Sink, failed: str) -> list[int]:
+    """Deliver again what a sink has missed, batch by batch, and return the numbers of the batches delivered.
+
+    A delivered batch is replaced by an empty one. A batch that fails again raises and stays.
+    """
+    folder = f"{failed}/{sink.name}"
+    if not path_exists(spark, folder):
+        return []
+    missed = spark.read.parquet(folder)
+    numbers = sorted(r[0] for r in missed.select("batch").distinct().collect())
+    for number in numbers:
+        batch = spark.read.parquet(f"{folder}/batch={number}")
+        sink.write(batch, number)
+        spark.createDataFrame([], batch.schema).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    return numbers
+
+
 def folder_sink(name: str, path: str, fmt: str = "parquet", enabled: bool = True) -> Sink:
     """Files in one sub-folder per batch, so that a repeated batch replaces itself."""
 
@@ -137,15 +180,53 @@ def folder_sink(name: str, path: str, fmt: str = "parquet", enabled: bool = True
 
 
 def start(df: DataFrame, sinks: list[Sink], checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(fan_out(sinks)).option("checkpointLocation", checkpoint)
+    return start_batches(df, fan_out(sinks, f"{checkpoint}/failed"), checkpoint, available_now)
+
+
+def start_batches(df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_valid(valid: DataFrame, sinks: list[Sink], checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Deliver accepted records to the sinks, each record once, and keep counters of what was written.
+
+    A batch's keys enter the ledger after its sinks, and a batch that is run again ignores its own entries.
+    """
+    deliver = fan_out(sinks, f"{checkpoint}/failed")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, kept = batch.sparkSession, batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fresh = without_replays(kept, batch_id, f"{checkpoint}/ledger").persist(StorageLevel.MEMORY_AND_DISK)
+            received, written = kept.count(), fresh.count()
+            deliver(fresh.drop("_day", *RECORD_KEY), batch_id)
+            ledger = fresh.select("_day", *RECORD_KEY).hint("rebalance", "_day")
+            ledger.write.mode("overwrite").partitionBy("_day").parquet(f"{checkpoint}/ledger/batch={batch_id}")
+            counts = spark.createDataFrame([(received, written, received - written)], "received long, written long, replays long")
+            counts.write.mode("overwrite").parquet(f"{checkpoint}/counters/batch={batch_id}")
+            fresh.unpersist()
+        finally:
+            kept.unpersist()
+
+    return start_batches(valid, run, checkpoint, available_now)
+
+
+def read_counters(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Totals of all batches of ``start_valid``: received = written + replays."""
+    folder = f"{checkpoint}/counters"
+    rows = spark.read.schema(COUNTERS).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], COUNTERS)
+    return rows.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("received", "written", "replays")])
+
+
 def ingest_stream(texts: DataFrame, sinks: list[Sink], rejects: Sink, checkpoint: str) -> list[StreamingQuery]:
-    """One query for accepted records and one for rejects; both read all the source holds."""
+    """One query for accepted records and one for rejects; both read all the source holds.
+
+    Every record that is read is written, refused with a reason, or a replay of a written one.
+    """
     prepared = prepare(texts)
     return [
-        start(valid_records(observed(prepared)), sinks, f"{checkpoint}/valid"),
+        start_valid(valid_records(observed(prepared)), sinks, f"{checkpoint}/valid"),
         start(rejected_records(prepared), [rejects], f"{checkpoint}/rejects"),
     ]
 
