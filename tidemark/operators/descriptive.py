@@ -6,7 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.distribution import count_values, quantiles, summarise
+from tidemark.operators.distribution import (
+    COUNT,
+    HIGHEST,
+    KURTOSIS,
+    LOWEST,
+    MEAN,
+    SKEWNESS,
+    STD,
+    STD_POP,
+    VARIANCE,
+    count_values,
+    quantiles,
+    summarise,
+)
 from tidemark.operators.history import lag_price
 from tidemark.operators.small import attach, localize
 
@@ -21,14 +34,8 @@ def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 def fallback_stats(df: DataFrame) -> DataFrame:
     """Statistics by source and currency over all rows; here every row counts as a product."""
-    aggs = [
-        F.count("price").alias("product_count"),
-        F.avg("price").alias("avg_price"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.stddev_samp("price").alias("stddev_price"),
-    ]
-    out = summarise(df, ["source", "currency"], "price", aggs, {"median_price": 0.5})
+    stats = {"product_count": COUNT, "avg_price": MEAN, "min_price": LOWEST, "max_price": HIGHEST, "stddev_price": STD}
+    out = summarise(df, ["source", "currency"], "price", stats, {"median_price": 0.5})
     return _rounded(out, {x: 2 for x in out.columns if x.endswith("_price")})
 
 
@@ -59,13 +66,13 @@ def central_tendency(df: DataFrame, group: str = "source") -> DataFrame:
 
 
 def dispersion(df: DataFrame, group: str = "source") -> DataFrame:
-    aggs = [
-        F.stddev_samp("price").alias("std"),
-        F.var_samp("price").alias("variance"),
-        (F.max("price") - F.min("price")).alias("range_"),
-        (F.stddev_samp("price") / F.avg("price") * 100).alias("cv_pct"),
-    ]
-    out = summarise(df, [group], "price", aggs, QUARTILES).withColumn("iqr", F.col("q75") - F.col("q25"))
+    stats = {
+        "std": STD,
+        "variance": VARIANCE,
+        "range_": f"{HIGHEST} - {LOWEST}",
+        "cv_pct": f"{STD} / nullif({MEAN}, 0) * 100",
+    }
+    out = summarise(df, [group], "price", stats, QUARTILES).withColumn("iqr", F.col("q75") - F.col("q25"))
     return _rounded(
         out.select(group, "std", "variance", "q25", "q75", "iqr", "range_", "cv_pct"),
         {"std": 2, "variance": 2, "q25": 2, "q75": 2, "iqr": 2, "range_": 2, "cv_pct": 1},
@@ -82,8 +89,8 @@ def shape(df: DataFrame, group: str = "source") -> DataFrame:
 
 
 def category_summary(df: DataFrame) -> DataFrame:
-    aggs = [F.count("price").alias("n"), F.avg("price").alias("mean"), F.stddev_samp("price").alias("std")]
-    out = summarise(df, ["category"], "price", aggs, {**MEDIAN, **QUARTILES})
+    stats = {"n": COUNT, "mean": MEAN, "std": STD}
+    out = summarise(df, ["category"], "price", stats, {**MEDIAN, **QUARTILES})
     return _rounded(
         out.select("category", "n", "mean", "median", "std", "q25", "q75"),
         {"mean": 2, "median": 2, "std": 2, "q25": 2, "q75": 2},
@@ -92,15 +99,8 @@ def category_summary(df: DataFrame) -> DataFrame:
 
 def full_summary(df: DataFrame) -> DataFrame:
     """Nine metrics by source and category."""
-    aggs = [
-        F.count("price").alias("count"),
-        F.avg("price").alias("mean"),
-        F.stddev_samp("price").alias("std"),
-        F.min("price").alias("min"),
-        F.max("price").alias("max"),
-        F.skewness("price").alias("skewness"),
-    ]
-    out = summarise(df, ["source", "category"], "price", aggs, {**MEDIAN, **QUARTILES})
+    stats = {"count": COUNT, "mean": MEAN, "std": STD, "min": LOWEST, "max": HIGHEST, "skewness": SKEWNESS}
+    out = summarise(df, ["source", "category"], "price", stats, {**MEDIAN, **QUARTILES})
     return _rounded(
         out.select("source", "category", "count", "mean", "median", "std", "min", "max", "q25", "q75", "skewness"),
         {"mean": 2, "median": 2, "std": 2, "q25": 2, "q75": 2, "skewness": 3},
@@ -109,16 +109,8 @@ def full_summary(df: DataFrame) -> DataFrame:
 
 def describe_prices(df: DataFrame, group: str = "source") -> DataFrame:
     """The dashboard's summary table."""
-    aggs = [
-        F.count("price").alias("n"),
-        F.avg("price").alias("mean"),
-        F.stddev_samp("price").alias("std"),
-        F.min("price").alias("min"),
-        F.max("price").alias("max"),
-        F.skewness("price").alias("skew"),
-        F.kurtosis("price").alias("kurt"),
-    ]
-    out = summarise(df, [group], "price", aggs, {**MEDIAN, **QUARTILES})
+    stats = {"n": COUNT, "mean": MEAN, "std": STD, "min": LOWEST, "max": HIGHEST, "skew": SKEWNESS, "kurt": KURTOSIS}
+    out = summarise(df, [group], "price", stats, {**MEDIAN, **QUARTILES})
     return _rounded(
         out.select(group, "n", "mean", "median", "std", "min", "max", "q25", "q75", "skew", "kurt"),
         {"mean": 2, "median": 2, "std": 2, "q25": 2, "q75": 2, "skew": 3, "kurt": 3},
@@ -177,8 +169,8 @@ def with_zscore(df: DataFrame, group: str = "source") -> DataFrame:
 def outlier_summary(df: DataFrame, group: str = "source", k: float = 1.5, z: float = 3.0) -> DataFrame:
     """Outliers by the quartile fence and by z-score. The second pass runs over value counts."""
     counted = count_values(df, [group], "price")
-    aggs = [F.avg("price").alias("mean"), F.stddev_pop("price").alias("sd")]
-    limits = summarise(df, [group], "price", aggs, QUARTILES, counted)
+    stats = {"mean": MEAN, "sd": STD_POP}
+    limits = summarise(df, [group], "price", stats, QUARTILES, counted)
     low, high = _fences(k)
     limits = limits.withColumn("lower", low).withColumn("upper", high).drop("q25", "q75")
     counts = attach(counted.table, limits, [group])
@@ -276,13 +268,8 @@ def density_grid(df: DataFrame, group: str = "source", bins: int = 200, points:
     Rows are first counted into ``bins`` bins of their group's range; each bin then adds its weight to
     the grid points, so the second step handles bins x points rows per group whatever the data size.
     """
-    aggs = [
-        F.count("price").alias("_n"),
-        F.stddev_samp("price").alias("_sd"),
-        F.min("price").alias("_lo"),
-        F.max("price").alias("_hi"),
-    ]
-    limits = summarise(df, [group], "price", aggs, QUARTILES)
+    stats = {"_n": COUNT, "_sd": STD, "_lo": LOWEST, "_hi": HIGHEST}
+    limits = summarise(df, [group], "price", stats, QUARTILES)
     spread = F.least(F.col("_sd"), (F.col("q75") - F.col("q25")) / 1.349)
     limits = limits.withColumn("_h", 1.059 * spread * F.pow(F.col("_n"), F.lit(-0.2))).where(
         (F.col("_h") > 0) & (F.col("_hi") > F.col("_lo"))

@@ -23,7 +23,6 @@ from tidemark.session import stash
 
 FEW_COUNTS = 1_000_000
 COUNTS_PER_BUCKET = 200_000
-MAX_BUCKETS = 4096
 
 
 def value_counts(df: DataFrame, by: list[str], col: str) -> DataFrame:
@@ -50,7 +49,7 @@ class Counted:
         """Limits of the value buckets, empty if one bucket is enough."""
         if self.size <= self.few:
             return ()
-        buckets = min(MAX_BUCKETS, self.size // self.per_bucket + 2)
+        buckets = self.size // self.per_bucket + 2
         shares = [i / buckets for i in range(1, buckets)]
         cuts = self.table.agg(F.percentile_approx(self.col, shares, max(10_000, 10 * buckets))).first()[0]
         return tuple(sorted(set(cuts or [])))
@@ -106,21 +105,61 @@ def quantiles(
     return count_values(df, by, col, few, per_bucket).quantiles(probs)
 
 
+#: What ``summarise`` can give, from the number of rows, the mean, the sums of powers of deviations and the bounds.
+COUNT, MEAN, LOWEST, HIGHEST = "_n", "_mean", "_lo", "_hi"
+VARIANCE = "_m2 / nullif(_n - 1, 0)"
+STD = f"sqrt({VARIANCE})"
+STD_POP = "sqrt(_m2 / nullif(_n, 0))"
+SKEWNESS = "sqrt(_n) * _m3 / nullif(pow(_m2, 1.5), 0)"
+KURTOSIS = "_n * _m4 / nullif(_m2 * _m2, 0) - 3"
+
+
 def summarise(
-    df: DataFrame,
-    by: list[str],
-    col: str,
-    aggs: list[Column],
-    probs: dict[str, float],
-    counted: Counted | None = None,
+    df: DataFrame, by: list[str], col: str, stats: dict[str, str], probs: dict[str, float], counted: Counted | None = None
 ) -> DataFrame:
-    """Plain aggregates and exact quantiles side by side."""
-    counted = counted or count_values(df, by, col)
-    plain = df.groupBy(*by).agg(*aggs)
-    ranked = localize(counted.quantiles(probs, by))
-    renamed = ranked.select(*[F.col(x).alias(f"_{x}") for x in by], *probs)
+    """Moments and exact quantiles by group, all from one pass over ``df``: the counts of its distinct values.
+
+    ``stats`` gives expressions like STD by name of the result. Starts jobs: the counts are written, and the table
+    of means, one row for each group, is joined back to them. A group without any value keeps a row.
+    """
+    groups = None
+    if counted is None:
+        value = F.when(~F.isnan(col), F.col(col))
+        every = stash(df.groupBy(*by, value.alias(col)).agg(F.count(value).alias("n")), "counts")
+        counted = Counted(every.where("n > 0"), by, col, FEW_COUNTS, COUNTS_PER_BUCKET)
+        groups = every.groupBy(*by).agg(F.lit(1).alias("_one")).drop("_one")
+    rows = counted.table.select(F.struct(*by).alias("_g"), F.col(col).alias("_v"), "n")
+    means = rows.groupBy("_g").agg(
+        F.sum("n").alias("_n"),
+        (F.sum(F.col("_v") * F.col("n")) / F.sum("n")).alias("_mean"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+    )
+    powers = [k for k in (2, 3, 4) if any(f"_m{k}" in x for x in stats.values())]
+    if powers:
+        # Equal values deviate by nothing, whatever the rounding of their mean.
+        away = F.when(F.col("_lo") == F.col("_hi"), 0.0).otherwise(F.col("_v") - F.col("_mean"))
+        sums = [F.sum(F.pow(away, F.lit(float(k))) * F.col("n")).alias(f"_m{k}") for k in powers]
+        first = [F.first(x).alias(x) for x in ("_n", "_mean", "_lo", "_hi")]
+        means = attach(rows, means, ["_g"], "inner").groupBy("_g").agg(*first, *sums)
+    found = localize(means.select("_g", *[F.expr(x).alias(name) for name, x in stats.items()]))
+    plain = found.select(*[F.col(f"_g.{x}").alias(x) for x in by], *stats)
+    if groups is not None:
+        plain = _beside(groups, plain, by, list(stats))
+        plain = plain.select(*by, *[F.coalesce(x, F.lit(0)).alias(x) if stats[x] == COUNT else F.col(x) for x in stats])
+    return _beside(plain, localize(counted.quantiles(probs, by)), by, list(probs)) if probs else plain
+
+
+def beside_quantiles(df: DataFrame, by: list[str], col: str, aggs: list[Column], probs: dict[str, float]) -> DataFrame:
+    """Aggregates that need whole rows and exact quantiles side by side: two passes over ``df``, which is best written."""
+    return _beside(df.groupBy(*by).agg(*aggs), localize(quantiles(df, by, col, probs)), by, list(probs))
+
+
+def _beside(left: DataFrame, right: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """Columns ``names`` of a small summary beside the rows of another one; null labels meet."""
+    renamed = right.select(*[F.col(x).alias(f"_{x}") for x in by], *names)
     same = [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in by]
-    return plain.join(renamed, same, "left").select(*plain.columns, *probs)
+    return left.join(renamed, same, "left").select(*left.columns, *names)
 
 
 def _selected_quantiles(counts: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:

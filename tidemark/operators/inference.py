@@ -21,7 +21,7 @@ from tidemark.functions import cleaning as c
 from tidemark.functions import special as s
 from tidemark.operators.descriptive import in_top_categories, top_categories
 from tidemark.operators.distribution import (
-    COUNTS_PER_BUCKET, FEW_COUNTS, Counted, count_values, counts_by_group, mid_ranks, quantiles, summarise,
+    COUNT, COUNTS_PER_BUCKET, FEW_COUNTS, MEAN, Counted, count_values, counts_by_group, mid_ranks, quantiles, summarise,
 )
 from tidemark.operators.sampling import sample_per_group
 from tidemark.operators.small import attach, localize
@@ -242,8 +242,7 @@ def category_kruskal(df: DataFrame, k: int = 8, min_n: int = 5) -> DataFrame:
 
 
 def category_means(df: DataFrame, k: int = 8, min_n: int = 5) -> DataFrame:
-    aggs = [F.count("price").alias("n"), F.avg("price").alias("mean")]
-    table = summarise(in_top_categories(df, k), ["category"], "price", aggs, {"median": 0.5})
+    table = summarise(in_top_categories(df, k), ["category"], "price", {"n": COUNT, "mean": MEAN}, {"median": 0.5})
     return (
         table.where(F.col("n") >= min_n)
         .select("category", "n", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"))

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.distribution import summarise
+from tidemark.operators.distribution import beside_quantiles
 from tidemark.operators.history import dedupe_daily, price_changes
 from tidemark.operators.staging import stage_prices
 from tidemark.schema import CURRENT_COLUMNS, HISTORY_COLUMNS
@@ -66,7 +66,7 @@ def price_stats(deduped: DataFrame, approx: bool = False) -> DataFrame:
     else:
         rows = deduped.select(*by, "product_id", "price", "scraped_date")
         # Read twice below: a written copy spares a second deduplication.
-        stats = summarise(rows if deduped.is_cached else stash(rows, "stats"), by, "price", aggs, QUARTILES)
+        stats = beside_quantiles(rows if deduped.is_cached else stash(rows, "stats"), by, "price", aggs, QUARTILES)
     rounded = ["avg_price", "min_price", "max_price", "stddev_price", *QUARTILES]
     return stats.select(
         *by,

@@ -28,12 +28,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items. A table in fewer splits than there are cores is spread over them; a large table has
-    far more splits and is read as it is."""
-    lines, cores = read_table(spark, sf_dir, "lineitem"), spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
-        return lines.repartition(cores, "l_orderkey", "l_linenumber")
-    return lines
+    """Line items as they are split; what follows deals them by its own keys."""
+    return read_table(spark, sf_dir, "lineitem")
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
