@@ -244,3 +244,16 @@ def test_equal_keys_have_one_winner(spark, tmp_path):
         widerow.upsert_wide_row(df, path, F.lit("2024-01-01").cast("timestamp"), 4)
         got = widerow.decode_wide_row(widerow.read_rows(spark, path)).select("price", "category").collect()
         assert [tuple(r) for r in got] == [(9.0, "b")]
+
+
+def test_scan_reads_only_the_first_keys(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    for price in (1.0, 2.0, 3.0):
+        rows = [record(product_id=f"p{i}", price=price) for i in range(9)]
+        df = files.parse_records(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")).drop("value", files.CORRUPT)
+        widerow.upsert_wide_row(df, path, F.lit(f"2024-01-0{int(price)}").cast("timestamp"), 4)
+    rows = widerow.read_rows(spark, path)
+    got = widerow.scan_all(rows, 4)
+    assert [(r.row_key.split("#")[0], r.price) for r in got.collect()] == [(f"p{i}", 3.0) for i in range(4)]
+    assert "LessThanOrEqual(row_key,p" in got._jdf.queryExecution().executedPlan().toString()
+    assert widerow.scan_all(rows, 100).count() == 9

@@ -215,6 +215,53 @@ def count_failures(expectations: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def relation_failures(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Offending rows of each rule, a condition that only offending rows meet, from one pass over ``df``."""
+    counts = df.agg(*[F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}") for i, cond in enumerate(rules.values())])
+    pairs = [F.struct(F.lit(name).alias("expectation"), F.col(f"c{i}").alias("failures")) for i, name in enumerate(rules)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def mart_failures(staged: DataFrame, marts: dict[str, DataFrame], as_of=None) -> DataFrame:
+    """Failures of the declared tests of the staging relation and of the marts: one pass over each relation, and one
+    more that counts repeated products."""
+    from tidemark.schema import KNOWN_CURRENCIES, KNOWN_HOSTS
+
+    def missing(*cols: str) -> Column:
+        return c.any_of([F.col(x).isNull() for x in cols])
+
+    required = ["product_id", "source", "url", "title", "price", "currency", "scraped_at", "scraped_date"]
+    late = F.col("scraped_at") > _instant(as_of) + F.make_dt_interval(mins=F.lit(5))
+    change = F.col("price_change_pct")
+    rules = {
+        "staged": {
+            **{f"staged {x} not null": missing(x) for x in required},
+            "staged source accepted": ~F.col("source").isin(KNOWN_HOSTS),
+            "staged currency accepted": ~F.col("currency").isin(KNOWN_CURRENCIES),
+            "staged price non negative": F.col("price") < 0,
+            "staged not in future": late,
+        },
+        "current_prices": {
+            "current not null": missing("product_id", "price", "scraped_at"),
+            "current price non negative": F.col("price") < 0,
+        },
+        "price_history": {
+            "history not null": missing("product_id", "price", "scraped_date"),
+            "history price non negative": F.col("price") < 0,
+            "history change bounded": F.col("prev_price").isNotNull() & ((change > 500.0) | (change < -100.0)),
+        },
+        "price_stats": {
+            "stats not null": missing("source", "currency", "product_count", "avg_price"),
+            "stats average non negative": F.col("avg_price") < 0,
+        },
+        "price_alerts": {"alerts not null": missing("product_id", "price_change_pct")},
+    }
+    out = count_failures({"current product_id unique": expect_unique(marts["current_prices"], "product_id")})
+    for name, own in rules.items():
+        out = out.unionByName(relation_failures(staged if name == "staged" else marts[name], own))
+    return out
+
+
 def mart_expectations(staged: DataFrame, marts: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     """The declared tests of the staging relation and of the marts."""
     from tidemark.schema import KNOWN_CURRENCIES, KNOWN_HOSTS

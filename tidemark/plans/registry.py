@@ -20,7 +20,7 @@ from tidemark.operators.distribution import quantiles
 from tidemark.operators.small import salted_join
 from tidemark.plans import marts as m
 from tidemark.schema import KNOWN_HOSTS, PRICE_COLUMNS, PRICE_SCHEMA
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, stash
 from tidemark.sources import files, kafka, pages, tables, widerow
 from tidemark.streaming import ingest, live
 
@@ -545,6 +545,24 @@ register("pages_without_products", "SELECT url, html AS title FROM pages WHERE f
     ).select("url", "title")
 )
 
+LINK = "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"
+
+
+def marked(tag: str) -> str:
+    """Text of an element with the character references that the pages use resolved."""
+    text = f"trim(regexp_extract(html, '<{tag}>([^<]*)</{tag}>', 1), ' ' || chr(9) || chr(10))"
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{char}')"
+    return text
+
+
+register("pages_articles", f"""SELECT page_id, url, coalesce({marked('title')}, '') AS title, coalesce({marked('h1')}, '') AS heading,
+  coalesce(len({LINK}), 0)::BIGINT AS n_links, regexp_extract(url, '^[a-z]+://[^/?]*', 0) || {LINK}[1] AS first_link FROM pages""")(
+    lambda s, f: pages.extract_articles(tables.read_table(s, f, "pages")).select(
+        "page_id", "url", "title", "heading", F.size("links").cast("long").alias("n_links"), F.try_element_at("links", F.lit(1)).alias("first_link")
+    )
+)
+
 # --------------------------------------------------------------------------- reading the marts
 
 register("search_products", f"""WITH {CUR} SELECT {CUR_COLS} FROM cur WHERE source = 'jumia.ma'
@@ -1044,8 +1062,9 @@ register("expect_change_bounded", f"""WITH {CHG} SELECT product_id, scraped_at,
         "history price non negative", "history change bounded", "stats not null", "stats average non negative", "alerts not null",
     ])}]) AS e)""")
 def mart_expectations(spark: SparkSession, sf: str) -> DataFrame:
-    built = m.build_marts(deduped(spark, sf), last_day(spark, sf))
-    return q.count_failures(q.mart_expectations(staged(spark, sf), built, NOW))
+    rows = stash(staged(spark, sf), "staged")
+    built = m.build_marts(stash(h.dedupe_daily(rows, tables.EVENT_TIE), "deduped"), last_day(spark, sf))
+    return q.mart_failures(rows, {name: stash(df, name) for name, df in built.items()}, NOW)
 
 
 @register("dq_report", f"""WITH c AS ({CHECKS}) SELECT (SELECT count(*) FROM events) AS rows, count(*) FILTER (WHERE passed) AS passed,

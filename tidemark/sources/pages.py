@@ -347,3 +347,21 @@ def extract_products(pages: DataFrame, how: str = "inner") -> DataFrame:
     unsellable = (F.col("source") == "jumia.ma") & ((F.col("title") == "") | (F.col("price") == 0))
     merged = merge_detail(read_raw_fields(pages.where(F.col("site").isin(two_step))), how)
     return direct.where(~unsellable).unionByName(merged)
+
+
+ARTICLE_FIELDS = "page_id long, url string, title string, heading string, links array<string>"
+
+
+def _read_articles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for page_id, url, html in pdf.itertuples(index=False):
+            top = _Page(html or "").root
+            links = [_absolute(url, x) if url else x for x in _values(top, "a@href")]
+            rows.append((page_id, url, _first(top, ["title"]), _first(top, ["h1"]), links))
+        yield pd.DataFrame(rows, columns=["page_id", "url", "title", "heading", "links"])
+
+
+def extract_articles(pages: DataFrame) -> DataFrame:
+    """Title, heading and absolute links of any pages ``(page_id, url, html)``, a row for each; what is not there is empty."""
+    return pages.select("page_id", "url", "html").mapInPandas(_read_articles, ARTICLE_FIELDS)
