@@ -88,7 +88,9 @@ def shape(df: DataFrame, group: str = "source") -> DataFrame:
     )
 
 
-def category_summary(df: DataFrame) -> DataFrame:
+def category_summary(df: DataFrame, drop_null: bool = True) -> DataFrame:
+    """Six metrics by category; rows without one are left out, or a group of their own."""
+    df = df.where("category IS NOT NULL") if drop_null else df
     stats = {"n": COUNT, "mean": MEAN, "std": STD}
     out = summarise(df, ["category"], "price", stats, {**MEDIAN, **QUARTILES})
     return _rounded(
@@ -97,8 +99,9 @@ def category_summary(df: DataFrame) -> DataFrame:
     ).orderBy(F.desc("median"), "category")
 
 
-def full_summary(df: DataFrame) -> DataFrame:
-    """Nine metrics by source and category."""
+def full_summary(df: DataFrame, drop_null: bool = True) -> DataFrame:
+    """Nine metrics by source and category; rows without either are left out, or groups of their own."""
+    df = df.where("source IS NOT NULL AND category IS NOT NULL") if drop_null else df
     stats = {"count": COUNT, "mean": MEAN, "std": STD, "min": LOWEST, "max": HIGHEST, "skewness": SKEWNESS}
     out = summarise(df, ["source", "category"], "price", stats, {**MEDIAN, **QUARTILES})
     return _rounded(

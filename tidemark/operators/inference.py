@@ -28,6 +28,8 @@ from tidemark.operators.small import attach, localize
 
 ALPHA = 0.05
 GROUPS_PER_BLOCK = 16
+#: Groups of which all pairs are compared at most: two million pairs.
+MAX_GROUPS = 2000
 
 
 def moments(df: DataFrame, group: str, col: str = "price", min_n: int = 1) -> DataFrame:
@@ -39,12 +41,19 @@ def moments(df: DataFrame, group: str, col: str = "price", min_n: int = 1) -> Da
 
 
 def pairs(summary: DataFrame, group: str) -> DataFrame:
-    """Every unordered pair of rows of a group summary, columns suffixed _a and _b."""
+    """Every unordered pair of rows of a group summary, columns suffixed _a and _b; more than MAX_GROUPS are an error."""
+    check_groups(summary)
     a = summary.select(*[F.col(x).alias(f"{x}_a") for x in summary.columns])
     b = summary.select(*[F.col(x).alias(f"{x}_b") for x in summary.columns])
     return a.join(b, F.col(f"{group}_a") < F.col(f"{group}_b"))
 
 
+def check_groups(summary: DataFrame) -> None:
+    """Pairwise tests grow with the square of the number of groups: refuse before any pair is made."""
+    if summary.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: compare fewer, or the most frequent ones")
+
+
 def _over_all() -> Window:
     return Window.partitionBy()
 
@@ -153,6 +162,7 @@ def mann_whitney(
     counted = count_values(rows, [group], col, few, per_bucket)
     sizes = counted.table.groupBy(group).agg(F.sum("n").alias("n")).where(F.col("n") >= min_n)
     sizes = localize(sizes.join(counted.quantiles({"median": 0.5}), group))
+    check_groups(sizes)
     groups = sorted(r[0] for r in sizes.select(group).collect())
     kind = df.schema[group].dataType
     stats = df.sparkSession.createDataFrame(

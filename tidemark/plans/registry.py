@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tidemark.operators import staging as st
 from tidemark.operators.distribution import quantiles
 from tidemark.operators.small import salted_join
 from tidemark.plans import marts as m
+from tidemark.plans import reports
 from tidemark.schema import KNOWN_HOSTS, PRICE_COLUMNS, PRICE_SCHEMA
 from tidemark.session import fresh_dir, stash
 from tidemark.sources import files, kafka, pages, tables, widerow
@@ -657,7 +659,8 @@ register("latest_row", f"""WITH {STG} SELECT * EXCLUDE (rn) FROM (SELECT *, row_
 # --------------------------------------------------------------------------- descriptive statistics
 
 QUART = f"{rnd(pctl('price', 0.25), 2)} AS q25, {rnd(pctl('price', 0.75), 2)} AS q75"
-MEAN2, STD2 = f"{rnd('avg(price)', 2)} AS mean", f"{rnd('stddev_samp(price)', 2)} AS std"
+# Compensated sums: means that end in exactly half a cent must not depend on the order of rows.
+MEAN2, STD2 = f"{rnd('favg(price)', 2)} AS mean", f"{rnd('stddev_samp(price)', 2)} AS std"
 MEDIAN2 = f"{rnd(pctl('price', 0.5), 2)} AS median"
 
 register("fallback_stats", f"""WITH {STG} SELECT source, currency, count(price) AS product_count, {rnd('avg(price)', 2)} AS avg_price,
@@ -684,10 +687,10 @@ KURT3 = rnd("avg((price - mu) ** 4) / nullif(avg((price - mu) ** 2) ** 2, 0) - 3
 register("shape", f"""WITH {STG} SELECT source, count(price) AS n, {SKEW3} AS skewness, {KURT3} AS kurtosis
   FROM pos JOIN {moments_sql('source')} USING (source) GROUP BY source""")(lambda s, f: d.shape(positive(s, f)))
 register("category_summary", f"""WITH {STG} SELECT category, count(price) AS n, {MEAN2}, {MEDIAN2}, {STD2}, {QUART}
-  FROM pos GROUP BY category""")(lambda s, f: d.category_summary(positive(s, f)))
+  FROM pos WHERE category IS NOT NULL GROUP BY category""")(lambda s, f: d.category_summary(positive(s, f)))
 register("full_summary", f"""WITH {STG}, mo AS (SELECT source, category, avg(price) AS mu FROM pos GROUP BY 1, 2)
   SELECT pos.source, pos.category, count(price) AS count, {MEAN2}, {MEDIAN2}, {STD2}, min(price) AS min, max(price) AS max,
-  {QUART}, {SKEW3} AS skewness FROM pos JOIN mo ON pos.source = mo.source AND pos.category IS NOT DISTINCT FROM mo.category
+  {QUART}, {SKEW3} AS skewness FROM pos JOIN mo ON pos.source = mo.source AND pos.category = mo.category
   GROUP BY 1, 2""")(lambda s, f: d.full_summary(positive(s, f)))
 register("describe_prices", f"""WITH {STG} SELECT source, count(price) AS n, {MEAN2}, {MEDIAN2}, {STD2}, min(price) AS min,
   max(price) AS max, {QUART}, {SKEW3} AS skew, {KURT3} AS kurt FROM pos JOIN {moments_sql('source')} USING (source)
@@ -970,16 +973,33 @@ register("shapiro")(lambda s, f: i.shapiro(positive(s, f), key=["event_id"]))
 
 
 
+# Rows of each report table; the values of each have a query of their own.
+BY_SOURCE = "dispersion shape volatility outliers median_pivot normality confidence rating_regression time_regression power"
+ONE_ROW = "levene anova kruskal category_anova category_kruskal"
+PAIRED = "welch mann_whitney effects"
+REPORT_ROWS = {
+    "central": "s.n + 1",
+    **dict.fromkeys(BY_SOURCE.split(), "s.n"),
+    **dict.fromkeys(PAIRED.split(), "s.n * (s.n - 1) // 2"),
+    **dict.fromkeys(ONE_ROW.split(), "1"),
+    "category_summary": "(SELECT count(DISTINCT category) FROM pos)",
+    "category_means": "(SELECT least(8, count(*)) FROM (SELECT category FROM pos WHERE category IS NOT NULL GROUP BY 1 HAVING count(*) >= 5))",
+    "daily_average": "(SELECT count(*) FROM (SELECT DISTINCT scraped_date, source FROM pos))",
+    "daily_volume": "(SELECT count(DISTINCT scraped_date) FROM pos)",
+    "full_summary": "(SELECT count(*) FROM (SELECT DISTINCT source, category FROM pos WHERE category IS NOT NULL))",
+    "log_price_model": "3",
+}
+
+
 @register(
     "stat_tables",
-    f"""WITH {STG} SELECT 'cohens_d' AS name, 10 AS row_count, DATE '2024-01-30' AS run_date
-  UNION ALL SELECT 'daily_volume', (SELECT count(DISTINCT scraped_date) FROM pos), DATE '2024-01-30'
-  UNION ALL SELECT 'dispersion', (SELECT count(DISTINCT source) FROM pos), DATE '2024-01-30'""",
+    f"WITH {STG}, s AS (SELECT count(DISTINCT source) AS n FROM pos) "
+    + " UNION ALL ".join(f"SELECT '{x}' AS name, {n}::BIGINT AS row_count, DATE '2024-01-30' AS run_date FROM s" for x, n in REPORT_ROWS.items()),
 )
 def stat_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Result tables of a report, written with the date of the run and read back."""
-    rows, base = positive(spark, sf), fresh_dir(spark, "stats")
-    built = {"cohens_d": i.cohens_d(rows), "daily_volume": d.daily_volume(rows), "dispersion": d.dispersion(rows)}
+    """All result tables of both reports, written with the date of the run and read back."""
+    rows, base = stash(positive(spark, sf), "rows"), fresh_dir(spark, "stats")
+    built = {**reports.descriptive_report(rows, tables.EVENT_TIE), **reports.inferential_report(rows)}
     files.write_stat_tables(built, base, "2024-01-30")
     parts = [
         files.read_mart(spark, f"{base}/{name}").groupBy("run_date").agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -987,7 +1007,7 @@ def stat_tables(spark: SparkSession, sf: str) -> DataFrame:
         )
         for name in built
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --------------------------------------------------------------------------- data quality
