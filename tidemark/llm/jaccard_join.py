@@ -227,7 +227,8 @@ def near_duplicates(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
     signed = written(texts.mapInArrow(lambda b: sign_batches(b, n, trees, length), SIGNED), "signatures")
     one_text = signed.groupBy("doc_id").agg(F.min(F.struct("h1", "h2", "n_shingles", "keys")).alias("s")).select("doc_id", "s.*")
-    heads = one_text.groupBy("h1", "h2").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"))
+    # Written, so that the joins with it are of two plain shuffles, whose hot keys adaptive execution splits.
+    heads = written(one_text.groupBy("h1", "h2").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies")), "class-heads")
     members = written(
         one_text.join(heads, ["h1", "h2"]).select("doc_id", "h1", "h2", "n_shingles", "copy_of", "copies", F.when(F.col("doc_id") == F.col("copy_of"), F.col("keys")).alias("keys")),
         "classes",
@@ -236,6 +237,7 @@ def near_duplicates(
 
     spread = reps.select("doc_id", F.posexplode("keys").alias("tree", "key"))
     buckets = spread.groupBy("tree", "key").agg(F.min("doc_id").alias("head"), F.count("*").alias("size")).filter("size > 1")
+    buckets = written(buckets, "buckets")
     meets = spread.join(buckets, ["tree", "key"]).filter("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
     parts = connected(meets).select(F.col("node").alias("doc_id"), F.col("root").alias("component"))
 
@@ -254,7 +256,8 @@ def near_duplicates(
         "h2",
     )
     order = ["component", "i", "j"]
-    filled = blocks.join(texts, "doc_id").select(*order, "side", "doc_id", "copies", "h1", "h2", "text")
+    # The same plan at every size: texts are dealt by doc_id, whether or not few of them are candidates.
+    filled = texts.join(blocks.hint("merge"), "doc_id").select(*order, "side", "doc_id", "copies", "h1", "h2", "text")
     compared = filled.repartition(*order).sortWithinPartitions(*order).mapInArrow(
         lambda b: compare_batches(b, n, threshold), "doc_id long, links long, root long"
     )
