@@ -26,7 +26,8 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ready(spark)
     groups = jaccard_join.near_duplicates(docs)
     others = written(groups.filter("doc_id <> class_id").select("doc_id"), "near-duplicates")
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    # The same plan at every size: the list of those that go is never broadcast.
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
