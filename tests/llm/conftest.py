@@ -1,20 +1,11 @@
-import random
-
 import pytest
+from tests_llm_brute import prose
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     "score double, size string, target string, copies long, base string, spans string, items string, bucket int, kind int, links int"
 )
 EXTRA = (0.5, "s", "t", 7, "b", "p", "i", 3, 4, 5)
-WORDS = "stone river the of window paper and light green house a bird moves over cold water slowly while people watch".split()
-
-
-def prose(seed: int, n: int) -> str:
-    rng = random.Random(seed)
-    return " ".join(rng.choice(WORDS) + rng.choice(["", "", ",", "s", "ing"]) for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents of (doc_id, text) pairs, with the other columns of the table and some that clash with results."""

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tests_llm_brute import brute_near
+from tests_llm_brute import brute_near, prose
 from tidemark.llm import fingerprints as fp
 from tidemark.llm import jaccard_join as jj
 from tidemark.llm.components import connected
@@ -97,8 +97,6 @@ def test_edited_texts(make_docs, odd_pairs, rows):
 
 
 def test_likeness_follows_the_edit(make_docs):
-    from conftest import prose
-
     pairs = [(i, prose(50 + i, 300)) for i in range(20)]
     for r in fp.digest(fp.compare_with_edited(make_docs(pairs))).collect():
         assert 0.4 < r.near_edited < 0.8 and r.near_next < 0.1 and r.near_edited > r.near_next + 0.3

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import prose
+from tests_llm_brute import prose
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, quality, token_codes
