@@ -33,7 +33,7 @@ MIN_CELLS = 1 << 20
 MAX_CELLS = 1 << 28
 SHARD = 1 << 20
 #: Windows (candidates) a task holds before it passes them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Windows to a bucket of keys, documents to a bucket of texts.
 BUCKET_WINDOWS = 1 << 19
 BUCKET_DOCS = 1 << 10
