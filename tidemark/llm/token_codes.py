@@ -35,7 +35,9 @@ END_ID = 2
 #: Tokens after which a task begins another file (a longer document still lies in one).
 FILE_TOKENS = 4 << 20
 #: Distinct words whose ids a worker remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1_000_000
+#: Bytes of text encoded at a time.
+TEXT_BYTES = 4 << 20
 
 MANIFEST = "file string, first_doc long, n_docs long, n_tokens long"
 
@@ -221,7 +223,10 @@ def encode_texts(encoder: WordEncoder, data: np.ndarray, offsets: np.ndarray, en
     raw = data.tobytes()
     words, sizes = [], []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        own = raw[a:b].split()
+        text = raw[a:b]
+        # The tokenizer lower-cases anyway; for plain ASCII the order of its steps does not matter, and there are fewer
+        # distinct words. Its special tokens are told by case, so texts that may hold one stay as they are.
+        own = (text.lower() if text.isascii() and b"<|" not in text else text).split()
         words += own
         sizes.append(len(own))
     ids, counts = encoder.encode(words)
@@ -261,7 +266,7 @@ def write_batches(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_json
 
     for batch in batches:
         keys = np.asarray(batch.column(0).to_pylist(), np.int64)
-        for a, b, data, offsets in text_slices(batch.column(1)):
+        for a, b, data, offsets in text_slices(batch.column(1), TEXT_BYTES):
             part, lengths = encode_texts(encoder, data, offsets, end_id)
             docs.append(keys[a:b])
             sizes.append(lengths)
