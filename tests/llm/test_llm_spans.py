@@ -120,3 +120,10 @@ def test_running_sums(spark, n):
         total += i % 7
         want.append(total)
     assert got == want
+
+
+def test_models_learn_from_all_documents(spark):
+    pairs = spark.range(40_001).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    rare = [(50_000 + i, t) for i, t in enumerate(["token=Zq9Zq9Zq", "secret: Zq9Zq9", "simple ordinary words"] * 3)]
+    model = secrets.train(pairs.union(spark.createDataFrame(rare, "doc_id long, text string")))
+    assert model == secrets.train(spark.createDataFrame(rare, "doc_id long, text string")) and model.known

@@ -29,8 +29,6 @@ LEAST_RUN = 20
 RUN = f"(?<![{RUN_CLASS}])[{RUN_CLASS}]{{{LEAST_RUN},}}"
 #: Nats for each character by which random must be likelier than ordinary.
 THRESHOLD = 0.5
-#: Documents the models are trained on at most, about; taken by the hash of doc_id.
-TRAIN_DOCS = 20_000
 LETTERS = 96  # ASCII 32 to 127
 SMOOTHING = 0.01
 
@@ -48,34 +46,25 @@ def base_spans(text: Column) -> Column:
     return F.concat(assigned, match_spans(text, ACCESS, "access", 1), match_spans(text, HEX, "hex", 2))
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Models:
-    """Count character pairs of labelled samples in about ``train_docs`` documents, chosen by the hash of doc_id.
+def train(docs: DataFrame) -> Models:
+    """Count character pairs of labelled samples in all documents.
 
     Random samples are the values that the base patterns find; ordinary ones are the shorter runs, which are never
-    judged, of documents without a base span. At most 2 * 96 * 96 counts come to the driver.
+    judged, of documents without a base span. Tasks add up their own counts first: at most 2 * 96 * 96 a task are
+    shuffled, and as many come to the driver.
     """
-    every = max(1, -(-docs.count() // train_docs))
-    sample = docs.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(every)) == 0).select(
-        F.col("text"), base_spans(F.col("text")).alias("base")
-    )
     runs = F.regexp_extract_all("text", F.lit(f"(?<![{RUN_CLASS}])[{RUN_CLASS}]{{6,{LEAST_RUN - 1}}}(?![{RUN_CLASS}])"), F.lit(0))
-    labelled = sample.select(
-        (F.size("base") > 0).alias("random"),
-        F.explode(F.when(F.size("base") > 0, F.transform("base", lambda x: x["value"])).otherwise(runs)).alias("run"),
+    based = docs.select("text", F.transform(base_spans(F.col("text")), lambda x: x["value"]).alias("base"))
+    labelled = based.select(
+        (F.size("base") > 0).alias("random"), F.explode(F.when(F.size("base") > 0, F.col("base")).otherwise(runs)).alias("run")
     )
     pairs = (
-        labelled.groupBy("random", "run")
+        labelled.select("random", F.explode(F.regexp_extract_all("run", F.lit("(?=(..))."), F.lit(1))).alias("pair"))
+        .groupBy("random", "pair")
         .count()
-        .withColumn("at", F.explode(F.sequence(F.lit(1), F.length("run") - 1)))
-        .groupBy(
-            "random",
-            F.ascii(F.substr("run", F.col("at"), F.lit(1))).alias("a"),
-            F.ascii(F.substr("run", F.col("at") + 1, F.lit(1))).alias("b"),
-        )
-        .agg(F.sum("count").alias("n"))
         .collect()
     )
-    return models({(bool(r.random), r.a, r.b): r.n for r in pairs})
+    return models({(bool(r.random), ord(r.pair[0]), ord(r.pair[1])): r["count"] for r in pairs})
 
 
 def models(pairs: dict[tuple[bool, int, int], int]) -> Models:
