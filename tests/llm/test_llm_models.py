@@ -93,6 +93,24 @@ def test_languages(spark, make_docs):
     assert language.predict(make_docs([]), model).count() == 0
 
 
+def test_small_languages_are_learned_beside_a_large_one(spark):
+    rows = [(i, sentences(i, "en", 8), "en") for i in range(400)] + [(1000 + i, sentences(i, "fr", 8), "fr") for i in range(2)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {w for i, t, _ in rows if i >= 1000 for w in t.split()}
+    model = language.train(labelled, train_docs=20)
+    assert model.languages == ("en", "fr") and learned <= set(model.words)
+    model = language.train(labelled, model_words=9, model_grams=1000)
+    assert learned <= set(model.words)
+
+
+def test_ties_fill_the_room_that_is_left(spark):
+    rows = [("en", f"w{i}", 2 + (i < 10)) for i in range(1000)] + [("fr", "w7", 1), ("fr", "x", 1)]
+    got = language._frequent(spark.createDataFrame(rows, "lang string, unit string, count long"), 300)
+    kept = {u for lang, u, _ in got if lang == "en"}
+    assert {f"w{i}" for i in range(10)} <= kept and 200 < len(kept) < 400
+    assert ("fr", "w7", 1) in got and ("fr", "x", 1) in got
+
+
 def test_nothing_learned(spark, make_docs):
     model = language.train(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert [tuple(r) for r in language.predict(make_docs([(1, "abc")]), model).collect()] == [(1, "und", 0.0)]

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ready
 
 UNKNOWN = "und"
-#: The model is fitted on about this many labelled documents at most, chosen by the hash of doc_id.
+#: Labelled documents of each language the model is fitted on at most, about; chosen by the hash of doc_id, all of a rarer language.
 TRAIN_DOCS = 20_000
-#: Words and n-grams of the model: the most frequent ones; all others are scored by shorter n-grams.
+#: Words and n-grams of each language in the model at most, about: its most frequent ones; all others are scored by shorter n-grams.
 MODEL_WORDS = 100_000
 MODEL_GRAMS = 100_000
 LONGEST = 4
 #: Words whose evidence the score counts at most, so that long texts do not all get 1.
 EVIDENCE_WORDS = 20
 KNOWN_WORDS = 200_000
+#: Steps in which the share of units that tie is taken by hash.
+HASHES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -39,11 +41,16 @@ def train(
 ) -> Model:
     """Count words and padded n-grams by language over rows of doc_id, text, lang. Rows without text or lang teach nothing.
 
-    Counting is a Spark job; the counts of the most frequent ``model_words`` and ``model_grams`` come to the driver.
+    All three bounds are for each language. Counting is a Spark job; what comes to the driver are the counts, in every
+    language, of the units that are among the most frequent ``model_words`` or ``model_grams`` of one.
     """
     taught = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
-    every = max(1, -(-taught.count() // train_docs))
-    sample = taught.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    every = {r.lang: -(-r["count"] // train_docs) for r in taught.groupBy("lang").count().collect()}
+    large = {lang: n for lang, n in every.items() if n > 1}
+    sample = taught
+    if large:
+        one_in = F.create_map(*[F.lit(x) for pair in sorted(large.items()) for x in pair])
+        sample = taught.filter(F.pmod(F.xxhash64("doc_id"), F.coalesce(F.element_at(one_in, F.col("lang")), F.lit(1))) == 0)
     words = (
         sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("unit"))
         .filter("unit <> ''")
@@ -68,7 +75,26 @@ def train(
 
 
 def _frequent(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
-    top = counts.groupBy("unit").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "unit").limit(most).select("unit")
+    """Rows (lang, unit, count) of the units that are among about ``most`` of the largest counts of some language.
+
+    Only how often each count occurs in a language comes to the driver to find where to cut. Units that tie there are
+    taken by hash, as large a share as there is room for.
+    """
+    ties: dict[str, list[tuple[int, int]]] = {}
+    for lang, count, units in counts.groupBy("lang", "count").agg(F.count("*")).collect():
+        ties.setdefault(lang, []).append((count, units))
+    cuts = []
+    for lang, found in ties.items():
+        room, cut = most, (0, 0)
+        for count, units in sorted(found, reverse=True):
+            if units > room:
+                cut = (count, HASHES * room // units)
+                break
+            room -= units
+        cuts.append((lang, *cut))
+    at = counts.sparkSession.createDataFrame(cuts, "lang string, least long, below long")
+    own = (F.col("count") > F.col("least")) | ((F.col("count") == F.col("least")) & (F.pmod(F.xxhash64("unit"), F.lit(HASHES)) < F.col("below")))
+    top = counts.join(F.broadcast(at), "lang").filter(own).select("unit").distinct()
     table = counts.join(top, "unit").select("lang", "unit", "count").toArrow()
     return list(zip(*(c.to_pylist() for c in table.columns), strict=True))
 
