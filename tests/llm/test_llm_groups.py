@@ -31,6 +31,15 @@ def test_near_duplicates(make_docs, odd_pairs, block):
     assert got == brute_near(dict(pairs))
 
 
+def test_blocks_bound_texts_and_shingles(spark, make_docs):
+    texts = [(1, 12)] * 9000 + [(2, 800_001)] * 2 + [(3, 5)]
+    rows = spark.createDataFrame(texts, "component long, n_shingles long")
+    assert {r.component: r.blocks for r in jj.block_counts(rows).collect()} == {1: 5, 2: 5, 3: 1}
+    pairs = [(i, t) for i, t in enumerate(variants("a b c d e f g h i j k l m n o p q r s t", 30, 2))]
+    got = {r.doc_id: (r.class_id, r.links, r.copy_of) for r in jj.near_duplicates(make_docs(pairs), block_texts=3).collect()}
+    assert got == brute_near(dict(pairs))
+
+
 def test_several_texts_under_one_id(make_docs):
     texts = ["a b c d e f g h", "i j k l m n o p"]
     rows = jj.near_duplicates(make_docs([(1, texts[0]), (1, texts[1]), (2, texts[0]), (3, texts[1]), (4, None)])).collect()

@@ -29,6 +29,8 @@ LONGEST = 8
 RECALL = 0.9995
 #: Shingles of one side of a block that is compared in memory.
 BLOCK_SHINGLES = 400_000
+#: Texts of one side of such a block: the matrices of a pair of sides have as many rows and columns at most, about.
+BLOCK_TEXTS = 2000
 #: Shingles of one step of the matrix product.
 STEP = 4096
 
@@ -211,8 +213,20 @@ def _is_set(text: str | None, n: int, h1: int, h2: int) -> bool:
 # ------------------------------------------------------------------ the operator
 
 
+def block_counts(known: DataFrame, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """(component, blocks): as many blocks as bound both the shingles and the texts of one, from rows of component and n_shingles."""
+    by_shingles, by_texts = F.ceil(F.sum("n_shingles") / F.lit(block_shingles)), F.ceil(F.count("*") / F.lit(block_texts))
+    return known.groupBy("component").agg(F.greatest(by_shingles, by_texts).alias("blocks"))
+
+
 def near_duplicates(
-    docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES
+    docs: DataFrame,
+    n: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    recall: float = RECALL,
+    block_shingles: int = BLOCK_SHINGLES,
+    block_texts: int = BLOCK_TEXTS,
 ) -> DataFrame:
     """One row for each doc_id: doc_id, class_id, links, copy_of.
 
@@ -242,7 +256,7 @@ def near_duplicates(
     parts = connected(meets).select(F.col("node").alias("doc_id"), F.col("root").alias("component"))
 
     known = written(reps.drop("keys", "copy_of").join(parts, "doc_id"), "candidates")
-    sizes = known.groupBy("component").agg(F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).alias("blocks"))
+    sizes = block_counts(known, block_shingles, block_texts)
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     placed = known.join(sizes, "component").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     blocks = placed.select(
