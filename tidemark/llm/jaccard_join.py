@@ -1,8 +1,8 @@
-"""Near-duplicate documents: MinHash LSH forest for candidates, exact Jaccard similarity of word shingles for links.
+"""Near-duplicate documents: MinHash banding for candidates, exact Jaccard similarity of word shingles for links.
 
-A signature is split into trees; a tree orders the documents by its part of the signature, so that those with a
-common prefix lie together. Prefixes are shortened from the longest until pairs at the threshold share one in some
-tree with the target recall. Documents with equal sets of shingles are one class, which is looked at once.
+A signature is split into trees; documents with an equal prefix of one tree's part of the signature meet. This replaces
+the LSH forest: all prefixes have one depth, the longest with which a pair at the threshold meets in some tree with the
+target recall, from a formula and not from the data. Documents with equal sets of shingles are one class, which is looked at once.
 
 Documents that share a prefix are put into a component through the smallest of each bucket, never pair by pair.
 Within a component all pairs are compared exactly, in blocks of bounded size, and a block gives one row for each
