@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprints, jaccard_join, language, mixing, pii, quality, secrets, substrings, token_codes
+from tidemark.llm import (
+    conversation_repair,
+    decontamination,
+    fingerprints,
+    hamming_join,
+    jaccard_join,
+    language,
+    mask_search,
+    mixing,
+    pii,
+    quality,
+    secrets,
+    substrings,
+    token_codes,
+)
 from tidemark.llm.common import crc_mod, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,3 +181,103 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fingerprints.digest(fingerprints.compare_with_edited(docs))
+
+
+LOWERED = "translate(coalesce({x}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED.format(x="text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN sizes USING (doc_id)"""
+
+
+@register("op11_hamming_join", OP11_SQL)
+def op11_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+TERMS = f"regexp_extract_all({LOWERED.format(x='text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, {TERMS} AS w FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+total AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term),
+lengths AS (SELECT doc_id, 50 + (50 * len(w) * n) // l AS m FROM d, total),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@register("op12_mask_search", OP12_SQL)
+def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# crc32 is taken byte by byte with its table; the repair is a recursion over rows with the best (cost, audit) of each
+# state of (s?(ua)+)?: 0 nothing yet, 1 after s, 2 after u, 3 after a. ``t`` are the repaired lines.
+OP13_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+      lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS kind
+  FROM conversations, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM given WHERE kind <> 0),
+judged AS (
+  SELECT *, substr(role, 1, 1) AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS fault
+  FROM hurt),
+pairs AS (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM judged),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (rn > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM pairs GROUP BY conv_id),
+made(q, q2, a, c, t) AS (VALUES (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, ''), (0, 2, 'I', 2, chr(10) || 'user:'),
+  (1, 2, 'I', 2, chr(10) || 'user:'), (3, 2, 'I', 2, chr(10) || 'user:'), (2, 3, 'I', 2, chr(10) || 'assistant:'),
+  (0, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits AS (
+  SELECT conv_id, rn, q, q AS q2, 'D' AS a, 3 AS c, '' AS t FROM judged, (VALUES (0), (1), (2), (3)) s(q)
+  UNION ALL
+  SELECT conv_id, rn, q, q2, 'R', 2 + CASE WHEN fault = 3 THEN 1 ELSE 0 END, chr(10) || name || ':' || text
+  FROM judged, (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) s(q, q2, name) WHERE fault IN (0, 3)
+  UNION ALL
+  SELECT conv_id, rn, q, q2, 'K', CASE WHEN fault = 3 THEN 1 ELSE 0 END, chr(10) || role || ':' || text
+  FROM judged JOIN (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')) s(q, q2, i) ON i = ini WHERE fault IN (0, 3)),
+best AS (
+  SELECT conv_id, 0::BIGINT AS rn, 0 AS q, {'c': 0, 'a': '', 't': ''} AS v FROM counted
+  UNION ALL
+  SELECT b.conv_id, e.rn, e.q2, min({'c': (b.v).c + m.c + e.c, 'a': (b.v).a || m.a || e.a, 't': (b.v).t || m.t || e.t})
+  FROM best b JOIN made m ON m.q = b.q JOIN edits e ON e.conv_id = b.conv_id AND e.rn = b.rn + 1 AND e.q = m.q2 GROUP BY b.conv_id, e.rn, e.q2),
+ended AS (
+  SELECT b.conv_id, min({'c': (b.v).c + m.c, 'a': (b.v).a || m.a, 't': (b.v).t || m.t}) AS v
+  FROM best b JOIN counted c ON c.conv_id = b.conv_id AND c.n = b.rn JOIN made m ON m.q = b.q AND m.q2 IN (0, 3) GROUP BY b.conv_id)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce((v).c, 0)::BIGINT AS cost, coalesce((v).a, '') AS audit,
+  sha256(coalesce(substr((v).t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN counted USING (conv_id) LEFT JOIN ended USING (conv_id)"""
+
+
+@register("op13_conversation_repair", OP13_SQL)
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
