@@ -34,7 +34,7 @@ def test_same_as_sql(spark, db, name):
 def test_all_are_registered():
     names = set(entry.queries())
     assert {n for n in names if n.startswith("op")} >= set(queries.QUERIES) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def run(spark, name):

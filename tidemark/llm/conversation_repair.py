@@ -94,6 +94,8 @@ def moves(state: int, initial: str, fault: int) -> Iterator[tuple[int, str, int]
         yield COST[KEEP] + more, KEEP, behind
     elif initial == "s" and state == START:
         yield COST[KEEP] + more, KEEP, AFTER_S
+    elif not initial:
+        yield COST[KEEP] + more, KEEP, state
 
 
 def lightest(rows: list[tuple[str, int]], entries: dict[int, tuple[int, str]], last: bool) -> dict[int, tuple[int, str, int]]:
@@ -131,7 +133,7 @@ class Conversation:
     def __init__(self, conv_id: int | None, segment: int):
         self.conv_id, self.segment = conv_id, segment
         self.rows: list[tuple[str, str, int]] = []
-        self.items = {START: (0, "", hashlib.sha256())}
+        self.items = {START: (0, "", hashlib.sha256(), False)}
         self.written: list[str] = []
         self.faults = [0, 0, 0, 0]
         self.illegal = self.distinct = 0
@@ -152,15 +154,17 @@ class Conversation:
         found = lightest([(role[:1], fault) for role, _, fault in rows], {s: x[:2] for s, x in self.items.items()}, last)
         items = {}
         for state, (cost, audit, entry) in found.items():
-            digest = self.items[entry][2].copy()
-            self.replay(digest, rows, audit[len(self.items[entry][1]) :], entry)
-            items[state] = (cost, audit, digest)
-        common = os.path.commonprefix([audit for _, audit, _ in items.values()])
+            _, before, digest, begun = self.items[entry]
+            digest = digest.copy()
+            begun = self.replay(digest, begun, rows, audit[len(before) :], entry)
+            items[state] = (cost, audit, digest, begun)
+        common = os.path.commonprefix([x[1] for x in items.values()])
         self.written.append(common)
-        self.items = {s: (cost, audit[len(common) :], digest) for s, (cost, audit, digest) in items.items()}
+        self.items = {s: (cost, audit[len(common) :], *rest) for s, (cost, audit, *rest) in items.items()}
 
     @staticmethod
-    def replay(digest, rows: list[tuple[str, str, int]], audit: str, state: int) -> None:
+    def replay(digest, begun: bool, rows: list[tuple[str, str, int]], audit: str, state: int) -> bool:
+        """Add the repaired lines to the digest; whether it has a line now."""
         place = 0
         for edit in audit:
             role, text = ("", "") if edit == INSERT else rows[place][:2]
@@ -169,15 +173,16 @@ class Conversation:
                 continue
             made, behind = NEXT[state]
             if edit == KEEP:
-                behind = AFTER_S if role[:1] == "s" else behind
+                behind = AFTER_S if role[:1] == "s" else behind if role else state
             else:
                 role = ROLES[made]
-            digest.update(f"{'' if state == START else chr(10)}{role}:{text}".encode())
-            state = behind
+            digest.update(f"{chr(10) if begun else ''}{role}:{text}".encode())
+            begun, state = True, behind
+        return begun
 
     def result(self) -> tuple:
         self.close(self.rows, last=True)
-        ((cost, audit, digest),) = self.items.values()
+        ((cost, audit, digest, _),) = self.items.values()
         gaps = 0 if self.low is None else self.high - self.low + 1 - self.distinct
         return (self.conv_id, gaps, *self.faults[1:], self.illegal, cost, "".join(self.written) + audit, digest.hexdigest())
 
@@ -223,7 +228,7 @@ def repair(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
     the cheapest edits that make the role initials ``(s?(ua)+)?``; among equal costs the audit least in ASCII counts.
     ``repaired_sha256`` is of the repaired ``role:text`` lines. A conversation without rows (all dropped) has zeros, an
     empty audit and the hash of the empty text. Repeated rows are duplicates, other rows of equal turns are ordered by role
-    and text, an empty role has no initial and is legal nowhere. An empty table gives an empty one.
+    and text; an empty role adds no initial, so its rows may be kept anywhere, and its pairs count as ``illegal``. An empty table gives an empty one.
 
     A conversation is read by one task, as its digest is one hash over all its texts; it is streamed, never held.
     """
@@ -246,10 +251,11 @@ def repaired_turns(rows: DataFrame, repaired: DataFrame) -> DataFrame:
     met = edits.alias("e").join(numbered.alias("r"), F.col("e.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("e._row") == F.col("r._row")), "left")
     kept = met.filter(F.col("edit") != DELETE).select("e.conv_id", "_at", "edit", "role", "text")
     behind = Window.partitionBy("conv_id").orderBy("_at")
-    # Turns alternate from the first that is not a kept s, which can only be the very first turn.
-    led = F.first((F.col("edit") == KEEP) & F.col("role").startswith("s")).over(so_far)
-    placed = kept.withColumn("place", F.row_number().over(behind)).withColumn("_nth", F.col("place") - led.cast("int"))
-    made = F.when(F.col("_nth") % 2 == 1, "user").otherwise("assistant")
+    # Turns with an initial alternate from the first on, but for a kept s, which is before all of them.
+    own = F.col("edit") == KEEP
+    counts = ~(own & ((F.col("role") == "") | F.col("role").startswith("s")))
+    placed = kept.withColumn("place", F.row_number().over(behind)).withColumn("_nth", F.sum(counts.cast("int")).over(so_far))
+    made = F.when(F.col("_nth") % 2 == 1, ROLES["u"]).otherwise(ROLES["a"])
     return placed.select(
         "conv_id", "place", "edit", F.when(F.col("edit") == KEEP, F.col("role")).otherwise(made).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )

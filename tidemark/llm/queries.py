@@ -263,7 +263,8 @@ edits AS (
   FROM judged, (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) s(q, q2, name) WHERE fault IN (0, 3)
   UNION ALL
   SELECT conv_id, rn, q, q2, 'K', CASE WHEN fault = 3 THEN 1 ELSE 0 END, chr(10) || role || ':' || text
-  FROM judged JOIN (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')) s(q, q2, i) ON i = ini WHERE fault IN (0, 3)),
+  FROM judged JOIN (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u'), (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, '')) s(q, q2, i) ON i = ini
+  WHERE fault IN (0, 3)),
 best AS (
   SELECT conv_id, 0::BIGINT AS rn, 0 AS q, {'c': 0, 'a': '', 't': ''} AS v FROM counted
   UNION ALL
