@@ -98,8 +98,8 @@ def test_lag_with_a_hot_product(spark):
     )
     order = ["scraped_at", "event_id"]
     plain = {(r.event_id, r.prev_price) for r in h.lag_price(df, order).collect()}
-    for hot in (1, 100, 1000):
-        assert {(r.event_id, r.prev_price) for r in h.lag_price(df, order, hot_rows=hot, chunks=13).collect()} == plain
+    for partitions in (1, 13, 200):
+        assert {(r.event_id, r.prev_price) for r in h.lag_price(df, order, partitions).collect()} == plain
     last, want = {}, set()
     for p, s, e, price in sorted(data, key=lambda x: (x[1], x[2])):
         want.add((e, last.get(p)))
@@ -110,11 +110,24 @@ def test_lag_with_a_hot_product(spark):
 def test_lag_over_copies(spark):
     df = spark.createDataFrame([("p", 1, 5.0)] * 4 + [("p", 2, 7.0)] * 2, "product_id string, s long, price double")
     df = df.withColumn("scraped_at", F.timestamp_seconds("s"))
-    for hot in (1, 100):
-        got = sorted(((r.s, r.prev_price) for r in h.lag_price(df, ["scraped_at"], hot, 3).collect()), key=str)
+    for partitions in (1, 3, 6):
+        got = sorted(((r.s, r.prev_price) for r in h.lag_price(df, ["scraped_at"], partitions).collect()), key=str)
         assert got == sorted([(1, None)] + [(1, 5.0)] * 3 + [(2, 5.0), (2, 7.0)], key=str)
 
 
+def test_lag_splits_a_hot_moment(spark):
+    """All rows of one product at one time are dealt to several partitions, and nulls are a product."""
+    rows = [("hot", 1, 5.0)] * 3000 + [("hot", 2, 6.0), (None, 1, 1.0), (None, 2, None), (None, 3, 3.0), ("z", 1, 9.0)]
+    df = spark.createDataFrame(rows, "product_id string, s long, price double").withColumn("scraped_at", F.timestamp_seconds("s"))
+    dealt = h.lag_price(df, ["scraped_at"], 8)
+    got = sorted(((r.product_id, r.s, r.prev_price) for r in dealt.collect()), key=str)
+    want = [("hot", 1, None)] + [("hot", 1, 5.0)] * 2999 + [("hot", 2, 5.0), (None, 1, None), (None, 2, 1.0), (None, 3, None), ("z", 1, None)]
+    assert got == sorted(want, key=str)
+    folder = spark.read.parquet(dealt.inputFiles()[0].rsplit("/", 1)[0])
+    assert folder.where("product_id = 'hot'").groupBy("_part").count().count() >= 6
+    assert h.lag_price(df.limit(0), ["scraped_at"], 4).collect() == []
+
+
 def test_last_non_null(spark):
     df = spark.createDataFrame([("a", 1, 5, None), ("a", 2, None, "x"), ("a", 3, None, None)], "k string, t int, v int, w string")
     assert h.last_non_null(df, ["k"], ["t"]).first().asDict() == {"k": "a", "t": 3, "v": 5, "w": "x"}

@@ -1,5 +1,8 @@
 import datetime as dt
 import json
+import math
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,8 +138,7 @@ def test_stream_of_micro_batches(spark, tmp_path):
         ingest.folder_sink("valid", str(out / "valid")),
     ]
     texts = ingest.text_stream(spark, str(tmp_path / "in"), max_files=1)
-    for query in ingest.ingest_stream(texts, sinks, ingest.folder_sink("r", str(out / "rejects")), str(out / "cp")):
-        query.awaitTermination()
+    ingest.wait(*ingest.ingest_stream(texts, sinks, ingest.folder_sink("r", str(out / "rejects")), str(out / "cp")))
     valid = spark.read.parquet(str(out / "valid"))
     assert sorted(r.product_id for r in valid.collect()) == ["p1", "p2", "p3"] and calls
     assert valid.where("product_id = 'p3' and scraped_at is not null and availability = 'Unknown' and pipeline = 'nifi-streaming'").count() == 1
@@ -144,7 +146,7 @@ def test_stream_of_micro_batches(spark, tmp_path):
     assert reasons == ["corrupt record", "missing title", "negative price"]
     # A second run over the same files has nothing left to do; the sink that was down gets what it missed.
     again = ingest.start_valid(ingest.valid_records(ingest.observed(ingest.prepare(texts))), sinks, str(out / "cp" / "valid"))
-    again.awaitTermination()
+    ingest.wait(again)
     assert spark.read.parquet(str(out / "valid")).count() == 3
     up = ingest.folder_sink("failing", str(out / "late"))
     assert len(ingest.retry_failed(spark, up, str(out / "cp/valid/failed"))) == len(calls)
@@ -161,13 +163,31 @@ def test_no_record_is_lost_for_its_time(spark, tmp_path):
     lines(tmp_path / "in", "8.jsonl", record(product_id="d2", scraped_at=AT.format(2), source="other"), record(product_id="old", price="17.5"))
     texts = ingest.text_stream(spark, str(tmp_path / "in"), max_files=1)
     sinks = [ingest.folder_sink("valid", str(tmp_path / "valid"))]
-    for query in ingest.ingest_stream(texts, sinks, ingest.folder_sink("r", str(tmp_path / "rejects")), str(tmp_path / "cp")):
-        query.awaitTermination()
+    ingest.wait(*ingest.ingest_stream(texts, sinks, ingest.folder_sink("r", str(tmp_path / "rejects")), str(tmp_path / "cp")))
     got = sorted(r.product_id for r in spark.read.parquet(str(tmp_path / "valid")).collect())
     assert got == ["d1", "d2", "d2", "d5", "d6", "none", "old"]
     assert ingest.read_counters(spark, str(tmp_path / "cp/valid")).first() == (8, 7, 1)
 
 
+def test_replays_are_found_in_state_that_costs_the_batch_only(spark, tmp_path):
+    """Fifty batches, every second one a replay of the first: no batch reads or copies more than the early ones."""
+    for k in range(50):
+        rows = [record(product_id=f"p{0 if k % 2 else k}-{j}") for j in range(20)]
+        lines(tmp_path / "in", f"{k:02d}.jsonl", *rows)
+        os.utime(tmp_path / "in" / f"{k:02d}.jsonl", (1_700_000_000 + k, 1_700_000_000 + k))
+    texts = ingest.text_stream(spark, str(tmp_path / "in"), max_files=1)
+    valid = ingest.valid_records(ingest.prepare(texts))
+    query = ingest.start_valid(valid, [ingest.folder_sink("valid", str(tmp_path / "valid"))], str(tmp_path / "cp"))
+    ingest.wait(query)
+    assert spark.read.parquet(str(tmp_path / "valid")).count() == 500
+    assert ingest.read_counters(spark, str(tmp_path / "cp")).first() == (1000, 500, 500)
+    batches = [p.stateOperators[0] for p in query.recentProgress if p.stateOperators]
+    assert len(batches) >= 50 and "rocksdbBytesCopied" in batches[0].customMetrics
+    copied = [b.customMetrics["rocksdbBytesCopied"] for b in batches]
+    assert sum(copied[25:50]) <= sum(copied[:25]) + 4096
+    assert batches[-1].numRowsTotal == 500
+
+
 def test_counters(spark, tmp_path):
     lines(tmp_path / "in", "1.jsonl", record(), record(price=-1.0), record(product_id="p2"))
     counters = ingest.IngestCounters()
@@ -257,3 +277,84 @@ def test_scan_reads_only_the_first_keys(spark, tmp_path):
     assert [(r.row_key.split("#")[0], r.price) for r in got.collect()] == [(f"p{i}", 3.0) for i in range(4)]
     assert "LessThanOrEqual(row_key,p" in got._jdf.queryExecution().executedPlan().toString()
     assert widerow.scan_all(rows, 100).count() == 9
+
+
+def loaded(spark, *records):
+    return files.parse_records(spark.createDataFrame([(json.dumps(r),) for r in records], "value string")).drop("value", files.CORRUPT)
+
+
+def test_loads_read_only_the_spans_they_meet(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    read = lambda fresh: [f for f in fresh.inputFiles() if str(tmp_path) in f]
+    hours = lambda day, *hs: [record(product_id=f"p{h}", scraped_at=f"2024-01-0{day}T{h:02d}:00:00+00:00") for h in hs]
+    assert files.load_raw(loaded(spark, *hours(1, 1, 2), *hours(2, 5)), path).count() == 3
+    # Another day, and other hours of a known day: nothing of the table is read.
+    for rows in (hours(3, 1, 2), hours(1, 5, 6)):
+        fresh = files.load_raw(loaded(spark, *rows), path)
+        assert read(fresh) == [] and fresh.count() == 2
+    # An overlapping span: only that day, and only what is new enters.
+    fresh = files.load_raw(loaded(spark, *hours(1, 2, 3), *hours(3, 7)), path)
+    assert fresh.count() == 2 and {f.split("scraped_date=")[1][:10] for f in read(fresh)} == {"2024-01-01"}
+    # The same rows again, in another order: known by their mark.
+    assert files.load_raw(loaded(spark, *hours(3, 7), *hours(1, 3, 2)), path).count() == 0
+    assert spark.read.parquet(path).count() == 9
+
+
+def test_a_load_that_left_no_mark_is_compared(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = loaded(spark, record(), record(scraped_at=AT.format(2)), record(scraped_at="drop"))
+    files.load_raw(rows, path)
+    for mark in (tmp_path / "raw" / "_loads").iterdir():
+        mark.rename(tmp_path / mark.name)
+    assert files.load_raw(rows, path).count() == 0 and spark.read.parquet(path).count() == 3
+
+
+def test_offsets_of_a_total_limit():
+    rng = random.Random(1)
+    for _ in range(500):
+        start = {p: rng.randrange(50) for p in range(rng.randrange(1, 7))}
+        end = {p: s + rng.choice([0, 1, rng.randrange(40)]) for p, s in start.items()}
+        limit, there = rng.randrange(120), sum(end[p] - start[p] for p in start)
+        stops = kafka.end_offsets(start, end, limit)
+        assert all(start[p] <= stops[p] <= end[p] for p in start)
+        assert sum(stops[p] - start[p] for p in start) == min(limit, there)
+    assert kafka.end_offsets({}, {0: 3, 1: 9}, 8) == {0: 3, 1: 5}
+
+
+def test_a_stream_ends_at_the_limit(spark, tmp_path):
+    for k in range(6):
+        lines(tmp_path / "in", f"{k}.jsonl", *[f"r{k}-{j}" for j in range(7)])
+    texts = ingest.text_stream(spark, str(tmp_path / "in"), max_files=1)
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    ingest.start_limited(texts, ingest.folder_sink("o", out), cp, 17).awaitTermination()
+    assert spark.read.parquet(out).count() == 17
+    # Started again, with more files, it has nothing more to deliver.
+    lines(tmp_path / "in", "9.jsonl", "more")
+    ingest.start_limited(texts, ingest.folder_sink("o", out), cp, 17).awaitTermination()
+    got = [r.value for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got)) == 17
+
+
+def test_rate_quantiles_exact_and_sketched(spark):
+    rng = random.Random(9)
+    data = [(rng.randrange(900), rng.choice([None, rng.expovariate(0.01)])) for _ in range(30_000)]
+    rows = spark.createDataFrame(data, "s long, price double").withColumn("scraped_at", F.timestamp_seconds("s"))
+    by = {}
+    for s, price in data:
+        by.setdefault(s // 300, []).append(price)
+    exact, sketched = ({int(r.window_start.timestamp()) // 300: r for r in live.event_rates(rows, approx=a).collect()} for a in (False, True))
+    for w, prices in by.items():
+        known = sorted(p for p in prices if p is not None)
+        for name, share in live.SHARES.items():
+            assert exact[w][name] == known[math.ceil(share * len(known)) - 1]
+            rank = sum(p <= sketched[w][name] for p in known)
+            assert abs(rank - share * len(known)) <= live.SKETCH_RANK_ERROR * len(known) + 1
+        assert exact[w].events == sketched[w].events == len(prices)
+
+
+def test_the_sketch_of_a_window_is_bounded(spark):
+    sizes = []
+    for n in (10_000, 1_000_000):
+        agg = spark.range(n).agg(F.octet_length(F.kll_sketch_agg_double(F.col("id").cast("double"), F.lit(live.SKETCH_K))).alias("b"))
+        sizes.append(agg.first().b)
+    assert sizes[1] < 1.5 * sizes[0] < 15_000

@@ -117,6 +117,23 @@ def test_mann_whitney_with_many_groups(spark):
         assert got[a, b] == pytest.approx(1 - 2 * brute_u(va, vb) / 400, abs=6e-4)
 
 
+def test_pairs_of_many_groups_in_one_pass(spark):
+    """Sums of all pairs, in one bucket or many, in dense blocks of a few values."""
+    rng = random.Random(8)
+    rows = [(f"g{n % 23:02d}", float(rng.randrange(40))) for n in range(900)]
+    df = spark.createDataFrame(rows, "source string, price double")
+    names = sorted({g for g, _ in rows})
+    for few, per_bucket in ((10**6, 100), (0, 60)):
+        counted = count_values(df, ["source"], "price", few, per_bucket)
+        assert len(counted.cuts) == 0 if few else len(counted.cuts) > 4
+        got = {(names[r.a], names[r.b]): (r.u, r.ties) for r in i.pair_sums(counted, names, block_cells=100).collect()}
+        assert set(got) == set(itertools.combinations(names, 2))
+        for (a, b), (u, ties) in got.items():
+            va, vb = ([v for g, v in rows if g == x] for x in (a, b))
+            assert u == brute_u(va, vb)
+            assert ties == sum(n**3 - n for n in ((va + vb).count(v) for v in set(va + vb)))
+
+
 def test_anova_kruskal_levene_welch(prices):
     df, rows = prices
     groups = [np.array([x[2] for x in rows if x[0] == g]) for g in "abc"]

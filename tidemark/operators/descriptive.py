@@ -21,7 +21,7 @@ from tidemark.operators.distribution import (
     summarise,
 )
 from tidemark.operators.history import lag_price
-from tidemark.operators.small import attach, localize
+from tidemark.operators.small import attach, collect_small, localize
 
 OVERALL = "★ OVERALL"
 QUARTILES = {"q25": 0.25, "q75": 0.75}
@@ -127,6 +127,26 @@ def median_pivot(df: DataFrame, categories: list[str] | None = None) -> DataFram
     return wide
 
 
+def wide_blocks(cells: DataFrame, row: str, col: str, value: str, width: int = 1000) -> DataFrame:
+    """(row, block, cells): a wide result for any number of labels, as maps from label to value.
+
+    A pivot makes a column of each label, which ends at some thousands. Here labels are dealt to blocks of about ``width``
+    by a hash of their name, so that a row of the result stays small, and cells without a value take no room.
+    """
+    labels = cells.select(col).distinct().count()
+    blocks = max(1, -(-labels // width))
+    hashed = F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 8), 16, 10).cast("long")
+    entries = F.array_sort(F.collect_list(F.struct(F.col(col).alias("key"), F.col(value).alias("value"))))
+    placed = cells.where(F.col(value).isNotNull() & F.col(col).isNotNull()).withColumn("block", (hashed % blocks).cast("int"))
+    return placed.groupBy(row, "block").agg(F.map_from_entries(entries).alias("cells"))
+
+
+def median_blocks(df: DataFrame, row: str = "source", col: str = "category", value: str = "price", width: int = 1000) -> DataFrame:
+    """``median_pivot`` for more labels than a pivot takes."""
+    medians = quantiles(df, [row, col], value, MEDIAN).withColumn("median", F.round("median", 2))
+    return wide_blocks(medians, row, col, "median", width)
+
+
 def daily_average(df: DataFrame, digits: int = 2) -> DataFrame:
     return df.groupBy("scraped_date", "source").agg(
         F.round(F.avg("price"), digits).alias("avg_price"), F.count("price").alias("n")
@@ -308,6 +328,15 @@ def top_categories(df: DataFrame, k: int = 10, col: str = "category") -> DataFra
     )
 
 
-def in_top_categories(df: DataFrame, k: int = 10, col: str = "category") -> DataFrame:
-    """Rows whose label is one of the ``k`` most frequent."""
-    return df.join(F.broadcast(localize(top_categories(df, k, col).select(col))), col, "left_semi")
+def top_by_median(df: DataFrame, k: int = 10, col: str = "category", value: str = "price") -> DataFrame:
+    """The ``k`` labels with the highest median, with their number of rows; equal medians by name."""
+    table = summarise(df.where(F.col(col).isNotNull()), [col], value, {"n": COUNT}, {"median": 0.5})
+    return table.select(col, "n", F.round("median", 2).alias("median")).orderBy(F.desc_nulls_last("median"), col).limit(k)
+
+
+def in_top_categories(df: DataFrame, k: int = 10, col: str = "category", by_median: bool = False) -> DataFrame:
+    """Rows whose label is one of the ``k`` most frequent, or of those with the highest median."""
+    top = (top_by_median if by_median else top_categories)(df, k, col).select(col)
+    local = collect_small(top)
+    # More labels than a broadcast may hold are joined by the label: rows of a hot one are split by adaptive execution.
+    return df.join(top if local is None else F.broadcast(local), col, "left_semi")

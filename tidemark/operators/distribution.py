@@ -221,24 +221,3 @@ def mid_ranks(counted: Counted) -> DataFrame:
         .withColumn("rank", offset_column(counted.offsets().get(None)) + F.col("_end") - (F.col("ties") - 1) / 2)
         .select(group, col, "n", "ties", "rank")
     )
-
-
-def counts_by_group(counted: Counted, groups: list) -> tuple[DataFrame, list[tuple[Column, Column]]]:
-    """One row per distinct value with, for every group, its rows at that value (``n_i``) and
-    below it (``b_i``)."""
-    group, col = counted.by[0], counted.col
-    wide = counted.bucketed(
-        counted.table.groupBy(col).agg(
-            *[
-                F.sum(F.when(F.col(group) == F.lit(g), F.col("n")).otherwise(0)).alias(f"n_{i}")
-                for i, g in enumerate(groups)
-            ]
-        )
-    )
-    offsets = counted.offsets(group)
-    upto = Window.partitionBy("bucket").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    below = [
-        (offset_column(offsets.get(g)) + F.sum(f"n_{i}").over(upto) - F.col(f"n_{i}")).alias(f"b_{i}")
-        for i, g in enumerate(groups)
-    ]
-    return wide.select("*", *below), [(F.col(f"n_{i}"), F.col(f"b_{i}")) for i in range(len(groups))]

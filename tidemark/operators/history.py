@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.distribution import into_buckets
-from tidemark.operators.small import attach, collect_small
-
-HOT_ROWS = 5_000_000
-TIME_CHUNKS = 512
+from tidemark.operators.small import attach
+from tidemark.session import stash
 
 
 def newest_first(df: DataFrame, tie_break: list[str]) -> list[Column]:
@@ -60,49 +64,66 @@ def price_changes(deduped: DataFrame) -> DataFrame:
     )
 
 
-def lag_price(
-    df: DataFrame, order: list[str], hot_rows: int = HOT_ROWS, chunks: int = TIME_CHUNKS
-) -> DataFrame:
-    """``prev_price`` over all rows of a product, without daily deduplication.
+def lag_price(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """``prev_price`` over all rows of a product in the given order, without daily deduplication.
 
-    Products with more than ``hot_rows`` rows are cut into spans of time: inside a span a window finds
-    the previous row, and the first row of a span takes the last price of the span before it.
+    A segmented scan: rows are dealt by ranges of (product, order), so that a product with very many rows, be they of
+    one day, lies in several partitions; each partition is walked once in order, and its first row takes the price of
+    the last row of the partition before, if that is of the same product. Copies of a row that fall into two
+    partitions are neighbours there too. A null product_id is a product of its own. Starts jobs: the ranges come from
+    a sample of the rows, and the walked rows are written, as the borders are read from them.
     """
-    sizes = df.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot = collect_small(sizes.where(F.col("_n") > hot_rows).select("product_id"))
-    by_product = Window.partitionBy("product_id").orderBy(*order)
-    if hot is not None and hot.isEmpty():
-        return df.withColumn("prev_price", F.lag("price").over(by_product))
-    if hot is None:
-        # More hot products than a broadcast may hold: treat every product as hot.
-        return _lag_by_span(df, order, chunks)
-    rare = df.join(F.broadcast(hot), "product_id", "left_anti").withColumn("prev_price", F.lag("price").over(by_product))
-    return rare.unionByName(_lag_by_span(df.join(F.broadcast(hot), "product_id", "left_semi"), order, chunks))
-
-
-def _lag_by_span(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    # Copies of a row are one counted row: the first takes the price before it, the others their own.
-    once = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    seconds = once.withColumn("_t", F.unix_micros("scraped_at").cast("double"))
-    shares = [i / chunks for i in range(1, chunks)]
-    cuts = seconds.agg(F.percentile_approx("_t", shares, 10 * chunks)).first()[0] or []
-    rows = into_buckets(seconds, "_t", tuple(sorted(set(cuts)))).drop("_t")
-    span = Window.partitionBy("product_id", "bucket").orderBy(*order)
-    rows = rows.withColumn("_prev", F.lag("price").over(span)).withColumn("_pos", F.row_number().over(span))
-    lasts = rows.groupBy("product_id", "bucket").agg(F.max_by("price", F.struct(*order)).alias("_last"))
-    between = Window.partitionBy("product_id").orderBy("bucket")
-    carried = lasts.select("product_id", "bucket", F.lag("_last").over(between).alias("_carried"))
-    return (
-        attach(rows, carried, ["product_id", "bucket"])
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-        .withColumn(
-            "prev_price",
-            F.when(F.col("_copy") > 1, F.col("price"))
-            .when(F.col("_pos") == 1, F.col("_carried"))
-            .otherwise(F.col("_prev")),
-        )
-        .select(*df.columns, "prev_price")
+    # Rows that are equal in all of the order may be split between partitions as well.
+    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    keys = ["product_id", *order, "_spread"]
+    dealt = spread.repartitionByRange(*([partitions] if partitions else []), *keys)
+    marks = [T.StructField("prev_price", df.schema["price"].dataType), T.StructField("_part", T.IntegerType()), T.StructField("_edge", T.IntegerType())]
+    product, price = df.columns.index("product_id"), df.columns.index("price")
+    walked = dealt.sortWithinPartitions(*keys).drop("_spread").mapInArrow(
+        lambda batches: _walk(batches, product, price), T.StructType([*df.schema.fields, *marks])
     )
+    rows = stash(walked, "lag")
+    # Two rows a partition: its first and its last; partitions without rows leave none.
+    lasts = rows.where(F.col("_edge").bitwiseAND(F.lit(LAST)) != 0).select("_part", F.struct("product_id", "price").alias("_last"))
+    before = lasts.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_before"))
+    carried = (F.col("_edge").bitwiseAND(F.lit(FIRST)) != 0) & F.col("_before").isNotNull() & F.col("_before.product_id").eqNullSafe(F.col("product_id"))
+    return attach(rows, before, ["_part"]).select(
+        *df.columns, F.when(carried, F.col("_before.price")).otherwise(F.col("prev_price")).alias("prev_price")
+    )
+
+
+FIRST, LAST = 1, 2
+
+
+def _walk(batches: Iterator[pa.RecordBatch], product: int, price: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition with the price before, the partition's number, and marks of its first and last row."""
+    part = TaskContext.get().partitionId()
+    held, edge = None, FIRST
+
+    def marked(batch: pa.RecordBatch, before: pa.RecordBatch | None, first: int, last: int) -> pa.RecordBatch:
+        n = batch.num_rows
+        prior = [pa.concat_arrays([before.column(c).slice(before.num_rows - 1) if before is not None else pa.nulls(1, batch.column(c).type), batch.column(c).slice(0, n - 1)]) for c in (product, price)]
+        now = batch.column(product)
+        same = pc.or_(pc.fill_null(pc.equal(now, prior[0]), False), pc.and_(pc.is_null(now), pc.is_null(prior[0])))
+        edges = np.zeros(n, np.int32)
+        edges[0] |= first
+        edges[-1] |= last
+        previous = pc.if_else(same, prior[1], pa.nulls(n, prior[1].type))
+        if first:  # nothing is known yet of the row before
+            previous = pa.concat_arrays([pa.nulls(1, previous.type), previous.slice(1)])
+        columns = [*batch.columns, previous, pa.array(np.full(n, part, np.int32)), pa.array(edges)]
+        return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "prev_price", "_part", "_edge"])
+
+    # A batch is given out when the next has come, as only then it is known not to hold the last row.
+    older = None
+    for batch in batches:
+        if batch.num_rows:
+            if held is not None:
+                yield marked(held, older, edge, 0)
+                edge = 0
+            older, held = held, batch
+    if held is not None:
+        yield marked(held, older, edge, LAST)
 
 
 def latest_row(df: DataFrame, keys: list[str], tie_break: list[str] | None = None) -> DataFrame:

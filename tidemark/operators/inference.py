@@ -7,12 +7,13 @@ rank tests). Only these small tables are paired and passed to the tail-probabili
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import replace
-from itertools import combinations, product
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,13 +22,12 @@ from tidemark.functions import cleaning as c
 from tidemark.functions import special as s
 from tidemark.operators.descriptive import in_top_categories, top_categories
 from tidemark.operators.distribution import (
-    COUNT, COUNTS_PER_BUCKET, FEW_COUNTS, MEAN, Counted, count_values, counts_by_group, mid_ranks, quantiles, summarise,
+    COUNT, COUNTS_PER_BUCKET, FEW_COUNTS, MEAN, Counted, count_values, mid_ranks, quantiles, summarise,
 )
 from tidemark.operators.sampling import sample_per_group
 from tidemark.operators.small import attach, localize
 
 ALPHA = 0.05
-GROUPS_PER_BLOCK = 16
 #: Groups of which all pairs are compared at most: two million pairs.
 MAX_GROUPS = 2000
 
@@ -121,35 +121,73 @@ def welch_t(df: DataFrame, group: str = "source", col: str = "price", alpha: flo
     return out.orderBy("p_value", f"{group}_a", f"{group}_b")
 
 
-def _pair_statistics(counted: Counted, groups: list) -> list[tuple]:
-    """(a, b, U of a, tie sum) for every pair, all from one ordered table of value counts."""
-    blocks = [groups[x : x + GROUPS_PER_BLOCK] for x in range(0, len(groups), GROUPS_PER_BLOCK)]
-    if len(blocks) == 1:
-        return _block_statistics(counted, groups, list(combinations(groups, 2)))
-    out = []
-    for x, y in combinations(range(len(blocks)), 2):
-        pairs_of_blocks = list(product(blocks[x], blocks[y]))
-        # Pairs within a block are taken along with the block's neighbour.
-        if y == x + 1:
-            pairs_of_blocks += combinations(blocks[x], 2)
-            if y == len(blocks) - 1:
-                pairs_of_blocks += combinations(blocks[y], 2)
-        out += _block_statistics(counted, blocks[x] + blocks[y], pairs_of_blocks)
-    return out
-
-
-def _block_statistics(counted: Counted, groups: list, wanted: list[tuple]) -> list[tuple]:
-    if not wanted:
-        return []
-    table, cells = counts_by_group(counted, groups)
-    of_group = dict(zip(groups, cells))
-    aggs = []
-    for a, b in wanted:
-        (n_a, _), (n_b, below_b) = of_group[a], of_group[b]
-        both = (n_a + n_b).cast("double")
-        aggs += [F.sum(n_a * (below_b + n_b / 2.0)), F.sum(both * both * both - both)]
-    row = table.agg(*[x.alias(f"x{k}") for k, x in enumerate(aggs)]).first()
-    return [(a, b, row[2 * k], row[2 * k + 1]) for k, (a, b) in enumerate(wanted)]
+#: Cells (distinct values by groups) that are held as a dense block while the counts of a bucket are paired.
+BLOCK_CELLS = 2_000_000
+PAIR_SUMS = "a int, b int, u double, ties double"
+
+
+def pair_sums(counted: Counted, groups: list, block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """(a, b, u, ties) for every pair of group numbers a < b, all from one pass over the table of value counts.
+
+    ``u`` counts rows of ``b`` below rows of ``a``, ties as one half; ``ties`` is the sum of t^3 - t over the values of
+    both. Buckets of values are sorted and paired on their own: a task adds the matrices of its buckets and gives one
+    row a pair, and these are combined before they are shuffled. Nothing is looped over on the driver.
+    """
+    spark, group = counted.table.sparkSession, counted.by[0]
+    k, offsets = len(groups), counted.offsets(group)
+    before = np.array([offsets.get(g, [0] * (len(counted.cuts) + 1)) for g in groups], float).reshape(k, -1) if offsets else np.zeros((k, 1))
+    kind = T.StructType([T.StructField(group, counted.table.schema[group].dataType), T.StructField("_no", T.IntegerType())])
+    numbers = spark.createDataFrame([(g, n) for n, g in enumerate(groups)], kind)
+    rows = attach(counted.bucketed(), numbers, [group], "inner").select("bucket", "_no", F.col(counted.col).cast("double").alias("v"), F.col("n").cast("double").alias("n"))
+    sums = rows.repartition("bucket").sortWithinPartitions("bucket", "v").mapInArrow(lambda b: _pair_batches(b, before, block_cells), PAIR_SUMS)
+    return sums.groupBy("a", "b").agg(F.sum("u").alias("u"), F.sum("ties").alias("ties"))
+
+
+def _pair_batches(batches: Iterator[pa.RecordBatch], before: np.ndarray, block_cells: int) -> Iterator[pa.RecordBatch]:
+    """The rows of PAIR_SUMS of a task, from rows (bucket, group number, value, n) sorted by bucket and value.
+
+    ``before`` are the rows of each group before each bucket. A bucket holds a bounded number of counts.
+    """
+    k = len(before)
+    u, cross, own = np.zeros((k, k)), np.zeros((k, k)), np.zeros(k)
+    any_row = False
+
+    def add(bucket: int, group: np.ndarray, value: np.ndarray, n: np.ndarray) -> None:
+        below = before[:, bucket].copy()
+        _, place = np.unique(value, return_inverse=True)
+        step = max(1, block_cells // k)
+        for first in range(0, int(place[-1]) + 1, step):
+            lo, hi = np.searchsorted(place, [first, first + step])
+            g, at, m = group[lo:hi], place[lo:hi] - first, n[lo:hi]
+            dense = np.zeros((at[-1] + 1, k))
+            dense[at, g] = m
+            ahead = below + np.cumsum(dense, axis=0) - dense / 2
+            below += dense.sum(axis=0)
+            own[:] += np.bincount(g, m**3 - m, k)
+            # Only the values that a group has are multiplied with all groups.
+            for x in np.unique(g):
+                mine = g == x
+                u[x] += m[mine] @ ahead[at[mine]]
+                cross[x] += 3 * (m[mine] ** 2 @ dense[at[mine]] + m[mine] @ dense[at[mine]] ** 2)
+
+    now, held = None, []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        cuts = np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1
+        for part in zip(*(np.split(c, cuts) for c in columns), strict=True):
+            if not len(part[0]):
+                continue
+            if now is not None and part[0][0] != now:
+                add(now, *(np.concatenate(c) for c in zip(*held, strict=True)))
+                held = []
+            now, any_row = int(part[0][0]), True
+            held.append(part[1:])
+    if held:
+        add(now, *(np.concatenate(c) for c in zip(*held, strict=True)))
+    if any_row:
+        a, b = np.triu_indices(k, 1)
+        columns = [a.astype(np.int32), b.astype(np.int32), u[a, b], own[a] + own[b] + cross[a, b]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "u", "ties"])
 
 
 def mann_whitney(
@@ -164,15 +202,11 @@ def mann_whitney(
     sizes = localize(sizes.join(counted.quantiles({"median": 0.5}), group))
     check_groups(sizes)
     groups = sorted(r[0] for r in sizes.select(group).collect())
-    kind = df.schema[group].dataType
-    stats = df.sparkSession.createDataFrame(
-        _pair_statistics(counted, groups),
-        T.StructType([
-            T.StructField(f"{group}_a", kind), T.StructField(f"{group}_b", kind),
-            T.StructField("u", T.DoubleType()), T.StructField("ties", T.DoubleType()),
-        ]),
-    )
-    p = pairs(sizes, group).join(stats, [f"{group}_a", f"{group}_b"])
+    kind = T.StructType([T.StructField(group, df.schema[group].dataType), T.StructField("_no", T.IntegerType())])
+    numbers = df.sparkSession.createDataFrame([(g, n) for n, g in enumerate(groups)], kind)
+    # At most MAX_GROUPS rows on either side; the pairs are joined by their numbers.
+    numbered = pairs(sizes.join(F.broadcast(numbers), group), group)
+    p = numbered.join(pair_sums(counted, groups), (F.col("_no_a") == F.col("a")) & (F.col("_no_b") == F.col("b")))
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n1 + n2
     spread = F.sqrt(n1 * n2 / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
@@ -206,7 +240,7 @@ def p_value_matrix(tests: DataFrame, group: str = "source") -> DataFrame:
 
 
 def matrix_wide(matrix: DataFrame) -> DataFrame:
-    """The matrix with one column per group."""
+    """The matrix with one column per group; ``descriptive.wide_blocks`` takes more groups than a pivot."""
     return matrix.groupBy("row").pivot("col").agg(F.first("log10_p"))
 
 

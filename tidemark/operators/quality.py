@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleaning as c
 from tidemark.operators.distribution import count_values
 from tidemark.operators.small import localize
-from tidemark.operators.staging import as_instant
+from tidemark.operators.staging import as_instant, as_number
 from tidemark.schema import KNOWN_SOURCES
 
 # Columns every data set must have, in reporting order.
@@ -32,13 +32,20 @@ def _instant(as_of: dt.datetime | str | Column | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp")
 
 
+def _number(df: DataFrame, col: str) -> Column:
+    """The value of a column as a number; NaN is none."""
+    number = as_number(df, col)
+    return F.when(~F.isnan(number), number)
+
+
 def run_checks(
     df: DataFrame, as_of: dt.datetime | str | Column | None = None, known: list[str] | None = None
 ) -> DataFrame:
     """The suite as (check, passed, detail), in a fixed order.
 
-    One aggregate pass covers all scalar checks, one the outlier fence and one the sources. All names of
-    unknown and of rare sources go into the detail.
+    One aggregate pass covers all scalar checks, one the outlier fence and one the sources. Numbers and times are
+    parsed only where a column is text. The details name the first NAMED unknown and rare sources and count
+    the others; ``unknown_sources`` and ``rare_sources`` are the relations with all of them.
     """
     spark = df.sparkSession
     known = known or KNOWN_SOURCES
@@ -52,11 +59,11 @@ def run_checks(
 
     cols = set(df.columns)
     if "price" in cols:
-        df = df.withColumn("_price", c.to_number("price"))
+        df = df.withColumn("_price", _number(df, "price"))
     if "scraped_at" in cols:
         df = df.withColumn("_at", as_instant(df, "scraped_at"))
     if "rating" in cols:
-        df = df.withColumn("_rating", c.to_number("rating"))
+        df = df.withColumn("_rating", _number(df, "rating"))
     bad = lambda cond: F.count_if(cond)
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [bad(F.col(x).isNull()).alias(f"null_{x}") for x in ("product_id", "price", "source", "currency") if x in cols]
@@ -136,19 +143,31 @@ def _far_rows(df: DataFrame, col: str, k: float) -> int:
     return counted.table.where(outside).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def rare_sources(df: DataFrame, least: int = 5) -> DataFrame:
+    """(source, n) of observed sources with fewer than ``least`` records, all of them."""
+    counts = df.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") < least)
+
+
+#: Sources that a detail names.
+NAMED = 100
+
+
 def _source_checks(df: DataFrame, known: list[str]) -> list[tuple]:
     counts = localize(df.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n")))
     strange, rare = ~F.col("source").isin(known), F.col("n") < 5
     found = counts.agg(F.count_if(strange).alias("strange"), F.count_if(rare).alias("rare")).first()
 
-    def some(cond: Column) -> list:
-        return counts.where(cond).orderBy("source").collect()
+    def some(cond: Column, there: int) -> tuple[list, str]:
+        rows = counts.where(cond).orderBy("source").limit(NAMED).collect() if there else []
+        return rows, f" and {there - NAMED} more" if there > NAMED else ""
 
-    names = ", ".join(repr(r["source"]) for r in some(strange)) if found["strange"] else ""
-    low = {r["source"]: r["n"] for r in some(rare)} if found["rare"] else {}
+    names, more = some(strange, found["strange"])
+    unknown = ", ".join(repr(r["source"]) for r in names)
+    few, others = some(rare, found["rare"])
     return [
-        ("all sources are known", found["strange"] == 0, f"unknown: {{{names}}}" if names else ""),
-        ("each source has >= 5 records", found["rare"] == 0, f"low-count sources: {low}"),
+        ("all sources are known", found["strange"] == 0, f"unknown: {{{unknown}}}{more}" if names else ""),
+        ("each source has >= 5 records", found["rare"] == 0, f"low-count sources: { {r['source']: r['n'] for r in few} }{others}"),
     ]
 
 

@@ -43,9 +43,9 @@ def stage_prices(raw: DataFrame, min_price: float = 0.0) -> DataFrame:
             "source",
             "url",
             c.strip("title").alias("title"),
-            _as_number(raw, "price").alias("price"),
+            as_number(raw, "price").alias("price"),
             F.upper(c.strip("currency")).alias("currency"),
-            _as_number(raw, "rating").alias("rating"),
+            as_number(raw, "rating").alias("rating"),
             F.coalesce(c.blank_to_null(c.strip("availability")), F.lit("Unknown")).alias("availability"),
             c.blank_to_null(c.strip("category")).alias("category"),
             c.blank_to_null("image_url").alias("image_url"),
@@ -61,7 +61,7 @@ def _is_text(df: DataFrame, col: str) -> bool:
     return df.schema[col].dataType.simpleString() == "string"
 
 
-def _as_number(df: DataFrame, col: str) -> Column:
+def as_number(df: DataFrame, col: str) -> Column:
     """A numeric column stays bare, so that a filter on it reaches the scan."""
     return c.to_number(col) if _is_text(df, col) else F.col(col).cast("double")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
 from tidemark.functions import parsing as p
+from tidemark.operators import daily
 from tidemark.operators import descriptive as d
 from tidemark.operators import history as h
 from tidemark.operators import inference as i
@@ -23,7 +24,7 @@ from tidemark.plans import marts as m
 from tidemark.plans import reports
 from tidemark.schema import KNOWN_HOSTS, PRICE_COLUMNS, PRICE_SCHEMA
 from tidemark.session import fresh_dir, stash
-from tidemark.sources import files, kafka, pages, tables, widerow
+from tidemark.sources import daily_table, families, files, kafka, pages, tables, widerow
 from tidemark.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +271,69 @@ def materialized_marts(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+# --------------------------------------------------------------------------- daily states and rolling features
+
+
+def daily_sql(rows: str) -> str:
+    return f"""SELECT product_id, scraped_date, count(*) AS observations, {rnd('sum(CAST(price AS DECIMAL(28, 8)))::DOUBLE / count(*)', 2)} AS avg_price, min(price) AS min_price, max(price) AS max_price,
+  {rnd('stddev_samp(price)', 2)} AS stddev_price, (min({{'at': scraped_at, 'price': price}})).price AS open_price,
+  (max({{'at': scraped_at, 'price': price}})).price AS close_price FROM {rows} GROUP BY 1, 2"""
+
+
+def rolling_sql(rows: str) -> str:
+    """From single prices, without any daily state."""
+    return f"""SELECT DISTINCT product_id, scraped_date, {rnd('CAST(sum(CAST(price AS DECIMAL(28, 8))) OVER short AS DOUBLE) / count(*) OVER short', 2)} AS avg_7d, {rnd('CAST(sum(CAST(price AS DECIMAL(28, 8))) OVER wide AS DOUBLE) / count(*) OVER wide', 2)} AS avg_30d, min(price) OVER wide AS min_30d,
+  max(price) OVER wide AS max_30d, {rnd('stddev_samp(price) OVER wide', 2)} AS volatility, count(DISTINCT scraped_date) OVER wide AS days_30d FROM {rows}
+  WINDOW short AS (PARTITION BY product_id ORDER BY scraped_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+    wide AS (PARTITION BY product_id ORDER BY scraped_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)"""
+
+
+register("daily_price_stats", f"WITH {STG} {daily_sql('stg')}")(lambda s, f: daily.daily_price_stats(daily.daily_states(staged(s, f))))
+register("rolling_features", f"WITH {STG} {rolling_sql('stg')}")(lambda s, f: daily.rolling_features(daily.daily_states(staged(s, f))))
+register("lineitem_rolling_features", f"WITH {LINES} {rolling_sql('lines')}")(lambda s, f: daily.rolling_features(daily.daily_states(lines(s, f))))
+
+
+def in_loads(spark: SparkSession, sf: str, parts: int = 3) -> str:
+    """The table of daily states after the events came in several loads that overlap in days, one of them twice."""
+    base, rows = fresh_dir(spark, "daily"), staged(spark, sf)
+    for k in [*range(parts), 0]:
+        daily_table.load_days(rows.where(F.col("event_id") % parts == k), base, f"part-{k}")
+    return base
+
+
+register("daily_table_by_loads", f"WITH {STG} {daily_sql('stg')}")(lambda s, f: daily.daily_price_stats(daily_table.read_days(s, in_loads(s, f))))
+
+
+@register(
+    "latest_features",
+    f"""WITH {STG}, today AS (SELECT max(scraped_date) AS d FROM stg)
+  SELECT product_id, {rnd('CAST(sum(CAST(price AS DECIMAL(28, 8))) FILTER (scraped_date > d - 7) AS DOUBLE) / count(*) FILTER (scraped_date > d - 7)', 2)} AS avg_7d, {rnd('sum(CAST(price AS DECIMAL(28, 8)))::DOUBLE / count(*)', 2)} AS avg_30d, min(price) AS min_30d,
+    max(price) AS max_30d, count(DISTINCT scraped_date) AS days_30d, any_value(d) AS as_of
+  FROM stg, today WHERE scraped_date > d - 30 AND scraped_date <= d GROUP BY product_id""",
+)
+def latest_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The features of the last day, from the table of daily states."""
+    base = fresh_dir(spark, "daily")
+    daily_table.load_days(staged(spark, sf), base, "all")
+    states = daily_table.read_days(spark, base)
+    return daily.latest_features(states, states.agg(F.max("scraped_date")).first()[0])
+
+
+@register(
+    "prices_with_metadata",
+    f"""WITH {STG}, m AS (SELECT product_id, arg_max(title, (scraped_at, event_id)) FILTER (title IS NOT NULL) AS title,
+    arg_max(category, (scraped_at, event_id)) FILTER (category IS NOT NULL) AS category, arg_max(rating, (scraped_at, event_id)) FILTER (rating IS NOT NULL) AS rating,
+    arg_max(url, (scraped_at, event_id)) FILTER (url IS NOT NULL) AS url, arg_max(source, (scraped_at, event_id)) FILTER (source IS NOT NULL) AS source
+    FROM stg GROUP BY product_id)
+  SELECT event_id, product_id, scraped_at, price, currency, m.title, m.category, m.rating, m.url, m.source FROM stg JOIN m USING (product_id)""",
+)
+def prices_with_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Each price beside the last known metadata of its product, joined by storage layout."""
+    name = f"family_{fresh_dir(spark, 'x').rsplit('-', 1)[-1]}"
+    families.write_families(staged(spark, sf), name, ["scraped_at", "event_id"], buckets=8)
+    return families.prices_with_metadata(spark, name)
+
+
 # --------------------------------------------------------------------------- cleaning and parsing
 
 register(
@@ -715,7 +779,7 @@ register("observed_changes", f"WITH {OBSERVED} SELECT event_id, price, prev_pric
 )
 register("lag_price_in_spans", f"WITH {OBSERVED} SELECT event_id, prev_price FROM obs")(
     # Every product with more than three rows goes through the path for hot products.
-    lambda s, f: h.lag_price(positive(s, f), ["scraped_at", "event_id"], hot_rows=3, chunks=16).select("event_id", "prev_price")
+    lambda s, f: h.lag_price(positive(s, f), ["scraped_at", "event_id"], partitions=16).select("event_id", "prev_price")
 )
 register("change_volatility", f"""WITH {OBSERVED} SELECT source, {rnd('avg(pct_change)', 3)} AS mean_chg,
   {rnd('stddev_samp(pct_change)', 3)} AS std_chg, {rnd('avg(CASE WHEN pct_change < -5 THEN 1.0 ELSE 0.0 END) * 100', 1)} AS pct_drops,
@@ -829,6 +893,26 @@ register("salted_join", f"WITH {STG} SELECT event_id, mu FROM (SELECT event_id,
     ).select("event_id", "mu")
 )
 
+register(
+    "median_blocks",
+    f"""WITH {LINES}, m AS (SELECT source, l_orderkey::VARCHAR AS label, {pctl('price', 0.5)} AS med FROM lines GROUP BY 1, 2),
+  b AS (SELECT greatest(1, ceil(count(DISTINCT label) / 1000))::BIGINT AS blocks FROM m)
+  SELECT source, (CAST('0x' || substr(md5(label), 1, 8) AS BIGINT) % blocks)::INTEGER AS block, count(*) AS labels,
+    string_agg(label || ':' || CAST(round({rnd('med', 2)} * 100) AS BIGINT), ' ' ORDER BY label) AS cells FROM m, b GROUP BY 1, 2""",
+)(
+    # As many labels as there are orders: more than spark.sql.pivotMaxValues already on small tables.
+    lambda s, f: d.median_blocks(lines(s, f).withColumn("label", F.col("l_orderkey").cast("string")), "source", "label").select(
+        "source", "block", F.size("cells").cast("long").alias("labels"),
+        F.array_join(F.transform(F.map_entries("cells"), lambda e: F.concat_ws(":", e.key, F.round(e.value * 100).cast("long"))), " ").alias("cells"),
+    )
+)
+register("in_top_by_median", f"""WITH {STG} SELECT event_id, category FROM pos WHERE category IN (SELECT category FROM pos
+  WHERE category IS NOT NULL GROUP BY 1 ORDER BY {rnd(pctl('price', 0.5), 2)} DESC, category LIMIT 3)""")(
+    lambda s, f: d.in_top_categories(positive(s, f), 3, by_median=True).select("event_id", "category")
+)
+register("top_by_median", f"""WITH {STG} SELECT category, count(*) AS n, {rnd(pctl('price', 0.5), 2)} AS median FROM pos WHERE category IS NOT NULL GROUP BY 1
+  ORDER BY median DESC, category LIMIT 3""")(lambda s, f: d.top_by_median(positive(s, f), 3))
+
 # --------------------------------------------------------------------------- tests and regressions
 
 
@@ -892,6 +976,33 @@ MWU = f"""WITH {STG}, ranked AS (
   SELECT source_a, source_b, {rnd('med_a', 2)} AS median_a, {rnd('med_b', 2)} AS median_b, {rnd('u', 0)} AS u_stat, {rnd('p', 6)} AS p_value,
     {rnd('1 - 2 * u / (n1 * n2)', 3)} AS effect_r, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant FROM p"""
 register("mann_whitney", MWU)(lambda s, f: i.mann_whitney(positive(s, f)))
+
+
+@register(
+    "mann_whitney_exact",
+    f"""WITH RECURSIVE pos AS (SELECT n_name AS source, s_acctbal AS price FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+  g AS (SELECT source, count(*) AS n, {pctl('price', 0.5)} AS med FROM pos GROUP BY source),
+  u AS (SELECT x.source AS source_a, y.source AS source_b, sum(CASE WHEN x.price > y.price THEN 1.0 WHEN x.price = y.price THEN 0.5 ELSE 0 END) AS u
+    FROM pos x JOIN pos y ON x.source < y.source GROUP BY 1, 2),
+  same AS (SELECT source_a, source_b, sum(t ** 3 - t) AS t FROM (SELECT source_a, source_b, price, count(*)::DOUBLE AS t
+    FROM u JOIN pos ON pos.source IN (source_a, source_b) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+  -- Of i rows in order of value, m of the first group: in how many ways u comes about.
+  ways AS (SELECT 0 AS i, 0 AS m, 0 AS u, 1.0::DOUBLE AS w
+    UNION ALL SELECT i + 1, m + s.k, u + s.k * (i - m), sum(w) FROM ways, (VALUES (0), (1)) s(k) WHERE i < 40 AND m + s.k <= 20 GROUP BY 1, 2, 3),
+  z AS (SELECT u.*, t, a.n AS n1, b.n AS n2, a.med AS med_a, b.med AS med_b FROM u JOIN same USING (source_a, source_b)
+    JOIN g a ON a.source = source_a JOIN g b ON b.source = source_b),
+  p AS (SELECT *, CASE WHEN least(n1, n2) <= 8 AND t = 0
+      THEN least(1, 2 * (SELECT sum(w) FILTER (ways.u >= ceil(greatest(z.u, n1 * n2 - z.u))) / sum(w) FROM ways WHERE i = n1 + n2 AND m = n1))
+      ELSE {sql_norm_p("greatest(0, (greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - t / ((n1 + n2) * (n1 + n2 - 1)))))")} END AS p FROM z)
+  SELECT source_a, source_b, {rnd('med_a', 2)} AS median_a, {rnd('med_b', 2)} AS median_b, {rnd('u', 0)} AS u_stat, {rnd('p', 6)} AS p_value,
+    {rnd('1 - 2 * u / (n1 * n2)', 3)} AS effect_r, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant FROM p""",
+)
+def mann_whitney_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Balances of suppliers by nation: small groups, so that the exact law holds for most pairs."""
+    suppliers = tables.read_table(spark, sf, "supplier").join(tables.read_table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return i.mann_whitney(suppliers.select(F.col("n_name").alias("source"), F.col("s_acctbal").alias("price")))
+
+
 register("mann_whitney_by_bucket", MWU)(
     lambda s, f: i.mann_whitney(positive(s, f), few=0, per_bucket=500)
 )
@@ -1105,9 +1216,7 @@ def texts(spark: SparkSession, sf: str, base: str) -> DataFrame:
     return ingest.text_stream(spark, f"{base}/sent", max_files=1)
 
 
-def run(*queries) -> None:
-    for query in queries:
-        query.awaitTermination()
+run = ingest.wait
 
 
 @register("stream_ingest", f"""WITH {JSON_OK} SELECT product_id, source, title, price, currency, rating, coalesce(raw_av, 'Unknown') AS availability,
@@ -1181,6 +1290,49 @@ def stream_rates(spark: SparkSession, sf: str) -> DataFrame:
     return live.read_rates(spark, f"{base}/out")
 
 
+register("event_rates_sketch", f"""WITH {STG} SELECT time_bucket(INTERVAL 5 MINUTE, scraped_at) AS window_start, count(*) AS events, count(*) / 300 AS events_per_sec,
+  count(*) FILTER (WHERE source = 'scrapeme.live') / count(*) AS error_ratio, true AS p50_near, true AS p95_near FROM stg GROUP BY 1""")(
+    lambda s, f: near_ranks(s, f, live.event_rates(staged(s, f), is_error=F.col("source") == "scrapeme.live", approx=True))
+)
+
+
+def near_ranks(spark: SparkSession, sf: str, rates: DataFrame) -> DataFrame:
+    """Whether the sketched quantiles are within the stated error of their rank, by counting the window's prices below."""
+    prices = staged(spark, sf).select(F.window("scraped_at", "300 seconds").start.alias("window_start"), "price")
+    both = prices.join(rates, "window_start").groupBy("window_start", "events", "events_per_sec", "error_ratio")
+    share = {"p50": 0.5, "p95": 0.95}
+    counted = both.agg(
+        *[F.count_if(F.col("price") < F.col(q)).alias(f"{q}_below") for q in share], *[F.count_if(F.col("price") <= F.col(q)).alias(f"{q}_upto") for q in share]
+    )
+    # A rank is a whole number, so one event is always allowed.
+    slack = F.lit(live.SKETCH_RANK_ERROR) * F.col("events") + 1
+    near = [
+        ((F.col(f"{q}_below") <= F.lit(x) * F.col("events") + slack) & (F.col(f"{q}_upto") >= F.lit(x) * F.col("events") - slack)).alias(f"{q}_near")
+        for q, x in share.items()
+    ]
+    return counted.select("window_start", "events", "events_per_sec", "error_ratio", *near)
+
+
+@register("stream_sketched_rates", f"WITH {STG} SELECT count(*) AS events, count(DISTINCT time_bucket(INTERVAL 5 MINUTE, scraped_at)) AS windows FROM stg")
+def stream_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    base = fresh_dir(spark, "sketch")
+    stream = st.stage_prices(tables.raw_from_events(tables.stream_table(spark, sf, "events")))
+    run(live.start_rates(live.event_rates(stream, approx=True), f"{base}/out", f"{base}/cp"))
+    rates = live.read_rates(spark, f"{base}/out").where(F.col("p50") <= F.col("p95"))
+    return rates.agg(F.sum("events").alias("events"), F.count(F.lit(1)).alias("windows"))
+
+
+@register("stream_limited", f"WITH {STG}, {SENT} SELECT least(count(*), 1000) AS delivered, least(count(*), 1000) AS known FROM sent")
+def stream_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """Exactly the wanted number of records over several batches, each of them one that was sent."""
+    base = fresh_dir(spark, "limited")
+    stream = texts(spark, sf, base)
+    run(ingest.start_limited(stream, ingest.folder_sink("some", f"{base}/some"), f"{base}/cp", 1000))
+    some = spark.read.parquet(f"{base}/some").drop("batch")
+    known = some.intersectAll(spark.read.text(f"{base}/sent"))
+    return some.agg(F.count(F.lit(1)).alias("delivered")).join(known.agg(F.count(F.lit(1)).alias("known")))
+
+
 CURRENT_RAW = f"""WITH {STG} SELECT product_id, source, price, scraped_at FROM (SELECT *, row_number() OVER (PARTITION BY product_id
   ORDER BY scraped_at DESC, event_id DESC) AS rn FROM stg) WHERE rn = 1"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.cleaning import strip, to_number
 from tidemark.operators.small import collect_small
 from tidemark.schema import PRICE_SCHEMA
+from tidemark.session import stash
 
 log = logging.getLogger(__name__)
 
@@ -48,35 +49,88 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """One call of the file system, whatever is below the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written by the driver, replaced if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
     try:
-        spark.read.format("binaryFile").load(path).schema
-        return True
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+MANY_DAYS = 10_000
+RANGES = "low timestamp, high timestamp, scraped_date date"
 
 
 def load_raw(df: DataFrame, path: str) -> DataFrame:
     """Append observations to the raw table, partitioned by day, and return what was new.
 
     A repeated load adds nothing: a record is known by all its fields, null or not. Rows of one product and
-    time that differ in anything are different records. Only the days of the batch are read back from the
-    table, or all of them if a batch has more than ten thousand.
+    time that differ in anything are different records.
+
+    Beside the days lie ``_loads``, a mark for each load by the content of its rows, and ``_ranges``, the spans of time
+    that loads brought for each day. A load that is marked is not compared at all; of another only the days are
+    read whose spans meet an earlier one, and within them only the span. Rows without a time are always
+    compared. Spans are written before the rows and the mark after them, so that a load that died in between is
+    compared with what it left. One writer at a time.
     """
     spark = df.sparkSession
-    batch = df.withColumn("scraped_date", F.to_date("scraped_at")).distinct()
+    batch = stash(df.withColumn("scraped_date", F.to_date("scraped_at")).distinct(), "load")
+    mark = f"{path}/_loads/{_fingerprint(batch)}"
+    if path_exists(spark, mark):
+        return batch.limit(0)
+    at = F.col("scraped_at").cast("timestamp")
+    spans = batch.groupBy("scraped_date").agg(F.min(at).alias("low"), F.max(at).alias("high")).select("low", "high", "scraped_date")
+    few = collect_small(spans, MANY_DAYS)
+    fresh = batch
     if path_exists(spark, path):
-        present = spark.read.schema(batch.schema).parquet(path)
-        days = collect_small(batch.select("scraped_date").distinct(), 10_000)
-        if days is not None:
-            known = [r[0] for r in days.collect()]
-            same_day = F.col("scraped_date").isin([x for x in known if x is not None])
-            present = present.where(same_day | F.col("scraped_date").isNull() if None in known else same_day)
-        batch = batch.subtract(present.select(batch.columns))
+        present = _present(spark, path, batch, few)
+        fresh = batch if present is None else batch.subtract(present.select(batch.columns))
     # Few files for each day; a day with very many rows is still split over tasks.
-    batch.hint("rebalance", "scraped_date").write.mode("append").partitionBy("scraped_date").parquet(path)
-    return batch
+    (spans if few is None else few).repartition(1).write.mode("append").partitionBy("scraped_date").parquet(f"{path}/_ranges")
+    ordered = fresh.hint("rebalance", "scraped_date").sortWithinPartitions("scraped_date", "scraped_at")
+    ordered.write.mode("append").partitionBy("scraped_date").parquet(path)
+    write_text(spark, mark, "")
+    return fresh
+
+
+def _fingerprint(batch: DataFrame) -> str:
+    """The number of rows and two hashes of their content, in any order."""
+    every = [F.col(f"`{x}`") for x in batch.columns]
+    hashes = [F.xxhash64(F.lit(seed), *every, *[x.isNull() for x in every]) for seed in (1, 2)]
+    row = batch.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.bit_xor(h), F.lit(0)).alias(f"h{k}") for k, h in enumerate(hashes)]).first()
+    return f"{row.n}-{row.h0:x}-{row.h1:x}".replace("--", "-m")
+
+
+def _present(spark: SparkSession, path: str, batch: DataFrame, spans: DataFrame | None) -> DataFrame | None:
+    """Rows of the table that a batch must be compared with; None if it meets no earlier span."""
+    if spans is None:
+        return spark.read.schema(batch.schema).parquet(path)
+    own = {r.scraped_date: (r.low, r.high) for r in spans.collect()}
+    folder = {day: f"scraped_date={day or '__HIVE_DEFAULT_PARTITION__'}" for day in own}
+    known = [day for day in own if path_exists(spark, f"{path}/_ranges/{folder[day]}")]
+    if not known:
+        return None
+    reader = spark.read.schema(RANGES).option("basePath", f"{path}/_ranges")
+    earlier = reader.parquet(*[f"{path}/_ranges/{folder[day]}" for day in known])
+    mine = F.broadcast(spans.select(F.col("scraped_date").alias("_d"), F.col("low").alias("_l"), F.col("high").alias("_h")))
+    meets = F.col("scraped_date").eqNullSafe(F.col("_d")) & (F.col("_d").isNull() | ((F.col("low") <= F.col("_h")) & (F.col("high") >= F.col("_l"))))
+    days = [r[0] for r in earlier.join(mine, meets).select("scraped_date").distinct().collect()]
+    found = [f"{path}/{folder[day]}" for day in days if path_exists(spark, f"{path}/{folder[day]}")]
+    if not found:
+        return None
+    rows = spark.read.schema(batch.schema).option("basePath", path).parquet(*found)
+    bounds = [own[day] for day in days if day is not None]
+    if None in days or not bounds:
+        return rows
+    # The bounds reach the scan; files are sorted by time, so that row groups outside them are skipped.
+    return rows.where(F.col("scraped_at").between(F.lit(min(low for low, _ in bounds)), F.lit(max(high for _, high in bounds))))
 
 
 def write_jsonl(df: DataFrame, folder: str) -> None:

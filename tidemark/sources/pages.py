@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleaning as c
 from tidemark.functions import parsing as p
 from tidemark.schema import PRICE_COLUMNS
+from tidemark.session import stash
 
 RAW_FIELDS = (
     "site string, url string, kind string, href string, title string, price_text string, rating_text string, "
@@ -339,14 +340,15 @@ def merge_detail(raw: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def extract_products(pages: DataFrame, how: str = "inner") -> DataFrame:
-    """All five shops: complete items, and listings of the two-step shops merged with their details."""
-    if "site" not in pages.columns:
-        pages = pages.withColumn("site", site_of(F.col("url")))
-    two_step = [site for site, layout in LAYOUTS.items() if len(layout) == 2]
-    direct = _to_items(read_raw_fields(pages.where(~F.col("site").isin(two_step))))
+    """All five shops: complete items, and listings of the two-step shops merged with their details.
+
+    Pages are read once; their marked texts, far smaller than the pages, are written and then split by shop.
+    """
+    raw = stash(read_raw_fields(pages), "fields")
+    two_step = F.col("site").isin([site for site, layout in LAYOUTS.items() if len(layout) == 2])
     unsellable = (F.col("source") == "jumia.ma") & ((F.col("title") == "") | (F.col("price") == 0))
-    merged = merge_detail(read_raw_fields(pages.where(F.col("site").isin(two_step))), how)
-    return direct.where(~unsellable).unionByName(merged)
+    direct = _to_items(raw.where(~two_step)).where(~unsellable)
+    return direct.unionByName(merge_detail(raw.where(two_step), how))
 
 
 ARTICLE_FIELDS = "page_id long, url string, title string, heading string, links array<string>"

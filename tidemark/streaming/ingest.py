@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery, StreamingQueryListener
 
 from tidemark.functions import cleaning as c
-from tidemark.operators.small import collect_small
 from tidemark.operators.staging import STREAM_DEFAULTS, default_fields, reject_reason
 from tidemark.schema import PRICE_COLUMNS
-from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records, path_exists
+from tidemark.session import settings
+from tidemark.sources.files import CORRUPT, JSON_TIME, parse_records, path_exists, write_text
 
 log = logging.getLogger(__name__)
 
@@ -44,14 +47,13 @@ def prepare(texts: DataFrame) -> DataFrame:
     """Typed records with defaults, and ``reject_reason`` where a record is refused.
 
     Works on streams and on tables with a ``value`` column. A record without a time gets the time of
-    ingest; one that is no JSON is refused as corrupt. ``_day`` and the two hashes in RECORD_KEY are of the
-    record as it was sent, before any default.
+    ingest; one that is no JSON is refused as corrupt. The two hashes in RECORD_KEY are of the record as it was
+    sent, before any default.
     """
     parsed = parse_records(texts.select(F.col("value").cast("string").alias("value")))
     known = [F.col(x) for x in PRICE_COLUMNS]
     keyed = (
-        parsed.withColumn("_day", F.coalesce(F.date_format("scraped_at", "yyyy-MM-dd"), F.lit("none")))
-        .withColumn("_key", F.xxhash64(*known, *[x.isNull() for x in known]))
+        parsed.withColumn("_key", F.xxhash64(*known, *[x.isNull() for x in known]))
         .withColumn("_key2", F.xxhash64(F.lit("second"), *[x.isNull() for x in known], *known))
     )
     no_number = F.col("price").isNull() & F.get_json_object("value", "$.price").isNotNull()
@@ -64,29 +66,23 @@ def prepare(texts: DataFrame) -> DataFrame:
 
 
 def valid_records(prepared: DataFrame) -> DataFrame:
-    """Accepted records with the key and day of what was sent; replays are dropped when a batch is written."""
-    return prepared.where(F.col("reject_reason").isNull()).select(*PRICE_COLUMNS, "pipeline", "_day", *RECORD_KEY)
+    """Accepted records with the key of what was sent; replays are dropped when a batch is written."""
+    return prepared.where(F.col("reject_reason").isNull()).select(*PRICE_COLUMNS, "pipeline", *RECORD_KEY)
 
 
-def without_replays(batch: DataFrame, batch_id: int, ledger: str) -> DataFrame:
-    """Rows of the batch that no other batch has delivered, each once, however late they come.
-
-    The ledger holds the keys of all delivered records by day; only the days of the batch are read from it.
-    Keys of the batch itself do not count, so that a repeated batch gives the same rows again.
-    """
-    once = batch.dropDuplicates(["_day", *RECORD_KEY])
-    spark = batch.sparkSession
-    if not path_exists(spark, ledger):
-        return once
-    seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("batch") != batch_id)
-    days = collect_small(batch.select("_day").distinct(), 10_000)
-    if days is not None:
-        seen = seen.where(F.col("_day").isin([r[0] for r in days.collect()]))
-    return once.join(seen.drop("batch"), ["_day", *RECORD_KEY], "left_anti")
+def first_of_each(valid: DataFrame) -> DataFrame:
+    """Each record once, however late its replays come. On a stream the keys are state (see STATE)."""
+    return valid.dropDuplicates(RECORD_KEY)
 
 
-LEDGER = "_key long, _key2 long, batch long, _day string"
-COUNTERS = "received long, written long, replays long, batch long"
+#: The keys of all records live in RocksDB on the executors' disks, dealt over the shuffle partitions the stream began
+#: with; a batch looks up and adds its own keys, and its checkpoint is the change it made. Nothing of earlier batches is
+#: listed or read again, but by a task that takes over a partition from a lost executor.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+COUNTERS = "batch long, received long, written long"
 
 
 def rejected_records(prepared: DataFrame) -> DataFrame:
@@ -183,40 +179,111 @@ def start(df: DataFrame, sinks: list[Sink], checkpoint: str, available_now: bool
     return start_batches(df, fan_out(sinks, f"{checkpoint}/failed"), checkpoint, available_now)
 
 
-def start_batches(df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_batches(
+    df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True, name: str | None = None
+) -> StreamingQuery:
     writer = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+class CounterLog(StreamingQueryListener):
+    """Writes what was received and written in each finished batch of one query: a small file a batch, replaced if repeated."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str):
+        self.spark, self.folder, self.name = spark, folder, name
+        self.ended, self.query_id = threading.Event(), ""
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.query_id = str(event.id)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics if event.progress.name == self.name else {}
+        if "received" in seen:
+            counts = {"batch": event.progress.batchId, "received": seen["received"]["n"], "written": seen["written"]["n"]}
+            write_text(self.spark, f"{self.folder}/batch-{counts['batch']}.json", json.dumps(counts))
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.ended.set()
+
+
 def start_valid(valid: DataFrame, sinks: list[Sink], checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Deliver accepted records to the sinks, each record once, and keep counters of what was written.
+    """Deliver accepted records to the sinks, each record once, and keep counters of what was received and written.
 
-    A batch's keys enter the ledger after its sinks, and a batch that is run again ignores its own entries.
+    A batch that is run again starts from the state before it, so it gives the same rows. ``wait`` ends when the
+    counters of the last batch are written; those of a batch whose driver died right after it are missing.
+    """
+    spark, name = valid.sparkSession, f"ingest-{uuid.uuid4().hex}"
+    received = valid.observe("received", F.count(F.lit(1)).alias("n"))
+    once = first_of_each(received).observe("written", F.count(F.lit(1)).alias("n")).drop(*RECORD_KEY)
+    log = CounterLog(spark, f"{checkpoint}/counters", name)
+    spark.streams.addListener(log)
+    with settings(spark, STATE):
+        query = start_batches(once, fan_out(sinks, f"{checkpoint}/failed"), checkpoint, available_now, name)
+    query.counter_log = log
+    return query
+
+
+def wait(*queries: StreamingQuery, seconds: float = 60) -> None:
+    """Until the queries have ended, and the counters of those that keep some are written."""
+    for query in queries:
+        query.awaitTermination()
+        log_of = getattr(query, "counter_log", None)
+        if log_of is not None:
+            log_of.ended.wait(seconds)
+            log_of.spark.streams.removeListener(log_of)
+
+
+def start_limited(df: DataFrame, sink: Sink, checkpoint: str, limit: int) -> StreamingQuery:
+    """Deliver the first ``limit`` records of a stream in all, over any number of batches and restarts; then it stops.
+
+    The limit belongs to the checkpoint: what its batches held beyond it is not delivered later.
+    How many a batch has delivered is a small file of it below the checkpoint. A batch that is run again counts what the
+    batches before it delivered, so it delivers as many as the first time, and its folder is replaced.
     """
-    deliver = fan_out(sinks, f"{checkpoint}/failed")
+    spark, folder, reached = df.sparkSession, f"{checkpoint}/taken", threading.Event()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark, kept = batch.sparkSession, batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fresh = without_replays(kept, batch_id, f"{checkpoint}/ledger").persist(StorageLevel.MEMORY_AND_DISK)
-            received, written = kept.count(), fresh.count()
-            deliver(fresh.drop("_day", *RECORD_KEY), batch_id)
-            ledger = fresh.select("_day", *RECORD_KEY).hint("rebalance", "_day")
-            ledger.write.mode("overwrite").partitionBy("_day").parquet(f"{checkpoint}/ledger/batch={batch_id}")
-            counts = spark.createDataFrame([(received, written, received - written)], "received long, written long, replays long")
-            counts.write.mode("overwrite").parquet(f"{checkpoint}/counters/batch={batch_id}")
-            fresh.unpersist()
-        finally:
-            kept.unpersist()
-
-    return start_batches(valid, run, checkpoint, available_now)
+        before = 0
+        if path_exists(spark, folder):
+            earlier = spark.read.schema("batch long, n long").json(folder).where(F.col("batch") < batch_id)
+            before = earlier.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        n = 0
+        if before < limit:
+            part = batch.limit(limit - before).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                n = part.count()
+                sink.write(part, batch_id)
+            finally:
+                part.unpersist()
+        write_text(spark, f"{folder}/batch-{batch_id}.json", json.dumps({"batch": batch_id, "n": n}))
+        if before + n >= limit:
+            reached.set()
+
+    query = start_batches(df, run, checkpoint)
+
+    def stop() -> None:
+        # Later batches deliver nothing; stopping spares reading them.
+        while query.isActive and not reached.wait(0.2):
+            pass
+        if query.isActive:
+            query.stop()
+
+    threading.Thread(target=stop, daemon=True).start()
+    return query
 
 
 def read_counters(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Totals of all batches of ``start_valid``: received = written + replays."""
     folder = f"{checkpoint}/counters"
-    rows = spark.read.schema(COUNTERS).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], COUNTERS)
-    return rows.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("received", "written", "replays")])
+    rows = spark.read.schema(COUNTERS).json(folder) if path_exists(spark, folder) else spark.createDataFrame([], COUNTERS)
+    counted = rows.withColumn("replays", F.col("received") - F.col("written"))
+    return counted.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("received", "written", "replays")])
 
 
 def ingest_stream(texts: DataFrame, sinks: list[Sink], rejects: Sink, checkpoint: str) -> list[StreamingQuery]:
