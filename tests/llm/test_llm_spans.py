@@ -139,8 +139,10 @@ def plain_votes(text, kind, m0, m1):
     elif kind in ("phone", "phone_like"):
         check = 8 <= n <= 15
     elif kind == "number_like":
-        turned = "".join(str(int(c, 36)) for c in bare[4:] + bare[:4])
-        check = not re.search(r"^(000|666|9)|-00-|-0000\Z", match) if match[0].isdigit() else int(turned) % 97 == 1
+        if match[0].isdigit():
+            check = not re.search(r"^(000|666|9)|-00-|-0000\Z", match)
+        else:
+            check = int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
     elif kind == "ip":
         check = all(int(x) <= 255 for x in match.split("."))
     elif kind == "card":
@@ -278,7 +280,7 @@ def test_verdicts_do_not_depend_on_the_table(spark, make_docs, size):
     found = {ODD_SPANS[r.doc_id]: [s.kind for s in r.spans if s.kind.endswith("_like")] for r in rows}
     refused = [ODD_SPANS[i] for i in (0, 1, 2, 3, 11, 12, 16, 17)]
     assert [t for t in refused if found[t]] == []
-    assert [t for t in (ODD_SPANS[4], ODD_SPANS[9]) if len(found[t]) != 1] == []
+    assert found[ODD_SPANS[4]] == ["email_like"] and "number_like" in found[ODD_SPANS[9]]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 15, 16, 17, 300, 1000])

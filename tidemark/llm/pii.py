@@ -36,7 +36,7 @@ EMAIL_LIKE = (
     r"(?:(?:\x20?[\[(](?:dot|DOT)[\])]\x20?|\x20(?:dot|DOT)\x20|\.)[A-Za-z0-9-]++)++"
 )
 PHONE_LIKE = r"(?<![0-9+.-])(?:\([0-9]{2,5}\)\x20?|0[0-9]{1,4}[\x20/-])[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9])"
-NUMBER_LIKE = r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7})(?![0-9A-Za-z])"
+NUMBER_LIKE = r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 
 # For contrast: numbers in any form, and pairs of words around "at" (a written-out address without its end).
 PLAIN_NUMBER = r"(?<![0-9A-Za-z.+-])[0-9]++(?:[.:/,-][0-9]++)*+(?![0-9A-Za-z])"
@@ -66,7 +66,7 @@ SHAPE_LIMIT = 1.0
 #: Forms that nothing but their kind is written in.
 STRICT = (
     rf"^[{LOCAL}]++@|[\[(](?:at|AT)[\])]|^[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}$|^[0-9]{{4}}(?:[\x20-]?[0-9]{{4}}){{3}}[0-9]{{0,3}}$"
-    r"|^\+[0-9(]|^\([0-9]+\)|^0[0-9]+/|^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^[A-Z]{2}[0-9]{2}(?:\x20?[0-9]{4}){3,}"
+    r"|^\+[0-9(]|^\([0-9]+\)|^0[0-9]+/|^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$|^[A-Z]{2}[0-9]{2}(?:\x20?[0-9]{4}){3,}"
 )
 GAZETTEER = rf"(?i)[.\x20)\]](?:{TOP_DOMAINS})$|^(?:{IBAN_COUNTRIES})[0-9]|^(?:4|5[1-5]|3[47]|6011)[0-9]{{3}}[\x20-]?[0-9]{{4}}|^\+(?:1|33|34|44|49)\b"
 #: The end of a written-out or plain address: small or capital letters throughout, as a sentence does not begin.
