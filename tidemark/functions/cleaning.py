@@ -14,8 +14,6 @@ MAX_MILLIS = 9223372036854775807
 # The characters that count as white space.
 #: White space of any script, as a regular expression's class body.
 SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: The same as a text of single characters.
-BLANKS = "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$|^[+-]?(?i:inf(?:inity)?)$"
 
 

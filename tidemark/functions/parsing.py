@@ -2,56 +2,66 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import BLANKS, SPACES, _col, lookup, strip
+from tidemark.functions.cleaning import SPACES, _col, lookup, strip
 from tidemark.schema import STARS_BY_WORD
 
 
-#: Letters of DH, MAD and their like, and blanks of every kind: not part of a local price.
-LOCAL_NOISE = "DdHhMmAa" + BLANKS
-#: What a price with a currency sign may carry beside its digits; rarer signs are found by a pattern.
-SYMBOL_NOISE = "$, \u00a3\u20ac\u00a0"
+# A number that is a word.
+INFINITE = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+#: White space of any script, with the flag U.
+BLANK = r"\s\x1c-\x1f"
+
+
+def _number(source: Column, text: Column, noise: str) -> Column:
+    """``text``, what is left of ``source`` without noise, as a number, else 0.
+
+    Only what is written as a number is cast, which the source shows already: a cast that fails costs an exception, many
+    times the price of the pattern. A letter like the suffix in '2f' is no part of a number.
+    """
+    other = source.rlike(f"(?U)[^{noise}0-9.,+eE-]")
+    word = F.trim(source)
+    number = F.when(~other, text.try_cast("double")).when(F.lower(word).isin(INFINITE), word.try_cast("double"))
+    return F.coalesce(number, F.lit(0.0))
+
+
+LOCAL_NOISE = f"DdHhMmAa{BLANK}"
 
 
 def parse_price_fr(c: Column | str) -> Column:
     """'4 299,00 DH' -> 4299.0. The rightmost of , and . is the decimal mark; a lone comma
     before exactly three digits groups thousands; text that is no number gives 0.
 
-    Marks are looked for in the text as it is, and each way of writing is one character translation.
+    Marks are looked for in the text as it is; what is left without noise is computed anew in the few places that name
+    it, inside the generated code, which costs less than a lambda that computes it once.
     """
-    text = _col(c)
-    comma, dot = F.contains(text, F.lit(",")), F.contains(text, F.lit("."))
-    dot_last = F.contains(F.substring_index(text, ",", -1), F.lit("."))
-    lone_group = F.translate(text, LOCAL_NOISE, "").rlike(r"^\d+,[^,]{3}$")
-    ways = [
-        (~comma, LOCAL_NOISE, ""),
-        (dot & ~dot_last, ",." + LOCAL_NOISE, "."),
-        (dot | lone_group, "," + LOCAL_NOISE, ""),
-        (F.lit(True), "," + LOCAL_NOISE, "."),
-    ]
-    # A trailing d is noise already.
-    number = reduce(lambda out, w: out.when(w[0], _plain_number(F.translate(text, w[1], w[2]), text, "fF")), ways, F)
-    return F.coalesce(number, F.lit(0.0))
+    text = F.regexp_replace(_col(c), f"(?U)[{LOCAL_NOISE}]+", "")
+    comma, dot = F.contains(_col(c), F.lit(",")), F.contains(_col(c), F.lit("."))
+    dot_last = F.contains(F.substring_index(_col(c), ",", -1), F.lit("."))
+    plain = (
+        F.when(~comma, text)
+        .when(dot & ~dot_last, _replace(_replace(text, ".", ""), ",", "."))
+        .when(dot | text.rlike(r"^\d+,[^,]{3}$"), _replace(text, ",", ""))
+        .otherwise(_replace(text, ",", "."))
+    )
+    return _number(_col(c), plain, LOCAL_NOISE)
+
+
+def _replace(text: Column, old: str, new: str) -> Column:
+    return F.replace(text, F.lit(old), F.lit(new))
 
 
 def parse_price_symbol(c: Column | str) -> Column:
     """'£51.77' -> 51.77; non-ASCII marks, $ , and spaces are dropped, other text gives 0."""
-    text = _col(c)
-    plain = F.translate(text, SYMBOL_NOISE, "")
-    every = F.regexp_replace(text, r"[^\x00-\x7F]+|[$, ]+", "")
-    number = F.when(F.octet_length(plain) == F.length(plain), _plain_number(plain, text)).otherwise(_plain_number(every, text))
-    return F.coalesce(number, F.lit(0.0))
+    text = F.regexp_replace(_col(c), r"[$, \x{80}-\x{10FFFF}]+", "")
+    return _number(_col(c), text, r"$ \x{80}-\x{10FFFF}")
 
 
-def _plain_number(text: Column, source: Column, suffixes: str = "dDfF") -> Column:
-    """Cast that does not accept the type suffixes ('1d', '2f') the JVM would; few sources have such a letter."""
-    suffix = F.right(text, F.lit(1)).isin(*suffixes)
-    lettered = reduce(lambda a, b: a | b, [F.contains(source, F.lit(x)) for x in suffixes])
-    return F.when(lettered & suffix, F.lit(None)).otherwise(text.try_cast("double"))
+def _plain_number(text: Column) -> Column:
+    """Cast that does not accept the type suffixes ('1d', '2f') the JVM would."""
+    return F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f"), text.try_cast("double"))
 
 
 def parse_star_width(c: Column | str) -> Column:
@@ -67,7 +77,7 @@ def rating_from_word(c: Column | str) -> Column:
 
 def rating_from_label(c: Column | str) -> Column:
     """'3.00 out of 5' -> 3.0."""
-    return _plain_number(F.split_part(strip(c), F.lit(" "), F.lit(1)), _col(c))
+    return _plain_number(F.split_part(strip(c), F.lit(" "), F.lit(1)))
 
 
 def stock_from_text(c: Column | str) -> Column:

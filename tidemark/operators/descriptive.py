@@ -158,7 +158,10 @@ def daily_volume(df: DataFrame) -> DataFrame:
 
 
 def observed_changes(df: DataFrame, tie_break: list[str] | None = None, limit_pct: float = 200.0) -> DataFrame:
-    """Unrounded change against the previous observation; jumps of ``limit_pct`` and more are errors."""
+    """Unrounded change against the previous observation; jumps of ``limit_pct`` and more are errors.
+
+    Rows are walked in order, with all their columns: give those that are wanted.
+    """
     changed = lag_price(df, ["scraped_at", *(tie_break or [])])
     pct = c.price_change_pct("price", "prev_price", None)
     return changed.withColumn("pct_change", pct).where(F.abs("pct_change") < limit_pct)

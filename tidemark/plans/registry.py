@@ -194,6 +194,11 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
     return h.price_changes(deduped(spark, sf))
 
 
+def narrow(rows: DataFrame) -> DataFrame:
+    """What changes over time are made from."""
+    return rows.select("product_id", "source", "category", "price", "scraped_at", "event_id")
+
+
 def last_day(spark: SparkSession, sf: str) -> Column:
     """Latest day in the data, the fixed 'today' of the alert window."""
     ts = tables.read_table(spark, sf, "events").agg(F.max("ts").cast("date").alias("d"))
@@ -773,7 +778,7 @@ OBSERVED = STG + """, obs AS (SELECT *, (price - prev_price) / prev_price * 100
     SELECT *, lag(price) OVER (PARTITION BY product_id ORDER BY scraped_at, event_id) AS prev_price FROM pos)),
   ok AS (SELECT * FROM obs WHERE abs(pct_change) < 200)"""
 register("observed_changes", f"WITH {OBSERVED} SELECT event_id, price, prev_price, {rnd('pct_change', 6)} AS pct_change FROM ok")(
-    lambda s, f: d.observed_changes(positive(s, f), tables.EVENT_TIE).select(
+    lambda s, f: d.observed_changes(narrow(positive(s, f)), tables.EVENT_TIE).select(
         "event_id", "price", "prev_price", F.round("pct_change", 6).alias("pct_change")
     )
 )
@@ -784,7 +789,7 @@ register("lag_price_in_spans", f"WITH {OBSERVED} SELECT event_id, prev_price FRO
 register("change_volatility", f"""WITH {OBSERVED} SELECT source, {rnd('avg(pct_change)', 3)} AS mean_chg,
   {rnd('stddev_samp(pct_change)', 3)} AS std_chg, {rnd('avg(CASE WHEN pct_change < -5 THEN 1.0 ELSE 0.0 END) * 100', 1)} AS pct_drops,
   {rnd('avg(CASE WHEN pct_change > 5 THEN 1.0 ELSE 0.0 END) * 100', 1)} AS pct_spikes FROM ok GROUP BY source""")(
-    lambda s, f: d.change_volatility(d.observed_changes(positive(s, f), tables.EVENT_TIE))
+    lambda s, f: d.change_volatility(d.observed_changes(narrow(positive(s, f)), tables.EVENT_TIE))
 )
 
 
@@ -830,7 +835,7 @@ register("log_histogram", f"WITH {STG}, x AS (SELECT * FROM pos) " + hist_sql("l
 )
 register("change_histogram", f"WITH {OBSERVED}, x AS (SELECT * FROM ok) "
          + hist_sql("pct_change", 80, "any_value(-50.0::DOUBLE)", "any_value(50.0::DOUBLE)", "pct_change BETWEEN -50 AND 50"))(
-    lambda s, f: hist(d.histogram(d.observed_changes(positive(s, f), tables.EVENT_TIE), "pct_change", 80, span=(-50, 50)))
+    lambda s, f: hist(d.histogram(d.observed_changes(narrow(positive(s, f)), tables.EVENT_TIE), "pct_change", 80, span=(-50, 50)))
 )
 register("box_stats", f"""WITH {STG}, {fence_ctes()} SELECT source, any_value(q1) AS q25, any_value(q2) AS median, any_value(q3) AS q75,
   min(price) FILTER (WHERE price BETWEEN lower AND upper) AS whisker_low,

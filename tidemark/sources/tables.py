@@ -124,7 +124,9 @@ def json_texts(events: DataFrame) -> DataFrame:
 def json_files(spark: SparkSession, sf_dir: str, folder: str, batches: int = 4) -> None:
     """The same records as text files, dealt one after another, so that a stream of files gets all times in any
     order and copies in another batch than the record."""
-    json_texts(read_table(spark, sf_dir, "events")).repartition(batches).write.text(folder)
+    # Dealt before the texts are built: the given table is one split.
+    events = read_table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism)
+    json_texts(events).repartition(batches).write.text(folder)
 
 
 def written_prices(lines: DataFrame) -> DataFrame:
