@@ -87,6 +87,15 @@ def test_random_runs_are_found_and_words_are_not(make_docs):
     assert all(found[i] == [] for i in range(200, 350))
 
 
+def test_rules_and_enumerations_are_no_secrets(spark, make_docs):
+    """Whatever the models have learned."""
+    always = secrets.Models(tuple([9.0] * secrets.LETTERS**2), True)
+    runs = ["-" * 30, "=" * 40, "." * 25, "_" * 30, "a-b-c-d-e-f-g-h-i-j-k-l-m", "1.2.3.4.5.6.7.8.9.10.11", "ABABABABABABABABABABABAB12"]
+    key = "q7Zk-9fTbW2mXr8LpVd4cN"
+    found = secrets.find_secrets(make_docs([(i, f"x {r} y") for i, r in enumerate([*runs, key])]), always).collect()
+    assert {r.doc_id: [s.match for s in r.spans] for r in found} == {**{i: [] for i in range(len(runs))}, len(runs): [key]}
+
+
 def test_models_alone():
     model = secrets.models({(True, 65, 66): 50, (True, 66, 57): 40, (False, 97, 98): 80})
     ratio = lambda a, b: model.ratio[(ord(a) - 32) * 96 + ord(b) - 32]

@@ -57,7 +57,8 @@ def mix(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS,
 
     ``copies`` is floor(rate) plus one if a hash of seed and doc_id, as a number in [0, 1), is below the rest of
     the rate; rate is the source's target by its size. A null text has size 0, a null source is a source that
-    comes last, rows of one doc_id get the same hash, and a source without words has rate 0. An empty table
+    comes last, rows of one doc_id get the same hash, rows without one that of their text, and a source without words has
+    rate 0. An empty table
     gives no rows. Other columns pass through; columns named like the new ones are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies")
@@ -66,7 +67,8 @@ def mix(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS,
     name = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     known = targets.select(name.alias("_source"), "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    more = (unit_hash(seed, F.col("doc_id")) < F.col("_rate") - F.floor("_rate")).cast("long")
+    drawn_by = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
+    more = (unit_hash(seed, drawn_by) < F.col("_rate") - F.floor("_rate")).cast("long")
     return (
         sized.withColumn("_source", name)
         .join(known, "_source", "left")

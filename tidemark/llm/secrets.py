@@ -29,6 +29,9 @@ LEAST_RUN = 20
 RUN = f"(?<![{RUN_CLASS}])[{RUN_CLASS}]{{{LEAST_RUN},}}"
 #: Nats for each character by which random must be likelier than ordinary.
 THRESHOLD = 0.5
+#: What a random string of that length has at least: kinds of characters (small, capital, digit) and different characters.
+LEAST_KINDS = 2
+LEAST_DIFFERENT = 10
 LETTERS = 96  # ASCII 32 to 127
 SMOOTHING = 0.01
 
@@ -96,11 +99,17 @@ def mean_ratio(run: Column, model: Models) -> Column:
     return let(F.transform(F.split(run, ""), lambda c: F.ascii(c) - 32), total)
 
 
+def varied(run: Column) -> Column:
+    """False for rules of dashes or dots, enumerations of letters and other runs that no generator makes, whatever the models say."""
+    kinds = sum((run.rlike(f"[{x}]").cast("int") for x in ("a-z", "A-Z", "0-9")), F.lit(0))
+    return (kinds >= LEAST_KINDS) & (F.size(F.array_distinct(F.split(run, ""))) >= LEAST_DIFFERENT)
+
+
 def find_secrets(docs: DataFrame, model: Models | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (kind, rank, start, end, match, value) by start, then kind.
 
     Places are code points of the original text, ends exclusive. ``spans`` has the base spans and the runs of
-    kind ``random``, which overlap none of them. A null or empty text has no span; repeated rows are judged
+    kind ``random``, varied enough and likelier random than ordinary, which overlap none of them. A null or empty text has no span; repeated rows are judged
     each; if no random or no ordinary sample is found, only the base patterns speak. Other columns pass through.
     """
     ready(docs.sparkSession)
@@ -113,7 +122,7 @@ def find_secrets(docs: DataFrame, model: Models | None = None, threshold: float
         if not model.known:
             return base
         extra = F.filter(runs, lambda x: ~overlaps(x, base))
-        return F.concat(base, F.filter(extra, lambda x: mean_ratio(x["value"], model) >= threshold))
+        return F.concat(base, F.filter(extra, lambda x: varied(x["value"]) & (mean_ratio(x["value"], model) >= threshold)))
 
     both = let(base_spans(text), lambda base: F.struct(by_start(base).alias("base"), by_start(judged(base)).alias("spans")))
     return docs.drop("base", "spans").withColumn("_found", both).select(

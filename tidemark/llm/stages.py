@@ -22,12 +22,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that hangs together by near-duplicate links."""
+    """The row with the smallest doc_id of each group that hangs together by near-duplicate links; one without doc_id comes last.
+
+    Every row is a document of its own under a key that is given here, so that texts under one doc_id, or under none, are
+    told apart: another text of a doc_id stays, and of equal rows one stays.
+    """
     ready(spark)
-    groups = jaccard_join.near_duplicates(docs)
-    others = written(groups.filter("doc_id <> class_id").select("doc_id"), "near-duplicates")
-    # The same plan at every size: the list of those that go is never broadcast.
-    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    keyed = written(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+    groups = jaccard_join.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    met = written(groups.filter("links > 0").select(F.col("doc_id").alias("_key"), "class_id"), "near-duplicates")
+    # The same plan at every size: rows of groups are never broadcast.
+    named = keyed.select("_key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("_place")).join(met.hint("merge"), "_key")
+    stays = named.groupBy("class_id").agg(F.min("_place").alias("_first"))
+    others = met.join(stays.select(F.col("_first._key").alias("_key")).hint("merge"), "_key", "left_anti")
+    return keyed.join(written(others, "near-duplicates").hint("merge"), "_key", "left_anti").select(docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +44,29 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return decontamination.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
+MIXED = ("size", "source_size", "target", "copies", "copy")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's rate says, with the columns it had."""
+    """Each document as often as its source's rate says, with the columns it had, those named like the mix's own included.
+
+    Rows without a doc_id draw by their text.
+    """
     ready(spark)
-    return mixing.emit_copies(mixing.mix(docs)).select(docs.columns)
+    own = {c: f"_given_{c}" for c in docs.columns if c in MIXED}
+    mixed = mixing.emit_copies(mixing.mix(docs.withColumnsRenamed(own)))
+    return mixed.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all rows in ascending doc_id order; returns what is read back from them (copies one after another)."""
+    """Token files of all rows in ascending doc_id order; returns what is read back from them (copies one after another).
+
+    Rows without a doc_id lie in files of their own behind the others, and come back without one.
+    """
     ready(spark)
     manifest = token_codes.write_token_files(docs, token_codes.token_folder(spark))
-    return token_codes.read_digests(manifest)
+    nameless = docs.filter("doc_id IS NULL").withColumn("doc_id", F.monotonically_increasing_id())
+    behind = token_codes.write_token_files(nameless, token_codes.token_folder(spark))
+    before = manifest.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first().n
+    rest = token_codes.read_digests(behind).withColumn("doc_id", F.lit(None).cast("long")).withColumn("start", F.col("start") + before)
+    return token_codes.read_digests(manifest).unionByName(rest)
