@@ -37,7 +37,7 @@ FAN = 128
 
 
 def signatures(text: Column) -> Column:
-    """The sorted set of 64-bit hashes of the text's chains.
+    """The sorted set of 32-bit hashes of the text's chains.
 
     Words are runs of letters and digits of the lower-cased text. A chain is an anchor and the next content words,
     two at most (one after the beginning of a line); one that finds none within reach is left out. Null, empty and
@@ -54,16 +54,26 @@ def signatures(text: Column) -> Column:
             following = F.filter(F.slice(words, i + 2, F.lit(REACH)), lambda x: ~anchor(x))
             content = F.slice(following, F.lit(1), F.when(w == LINE, 1).otherwise(CHAIN))
             spot = anchor(w) | (F.crc32(w) % SPREAD == 0)
-            return F.when(spot, F.when(F.size(content) > 0, F.xxhash64(w, F.array_join(content, " "))))
+            return F.when(spot, F.when(F.size(content) > 0, _short(F.xxhash64(w, F.array_join(content, " ")))))
 
         return F.array_sort(F.array_distinct(F.filter(F.transform(words, chain), lambda h: h.isNotNull())))
 
     return let(tokens, spots)
 
 
+def _short(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 32)
+
+
+def signatures_or_whole(text: Column) -> Column:
+    """The same; a text without any chain has one signature, of all it contains. Null is empty."""
+    whole = F.array(_short(F.xxhash64(F.lit("whole text"), F.coalesce(text, F.lit("")))))
+    return let(signatures(text), lambda signs: F.when(F.size(signs) > 0, signs).otherwise(whole))
+
+
 def fingerprint(signs: Column) -> Column:
-    """The set as text: eight hexadecimal digits for each signature, in the order of the hashes."""
-    return F.array_join(F.transform(signs, lambda h: F.lpad(F.lower(F.hex(F.shiftrightunsigned(h, 32))), 8, "0")), "")
+    """The set as text, whole: eight hexadecimal digits for each signature, in the order of the hashes."""
+    return F.array_join(F.transform(signs, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
 
 
 def jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
@@ -166,7 +176,8 @@ def compare_with_edited(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Data
     """Per document: doc_id, n_chars, its edited text, the signatures of both and how alike it is to the edited and the next text.
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many, or all, of the next
-    document in ascending doc_id; after the last comes the first. A null text is empty; repeated rows are kept.
+    document in ascending doc_id; after the last comes the first. A null text is empty; repeated rows are kept. Texts
+    without a chain are alike only if they are equal. Likeness is that of the fingerprints, which hold the signatures whole.
     """
     ready(docs.sparkSession)
     rows, following = beside_next(docs, bucket_rows)
@@ -174,7 +185,7 @@ def compare_with_edited(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Data
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     kept = F.substr("text", F.lit(1), F.col("n_chars").cast("int") - cut)
     joined = edited.withColumn("edited", F.concat(kept, F.when(cut > 0, F.substr("_next", F.lit(1), cut)).otherwise("")))
-    signed = joined.withColumn("signs", signatures(F.col("text"))).withColumn("edited_signs", signatures(F.col("edited")))
+    signed = joined.withColumn("signs", signatures_or_whole(F.col("text"))).withColumn("edited_signs", signatures_or_whole(F.col("edited")))
     after = signed.withColumn("_next_signs", F.lead("signs").over(following)).filter("_guest = 0")
     return after.select(
         "doc_id",

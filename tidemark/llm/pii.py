@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ EMAIL_LIKE = (
 PHONE_LIKE = r"(?<![0-9+.-])(?:\([0-9]{2,5}\)\x20?|0[0-9]{1,4}[\x20/-])[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9])"
 NUMBER_LIKE = r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 
+#: One of these is in every written-out address, the first two in every pair of words around "at".
+WRITTEN_AT = (" at ", " AT ", "[at]", "(at)", "[AT]", "(AT)", "[at)", "(at]", "[AT)", "(AT]")
 # For contrast: numbers in any form, and pairs of words around "at" (a written-out address without its end).
 PLAIN_NUMBER = r"(?<![0-9A-Za-z.+-])[0-9]++(?:[.:/,-][0-9]++)*+(?![0-9A-Za-z])"
 AT_WORDS = r"(?<![A-Za-z])[A-Za-z]++\x20(?:at|AT)\x20[A-Za-z]++"
@@ -111,10 +114,23 @@ def ip_ok(span: Column) -> Column:
 RULES = {"email": lambda span: F.lit(True), "ip": ip_ok, "card": card_ok, "phone": phone_ok}
 
 
+def spans_if(present: Column, text: Column, pattern: str, kind: str, rank: int) -> Column:
+    """Matches of a pattern, looked for only where a text holds what every match holds."""
+    return F.when(present, match_spans(text, pattern, kind, rank)).otherwise(F.array().cast(SPAN))
+
+
+def holds(text: Column, *parts: str) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in parts])
+
+
 def base_matches(text: Column) -> Column:
     """All matches of the base patterns, whether or not their rules accept them."""
-    cards = F.when(text.rlike(CARD_PRESENT), match_spans(text, CARD, "card", 2)).otherwise(F.array().cast(SPAN))
-    return F.concat(match_spans(text, EMAIL, "email", 0), match_spans(text, IP, "ip", 1), cards, match_spans(text, PHONE, "phone", 3))
+    return F.concat(
+        spans_if(holds(text, "@"), text, EMAIL, "email", 0),
+        match_spans(text, IP, "ip", 1),
+        spans_if(text.rlike(CARD_PRESENT), text, CARD, "card", 2),
+        spans_if(holds(text, "+"), text, PHONE, "phone", 3),
+    )
 
 
 def rule(span: Column) -> Column:
@@ -127,7 +143,7 @@ def rule(span: Column) -> Column:
 
 def loose_spans(text: Column) -> Column:
     return F.concat(
-        match_spans(text, EMAIL_LIKE, "email_like", 4),
+        spans_if(holds(text, *WRITTEN_AT), text, EMAIL_LIKE, "email_like", 4),
         match_spans(text, PHONE_LIKE, "phone_like", 5),
         match_spans(text, NUMBER_LIKE, "number_like", 6),
     )
@@ -135,7 +151,7 @@ def loose_spans(text: Column) -> Column:
 
 def contrast_spans(text: Column) -> Column:
     """What is hardly ever personal, of digits and of letters: numbers of any form, and words around "at"."""
-    return F.concat(match_spans(text, PLAIN_NUMBER, "plain", 7), match_spans(text, AT_WORDS, "plain", 8))
+    return F.concat(match_spans(text, PLAIN_NUMBER, "plain", 7), spans_if(holds(text, *WRITTEN_AT[:2]), text, AT_WORDS, "plain", 8))
 
 
 # ------------------------------------------------------------------ labelers and cells
