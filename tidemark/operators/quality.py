@@ -279,26 +279,3 @@ def mart_failures(staged: DataFrame, marts: dict[str, DataFrame], as_of=None) ->
     for name, own in rules.items():
         out = out.unionByName(relation_failures(staged if name == "staged" else marts[name], own))
     return out
-
-
-def mart_expectations(staged: DataFrame, marts: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """The declared tests of the staging relation and of the marts."""
-    from tidemark.schema import KNOWN_CURRENCIES, KNOWN_HOSTS
-
-    required = ["product_id", "source", "url", "title", "price", "currency", "scraped_at", "scraped_date"]
-    return {
-        **{f"staged {x} not null": expect_not_null(staged, [x]) for x in required},
-        "staged source accepted": expect_in(staged, "source", KNOWN_HOSTS),
-        "staged currency accepted": expect_in(staged, "currency", KNOWN_CURRENCIES),
-        "staged price non negative": expect_non_negative(staged, "price"),
-        "staged not in future": expect_not_future(staged, as_of=as_of),
-        "current product_id unique": expect_unique(marts["current_prices"], "product_id"),
-        "current not null": expect_not_null(marts["current_prices"], ["product_id", "price", "scraped_at"]),
-        "current price non negative": expect_non_negative(marts["current_prices"], "price"),
-        "history not null": expect_not_null(marts["price_history"], ["product_id", "price", "scraped_date"]),
-        "history price non negative": expect_non_negative(marts["price_history"], "price"),
-        "history change bounded": expect_change_bounded(marts["price_history"]),
-        "stats not null": expect_not_null(marts["price_stats"], ["source", "currency", "product_count", "avg_price"]),
-        "stats average non negative": expect_non_negative(marts["price_stats"], "avg_price"),
-        "alerts not null": expect_not_null(marts["price_alerts"], ["product_id", "price_change_pct"]),
-    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as c
@@ -97,6 +97,11 @@ def pctl(x: str, share: float, cond: str = "") -> str:
     )
 
 
+def disc(x: str, share: float) -> str:
+    """The value at the rank that is rounded up."""
+    return rnd(f"(list({x} ORDER BY {x}))[CAST(ceil({share} * count(*)) AS BIGINT)]", 2)
+
+
 PCT = "CASE WHEN prev_price IS NULL OR prev_price = 0 THEN NULL ELSE " + rnd("(price - prev_price) / prev_price * 100", 2) + " END"
 
 CHG = DED + f""", chg AS (
@@ -237,7 +242,11 @@ register("current_prices_by_join", f"WITH {CUR} SELECT {CUR_COLS} FROM cur")(
     lambda s, f: m.current_prices_by_join(deduped(s, f))
 )
 register("price_stats", f"WITH {DED} {STATS_SELECT}")(lambda s, f: m.price_stats(deduped(s, f)))
-register("price_stats_approx")(lambda s, f: m.price_stats(deduped(s, f), approx=True))
+# Approximate quartiles are values of the group; up to 10,000 rows in a group they are the exact ones of that kind.
+register(
+    "price_stats_approx",
+    f"""WITH {DED} """ + STATS_SELECT.replace(rnd(pctl('price', 0.25), 2), disc('price', 0.25)).replace(rnd(pctl('price', 0.5), 2), disc('price', 0.5)).replace(rnd(pctl('price', 0.75), 2), disc('price', 0.75)),
+)(lambda s, f: m.price_stats(deduped(s, f), approx=True))
 register("lineitem_price_stats", f"WITH {LINE_DED} {STATS_SELECT}")(lambda s, f: m.price_stats(lines_deduped(s, f)))
 register(
     "lineitem_price_alerts",
@@ -535,6 +544,23 @@ WIDE = STG + """, wide AS (SELECT product_id || '#' || lpad(CAST(922337203685477
 BUCKETS = 8
 
 
+@register("wide_table_ddl", f"WITH {WIDE} SELECT 0::BIGINT AS created_with, count(DISTINCT row_key) AS rows, false AS there_after FROM wide")
+def wide_table_ddl(spark: SparkSession, sf: str) -> DataFrame:
+    """The table is made once however often it is asked for, holds what is written to its folder, and goes."""
+    path = fresh_dir(spark, "ddl")
+    name = f"wide_{path.rsplit('-', 1)[-1]}"
+    widerow.create_table(spark, name, path)
+    widerow.create_table(spark, name, path)
+    before = spark.table(name).count()
+    widerow.upsert_wide_row(staged(spark, sf), path, buckets=BUCKETS)
+    spark.catalog.recoverPartitions(name)
+    rows = spark.table(name).select("row_key").distinct().count()
+    widerow.drop_table(spark, name)
+    widerow.drop_table(spark, name)
+    row = (before, rows, spark.catalog.tableExists(name))
+    return spark.createDataFrame([row], "created_with long, rows long, there_after boolean")
+
+
 def wide_table(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice: the second version of each key must win."""
     path = fresh_dir(spark, "wide")
@@ -607,14 +633,15 @@ register("pages_shop_detail", item_sql(
     url="'https://scrapeme.live/shop/' || p_partkey || '/'", title="p_name", price=rnd("p_retailprice", 2), currency="'GBP'",
     rating="p_size / 10", availability="CASE WHEN p_partkey % 2 = 0 THEN 'In Stock' ELSE 'Out of Stock' END", category="p_type",
     image_url="'https://scrapeme.live/f/' || p_partkey || '.png'", scraped_at=FETCHED))(page_query(tables.shop_detail_pages))
-# Every given page is read in the one-step listing layout: they are articles, so no product is found.
-register("pages_without_products", "SELECT url, html AS title FROM pages WHERE false")(
-    lambda s, f: pages.extract_products(
-        tables.read_table(s, f, "pages").select(
-            "url", "html", F.lit(tables.FETCHED).cast("timestamp").alias("fetched_at"), F.lit("jumia.ma").alias("site")
-        )
-    ).select("url", "title")
-)
+@register("pages_without_products", "SELECT count(*) AS pages, 0::BIGINT AS products FROM pages")
+def pages_without_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Every given page is read in the one-step listing layout: they are articles, so no product is found."""
+    given = tables.read_table(spark, sf, "pages")
+    found = pages.extract_products(
+        given.select("url", "html", F.lit(tables.FETCHED).cast("timestamp").alias("fetched_at"), F.lit("jumia.ma").alias("site"))
+    )
+    return given.agg(F.count(F.lit(1)).alias("pages")).join(found.agg(F.count(F.lit(1)).alias("products")))
+
 
 LINK = "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"
 
@@ -652,6 +679,28 @@ register("sorted_products", f"WITH {CUR} SELECT {CUR_COLS} FROM cur")(
 )
 register("product_page", f"""WITH {CUR} SELECT {CUR_COLS}, (SELECT count(*) FROM cur) AS total FROM cur
   ORDER BY source, title, product_id LIMIT 20 OFFSET 10""")(lambda s, f: sv.page_with_total(current(s, f), 20, 10))
+ORDERS = {"price_asc": "price ASC", "price_desc": "price DESC", "rating_desc": "rating DESC", "title_asc": "title ASC"}
+
+
+@register(
+    "sorted_products",
+    f"WITH {CUR}" + " UNION ALL ".join(
+        f" SELECT '{key}' AS sort_key, product_id, row_number() OVER (ORDER BY {order} NULLS LAST, product_id) AS position FROM cur" for key, order in ORDERS.items()
+    ),
+)
+def sorted_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of every product in each of the four orders, read off the sorted rows as they come."""
+    rows = stash(current(spark, sf), "current")
+    in_order = Window.orderBy("_at")
+    parts = [
+        sv.sort_products(rows, key).select("product_id", F.monotonically_increasing_id().alias("_at")).select(
+            F.lit(key).alias("sort_key"), "product_id", F.row_number().over(in_order).cast("long").alias("position")
+        )
+        for key in ORDERS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 register("product_lookup", f"WITH {CUR} SELECT {CUR_COLS} FROM cur WHERE product_id = 'p8'")(
     lambda s, f: sv.get_product(current(s, f), "p8")
 )
@@ -1213,6 +1262,31 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.json(path).select("rows", "passed", "failed", "score_pct", F.size("checks").cast("long").alias("checks"))
 
 
+@register("non_empty_gate", f"WITH {STG} SELECT count(*) AS rows, true AS empty_refused FROM stg")
+def non_empty_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows pass the gate, none do not."""
+    rows = staged(spark, sf)
+    try:
+        files.assert_non_empty(rows.where(F.col("price") < 0))
+        refused = False
+    except ValueError:
+        refused = True
+    return files.assert_non_empty(rows).agg(F.count(F.lit(1)).alias("rows")).withColumn("empty_refused", F.lit(refused))
+
+
+@register("quality_gate", f"""WITH c AS ({CHECKS}) SELECT string_agg("check", '; ' ORDER BY "check") AS failed, bool_and(passed) AS goes_on FROM c WHERE NOT passed""")
+def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate names the checks that failed, and lets the others go on."""
+    found = stash(checks(spark, sf), "checks")
+    try:
+        q.fail_on_error(found)
+        failed = None
+    except q.QualityError as err:
+        failed = "; ".join(sorted(str(err).split("; ")))
+    passing = q.fail_on_error(found.where("passed")).agg(F.count(F.lit(1)).alias("n"))
+    return passing.select(F.lit(failed).cast("string").alias("failed"), F.lit(None if failed is None else False).cast("boolean").alias("goes_on"))
+
+
 # --------------------------------------------------------------------------- streaming
 
 def texts(spark: SparkSession, sf: str, base: str) -> DataFrame:
