@@ -1175,6 +1175,51 @@ def stat_tables(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Report table -> the query that has its values row by row, and the columns that are summed here.
+REPORT_VALUES = {
+    "central": ("central_tendency", "n mean median mode geometric_mean"),
+    "dispersion": ("dispersion", "std variance q25 q75 iqr range_ cv_pct"),
+    "shape": ("shape", "n skewness kurtosis"),
+    "category_summary": ("category_summary", "n mean median std q25 q75"),
+    "daily_volume": ("daily_volume", "records"),
+    "volatility": ("change_volatility", "mean_chg std_chg pct_drops pct_spikes"),
+    "outliers": ("outlier_summary", "n iqr_outliers z_outliers lower_fence upper_fence"),
+    "full_summary": ("full_summary", "count mean median std min max q25 q75 skewness"),
+    "levene": ("levene", "f_stat"),
+    "welch": ("welch_t", "mean_a mean_b mean_diff t_stat p_value"),
+    "mann_whitney": ("mann_whitney", "median_a median_b u_stat p_value effect_r"),
+    "anova": ("anova", "f_stat eta_sq"),
+    "kruskal": ("kruskal", "h_stat epsilon_sq"),
+    "confidence": ("confidence_interval", "n mean se ci_lower ci_upper"),
+    "rating_regression": ("rating_regression", "slope intercept r2"),
+    "time_regression": ("trend", "slope_per_day r2"),
+    "log_price_model": ("log_price_model", "coef se n"),
+    "power": ("power_adequacy", "n required_n"),
+    "effects": ("cohens_d", "cohen_d"),
+}
+
+
+@register(
+    "stat_table_values",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, '{x}' AS metric, {rnd(f'sum({chr(34)}{x}{chr(34)})::DOUBLE', 3)} AS value FROM ({ORACLES[query]})"
+        for name, (query, columns) in REPORT_VALUES.items()
+        for x in columns.split()
+    ),
+)
+def stat_table_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The sum of every number in the report tables, as they were written and read back."""
+    rows, base = stash(positive(spark, sf), "rows"), fresh_dir(spark, "stats")
+    built = {**reports.descriptive_report(rows, tables.EVENT_TIE), **reports.inferential_report(rows)}
+    files.write_stat_tables({name: built[name] for name in REPORT_VALUES}, base, "2024-01-30")
+    parts = []
+    for name, (_, columns) in REPORT_VALUES.items():
+        sums = [F.struct(F.lit(x).alias("metric"), F.round(F.sum(x).cast("double"), 3).alias("value")) for x in columns.split()]
+        table = files.read_mart(spark, f"{base}/{name}").agg(F.array(*sums).alias("m"))
+        parts.append(table.select(F.lit(name).alias("name"), F.inline("m")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --------------------------------------------------------------------------- data quality
 
 NOW = "2024-01-25 00:00:00"
