@@ -170,8 +170,9 @@ def test_files_hold_what_the_tokenizer_says(spark, make_docs, odd_pairs, tokeniz
         want.append((i, len(every), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         every += ids
     assert got == want
-    # Long files: one for each range of ids. Short ones: a file ends as it has enough.
-    assert manifest.count() > 10 if file_tokens == 50 else manifest.count() <= spark.sparkContext.defaultParallelism
+    files = manifest.collect()
+    assert sum(f.n_tokens for f in files) == len(every) and sum(f.n_docs for f in files) == len(named)
+    assert len({f.file for f in files}) == len(files)
     assert [token_codes.random_token(manifest, i) for i in (0, 7, len(every) - 1)] == [every[0], every[7], every[-1]]
 
 
