@@ -73,6 +73,18 @@ def test_null_labels_and_values(spark):
         assert got == {None: 2.0, "a": 5.0}
 
 
+def test_quantiles_of_many_groups_copy_no_group(spark):
+    """Small groups take no bucket, large ones do, null labels are a group, and no row is copied over salts."""
+    rows = spark.range(0, 120_300).select(
+        F.when(F.col("id") < 120_000, F.col("id").cast("string")).when(F.col("id") < 120_200, "hot").alias("g"),
+        (F.col("id") * 7 % 120_300).cast("double").alias("v"),
+    )
+    got = quantiles(rows, ["g"], "v", {"m": 0.5, "top": 0.9}, few=1000, per_bucket=500)
+    assert "_salt" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = rows.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m"), F.percentile("v", F.lit(0.9)).alias("top"))
+    assert got.count() == 120_002 and got.exceptAll(want).isEmpty()
+
+
 @pytest.mark.parametrize("few", [10**6, 0])
 def test_mid_ranks(prices, few):
     df, rows = prices

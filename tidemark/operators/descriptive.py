@@ -22,6 +22,7 @@ from tidemark.operators.distribution import (
 )
 from tidemark.operators.history import lag_price
 from tidemark.operators.small import attach, collect_small, localize
+from tidemark.session import stash
 
 OVERALL = "★ OVERALL"
 QUARTILES = {"q25": 0.25, "q75": 0.75}
@@ -144,7 +145,8 @@ def wide_blocks(cells: DataFrame, row: str, col: str, value: str, width: int = 1
 def median_blocks(df: DataFrame, row: str = "source", col: str = "category", value: str = "price", width: int = 1000) -> DataFrame:
     """``median_pivot`` for more labels than a pivot takes."""
     medians = quantiles(df, [row, col], value, MEDIAN).withColumn("median", F.round("median", 2))
-    return wide_blocks(medians, row, col, "median", width)
+    # Written once: the labels are counted before the blocks are built.
+    return wide_blocks(stash(medians, "medians"), row, col, "median", width)
 
 
 def daily_average(df: DataFrame, digits: int = 2) -> DataFrame:

@@ -4,7 +4,8 @@ The rows are read once and reduced to counts of distinct values, which are writt
 All else works on these counts. When there are few of them, the built-in ``percentile`` or one window is
 enough. Otherwise the value range is cut into buckets with about the same number of distinct values;
 only bucket totals travel to the driver, and each bucket is sorted by itself. A value that a third of
-all rows share is one counted row, so it cannot make a bucket large.
+all rows share is one counted row, so it cannot make a bucket large. Buckets serve the groups that need them:
+a group of few counts is one row of ``percentile``, however many such groups there are.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import any_of
-from tidemark.operators.small import attach, localize
+from tidemark.operators.small import attach, collect_small, localize
 from tidemark.session import stash
 
 FEW_COUNTS = 1_000_000
 COUNTS_PER_BUCKET = 200_000
+SMALL_GROUPS_PER_BUCKET = 10
 
 
 def value_counts(df: DataFrame, by: list[str], col: str) -> DataFrame:
@@ -62,13 +64,17 @@ class Counted:
         """Linearly interpolated quantiles by group, one column per entry of ``probs``."""
         by = self.by if by is None else by
         if not self.cuts:
-            return self.table.groupBy(*by).agg(
-                *[F.percentile(self.col, F.lit(p), F.col("n")).alias(name) for name, p in probs.items()]
-            )
+            return _percentiles(self.table, by, self.col, probs)
         counts = self.table
         if by != self.by:
             counts = counts.groupBy(*by, self.col).agg(F.sum("n").alias("n"))
-        return _selected_quantiles(self.bucketed(counts), by, self.col, probs)
+        most = min(self.few, self.per_bucket // SMALL_GROUPS_PER_BUCKET)
+        if not by or not most:
+            return _selected_quantiles(self.bucketed(counts), by, self.col, probs)
+        large = localize(_large_groups(counts, by, most, self.size))
+        keyed = counts.withColumn("_g", F.struct(*by))
+        selected = _selected_quantiles(self.bucketed(keyed.join(large, "_g", "left_semi").drop("_g")), by, self.col, probs)
+        return _percentiles(keyed.join(large, "_g", "left_anti"), by, self.col, probs).unionByName(selected)
 
     def offsets(self, by: str | None = None) -> dict:
         """Rows before each bucket, overall or for every value of ``by`` (at most buckets x groups)."""
@@ -162,6 +168,21 @@ def _beside(left: DataFrame, right: DataFrame, by: list[str], names: list[str])
     return left.join(renamed, same, "left").select(*left.columns, *names)
 
 
+def _percentiles(counts: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
+    return counts.groupBy(*by).agg(*[F.percentile(col, F.lit(p), F.col("n")).alias(name) for name, p in probs.items()])
+
+
+def _large_groups(counts: DataFrame, by: list[str], most: int, size: int) -> DataFrame:
+    """Groups (``_g``) of more than ``most`` counts: ``size / most`` at the most.
+
+    Counts are first added up in slots by a hash of the group, so that only groups of a crowded slot are counted one by one.
+    """
+    slot = F.pmod(F.xxhash64(*by), F.lit(4 * size // most + 1))
+    crowded = localize(counts.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > most).select("_slot"))
+    rows = counts.withColumn("_slot", slot).join(crowded, "_slot", "left_semi")
+    return rows.groupBy(F.struct(*by).alias("_g")).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > most).select("_g")
+
+
 def _selected_quantiles(counts: DataFrame, by: list[str], col: str, probs: dict[str, float]) -> DataFrame:
     """Find the buckets that hold the wanted ranks, then sort only those."""
     # As fields of a struct, null labels join like any other.
@@ -181,7 +202,9 @@ def _selected_quantiles(counts: DataFrame, by: list[str], col: str, probs: dict[
         ]
     )
     chosen = spans.where(wanted).select("_g", "bucket", "before", "total")
-    kept = attach(rows, chosen, ["_g", "bucket"], how="inner")
+    # The counts of one group in one bucket are few, so a join by both needs no salt.
+    few = collect_small(chosen)
+    kept = rows.join(chosen if few is None else F.broadcast(few), ["_g", "bucket"])
     inside = Window.partitionBy("_g", "bucket").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
     placed = kept.withColumn("end", F.col("before") + F.sum("n").over(inside)).withColumn(
         "start", F.col("end") - F.col("n")
