@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import staging as st
-from tidemark.session import checkpoint_root, fresh_dir
+from tidemark.session import checkpoint_root, fresh_dir, settings
 from tidemark.sources import files, kafka, widerow
 from tidemark.streaming import ingest, live
 
@@ -188,6 +188,16 @@ def test_replays_are_found_in_state_that_costs_the_batch_only(spark, tmp_path):
     assert batches[-1].numRowsTotal == 500
 
 
+def test_rejects_are_parsed_once(spark, tmp_path):
+    """The rules see the parsed record, not one parse each; state has no more partitions than the cores can use."""
+    lines(tmp_path / "in", "1.jsonl", record(), record(price=-1.0), record(price=" 7.5\u2028"), record(price="0x1p3"), '{"cut')
+    refused = ingest.rejected_records(ingest.prepare(spark.read.text(str(tmp_path / "in"))))
+    assert refused._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert sorted(r.reject_reason for r in refused.collect()) == ["corrupt record", "negative price", "price not numeric"]
+    with settings(spark, {"spark.sql.shuffle.partitions": "5000"}):
+        assert int(ingest.state_settings(spark)["spark.sql.shuffle.partitions"]) <= max(16, 2 * spark.sparkContext.defaultParallelism)
+
+
 def test_counters(spark, tmp_path):
     lines(tmp_path / "in", "1.jsonl", record(), record(price=-1.0), record(product_id="p2"))
     counters = ingest.IngestCounters()

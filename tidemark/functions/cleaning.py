@@ -39,8 +39,9 @@ def strip(c: Column | str) -> Column:
 
 def to_number(c: Column | str) -> Column:
     """Numeric value, null where the text is no plain number: a type suffix or a hexadecimal form is none."""
-    text = strip(_col(c).cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    raw = _col(c).cast("string")
+    # Most texts have nothing to strip, which costs more than to see that.
+    return F.coalesce(*[F.when(text.rlike(NUMBER), text.try_cast("double")) for text in (raw, strip(raw))])
 
 
 def to_utc(c: Column | str) -> Column:

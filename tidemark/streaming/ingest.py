@@ -75,8 +75,8 @@ def first_of_each(valid: DataFrame) -> DataFrame:
     return valid.dropDuplicates(RECORD_KEY)
 
 
-#: The keys of all records live in RocksDB on the executors' disks, dealt over the shuffle partitions the stream began
-#: with; a batch looks up and adds its own keys, and its checkpoint is the change it made. Nothing of earlier batches is
+#: The keys of all records live in RocksDB on the executors' disks, dealt over the partitions the stream began
+#: with (see ``state_settings``); a batch looks up and adds its own keys, and its checkpoint is the change it made. Nothing of earlier batches is
 #: listed or read again, but by a task that takes over a partition from a lost executor.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -85,8 +85,16 @@ STATE = {
 COUNTERS = "batch long, received long, written long"
 
 
+def state_settings(spark: SparkSession) -> dict[str, str]:
+    """STATE, and two partitions for each core: a batch opens, commits and writes files of every partition, so idle ones cost."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {**STATE, "spark.sql.shuffle.partitions": str(min(most, max(16, 2 * spark.sparkContext.defaultParallelism)))}
+
+
 def rejected_records(prepared: DataFrame) -> DataFrame:
-    return prepared.where(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
+    # Records are parsed once: without the count in between, the filter is moved below the parsing and repeats it for each rule.
+    counted = prepared.observe("refused", F.count_if(F.col("reject_reason").isNotNull()).alias("n"))
+    return counted.where(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
 
 
 def observed(prepared: DataFrame, name: str = "ingest") -> DataFrame:
@@ -223,7 +231,7 @@ def start_valid(valid: DataFrame, sinks: list[Sink], checkpoint: str, available_
     once = first_of_each(received).observe("written", F.count(F.lit(1)).alias("n")).drop(*RECORD_KEY)
     log = CounterLog(spark, f"{checkpoint}/counters", name)
     spark.streams.addListener(log)
-    with settings(spark, STATE):
+    with settings(spark, state_settings(spark)):
         query = start_batches(once, fan_out(sinks, f"{checkpoint}/failed"), checkpoint, available_now, name)
     query.counter_log = log
     return query
