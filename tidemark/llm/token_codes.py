@@ -17,15 +17,17 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from string import ascii_letters, punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ready, written
-from tidemark.llm.words import text_slices
+from tidemark.llm.words import WHITE, text_slices
 from tidemark.session import fresh_dir
 
 MAGIC = b"DAC1"
@@ -34,10 +36,13 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Tokens after which a task begins another file (a longer document still lies in one).
 FILE_TOKENS = 4 << 20
-#: Distinct words whose ids a worker remembers.
-KNOWN_WORDS = 1_000_000
+#: Distinct words whose ids a worker remembers, and the bytes of the longest of them.
+KNOWN_WORDS = 300_000
+LONG_WORD = 64
 #: Bytes of text encoded at a time.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
+#: ASCII punctuation and letters.
+MARK, LETTER = (np.isin(np.arange(256), list(chars.encode())) for chars in (punctuation, ascii_letters))
 
 MANIFEST = "file string, first_doc long, n_docs long, n_tokens long"
 
@@ -46,11 +51,11 @@ MANIFEST = "file string, first_doc long, n_docs long, n_tokens long"
 
 
 def encode_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(chunks, bitmap, rank directory) of each level for non-negative ids."""
-    rest, levels = ids.astype(np.uint64), []
+    """(chunks, bitmap, rank directory) of each level for ids of 32 bits."""
+    rest, levels = ids.astype(np.uint32, copy=False), []
     while True:
-        chunks = (rest & np.uint64(0xFF)).astype(np.uint8)
-        rest = rest >> np.uint64(8)
+        chunks = rest.astype(np.uint8)
+        rest = rest >> np.uint32(8)
         more = rest > 0
         bits = np.packbits(more, bitorder="little")
         ranks = np.concatenate([[0], np.cumsum(np.add.reduceat(more, np.arange(0, len(more), RANK_BLOCK)))]) if len(more) else np.zeros(1)
@@ -62,13 +67,13 @@ def encode_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 def decode_levels(levels: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """All ids from (chunks, bitmap) of each level."""
-    ids = np.zeros(0, np.uint64)
+    ids = np.zeros(0, np.uint32)
     for chunks, bits in reversed(levels):
-        more = np.unpackbits(bits, count=len(chunks), bitorder="little").astype(bool)
-        own = chunks.astype(np.uint64)
-        own[more] |= ids << np.uint64(8)
+        more = np.unpackbits(bits, count=len(chunks), bitorder="little").view(bool)
+        own = chunks.astype(np.uint32)
+        own[more] |= ids << np.uint32(8)
         ids = own
-    return ids.astype(np.uint32)
+    return ids
 
 
 def file_bytes(doc_ids: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -135,13 +140,20 @@ class WordEncoder:
     """Ids of texts by a tokenizer that never joins characters across ASCII white space.
 
     Each distinct word of a slice is encoded once and remembered; the ids of a text are those of its words in
-    turn. New words are encoded many at a time with a word of one control character between them, whose id no
-    other text has, so that the ids fall apart again. Beyond ``known_words`` those seen once are forgotten.
+    turn. New words are encoded many at a time. One of letters alone is nearly always one piece, and the last token of a
+    piece alone has the suffix of word ends: such words stand with a space between them, and their ids fall apart at
+    the ends. Groups with more ends than words, and words of other characters, get a word of one control
+    character between them, whose id no other text has.
+
+    Words and ids are held in Arrow and numpy arrays. Of more than ``known_words`` the half seen most often is kept, and
+    words of more than ``LONG_WORD`` bytes are not remembered, so that what a worker holds is bounded for all texts.
     ``tests`` hold this against the tokenizer applied to whole texts.
     """
 
-    BETWEEN = b"\x01"
+    BETWEEN = "\x01"
     AT_A_TIME = 400
+    #: A tokenizer with these pieces tells a mark from the ASCII letter before it, whatever stands around.
+    PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
     def __init__(self, tokenizer_json: str, known_words: int = KNOWN_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -149,61 +161,95 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known_words = known_words
-        between = self.tokenizer.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
+        between = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
-        self._remember([], np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        self.cuts_marks = json.dumps(self.PIECES) in json.dumps(json.loads(tokenizer_json)["pre_tokenizer"])
+        self.last = self._word_ends(getattr(self.tokenizer.model, "end_of_word_suffix", None))
+        self.words = pa.array([], pa.binary())
+        self.first = np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self.seen = np.zeros(0, np.int64)
+
+    def _word_ends(self, suffix: str | None) -> np.ndarray | None:
+        """Whether each id ends a piece; None unless every byte may end one, so that no piece is without an end."""
+        vocab = self.tokenizer.get_vocab()
+        if not suffix or sum(len(t) == len(suffix) + 1 and t.endswith(suffix) for t in vocab) != 256:
+            return None
+        last = np.zeros(max(vocab.values()) + 1, bool)
+        last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        return last
+
+    def _batches(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """(words, their ids) for so many words at a time, each with ``between`` behind it."""
+        groups = [words[i : i + self.AT_A_TIME] for i in range(0, len(words), self.AT_A_TIME)]
+        texts = [between.join(group) + between for group in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            yield group, np.array(e.ids, np.uint32)
 
-    def _remember(self, words: list[bytes], counts: np.ndarray, flat: np.ndarray, seen: np.ndarray) -> None:
-        self.place = dict(zip(words, range(len(words)), strict=True))
-        self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        self.flat = flat
-        self.seen = seen
+    def _apart(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of words in turn, number of ids of each) for runs of words of any kind."""
+        if self.between is None or any(self.BETWEEN in w for w in words):
+            ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            yield np.fromiter((i for x in ids for i in x), np.uint32), np.array([len(x) for x in ids], np.int64)
+            return
+        for _, flat in self._batches(words, f" {self.BETWEEN} "):
+            marks = np.flatnonzero(flat == self.between)
+            yield np.delete(flat, marks), np.diff(marks, prepend=-1) - 1
+
+    def _joined(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for words of letters alone, which are one piece or more."""
+        for group, flat in self._batches(words, " "):
+            ends = np.flatnonzero(self.last[flat])
+            if len(ends) == len(group):
+                yield flat, np.diff(ends, prepend=-1)
+            else:
+                yield from self._apart(group)
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Remember words; the order in which they were taken."""
+        texts = [w.decode("utf-8", "replace") for w in new.to_pylist()]
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts)) & (self.last is not None)
+        joined, apart = np.flatnonzero(plain), np.flatnonzero(~plain)
+        parts = [*self._joined([texts[i] for i in joined]), *self._apart([texts[i] for i in apart])]
+        order = np.concatenate([joined, apart])
+        self.words = pa.concat_arrays([self.words, new.take(pa.array(order))])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([n for _, n in parts]))])
+        self.flat = np.concatenate([self.flat, *[ids for ids, _ in parts]])
+        self.seen = np.concatenate([self.seen, np.zeros(len(order), np.int64)])
+        return order
 
     def _forget(self) -> None:
-        keep = np.flatnonzero(self.seen > 1)
-        if len(keep) > self.known_words // 2:
-            keep = keep[:0]
-        words = list(self.place)
+        """Keep the short words, and of too many the half seen most often."""
         counts = np.diff(self.first)
-        inside = np.repeat(np.isin(np.arange(len(counts)), keep), counts)
-        self._remember([words[i] for i in keep], counts[keep], self.flat[inside], np.zeros(len(keep), np.int64))
-
-    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in turn, number of ids of each), each word encoded by itself or among others."""
-        if self.between is None or any(self.BETWEEN in w for w in words):
-            ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-            return np.fromiter((i for x in ids for i in x), np.uint32), np.array([len(x) for x in ids], np.int64)
-        mark = b" " + self.BETWEEN + b" "
-        groups = [words[i : i + self.AT_A_TIME] for i in range(0, len(words), self.AT_A_TIME)]
-        texts = [(mark.join(g) + mark).decode("utf-8", "replace") for g in groups]
-        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-        marks = np.flatnonzero(flat == self.between)
-        return np.delete(flat, marks), np.diff(np.concatenate([[-1], marks])) - 1
-
-    def _learn(self, words: set[bytes]) -> None:
-        new = list(words)
-        ids, counts = self._ids(new)
-        known = len(self.place)
-        self.place.update(zip(new, range(known, known + len(new)), strict=True))
-        self.first = np.concatenate([self.first, np.cumsum(counts) + self.first[-1]])
-        self.flat = np.concatenate([self.flat, ids])
-        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in turn, number of ids of each word)."""
-        distinct = set(words)
-        new = distinct.difference(self.place)
-        if new:
-            if len(self.place) + len(new) > self.known_words:
-                self._forget()
-                new = distinct.difference(self.place)
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        self.seen += np.bincount(at, minlength=len(self.seen))
-        counts = self.first[at + 1] - self.first[at]
+        inside = pc.less_equal(pc.binary_length(self.words), LONG_WORD).to_numpy(zero_copy_only=False)
+        if inside.sum() > self.known_words:
+            order = np.argsort(np.where(inside, -self.seen, 1), kind="stable")
+            inside[order[self.known_words // 2 :]] = False
+            self.seen //= 2
+        if not inside.all():
+            self.words = self.words.filter(pa.array(inside))
+            self.flat = self.flat[np.repeat(inside, counts)]
+            self.first = np.concatenate([[0], np.cumsum(counts[inside])])
+            self.seen = self.seen[inside]
+
+    def encode(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in turn, number of ids of each word). ``words``: a list of bytes or an Arrow array of them."""
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        distinct, at = coded.dictionary, coded.indices.to_numpy()
+        place = pc.fill_null(pc.index_in(distinct, self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            known = len(self.words)
+            place[new[self._learn(distinct.take(pa.array(new)))]] = known + np.arange(len(new))
+        self.seen[place] += np.bincount(at, minlength=len(distinct))
+        first = self.first[place]
+        counts = (self.first[place + 1] - first)[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(total)], counts
+        ids = self.flat[np.repeat(first[at] - (ends - counts), counts) + np.arange(total)]
+        if len(new):
+            self._forget()
+        return ids, counts
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -220,19 +266,34 @@ def worker_encoder(tokenizer_json: str) -> WordEncoder:
 
 def encode_texts(encoder: WordEncoder, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, each closed by ``end_id``; number of ids of each text)."""
-    raw = data.tobytes()
-    words, sizes = [], []
+    raw, texts, whole = data.tobytes(), [], []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
         text = raw[a:b]
         # The tokenizer lower-cases anyway; for plain ASCII the order of its steps does not matter, and there are fewer
         # distinct words. Its special tokens are told by case, so texts that may hold one stay as they are.
-        own = (text.lower() if text.isascii() and b"<|" not in text else text).split()
-        words += own
-        sizes.append(len(own))
-    ids, counts = encoder.encode(words)
+        if b"<|" in text:
+            whole.append((a, b))
+        elif text.isascii():
+            text = text.lower()
+        texts.append(text)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    inside = ~WHITE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    if encoder.cuts_marks:
+        marks = MARK[data]
+        marks[1:] &= LETTER[data[:-1]]
+        for a, b in whole:
+            marks[a:b] = False
+        begins |= marks
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    sizes = np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+    kept = data[inside]
+    bounds = np.append(np.flatnonzero(begins[inside]), len(kept)).astype(np.int32)
+    ids, counts = encoder.encode(pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(kept)]))
     ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
-    lengths = np.diff(np.concatenate([[0], ends]))
-    return np.insert(ids, ends, end_id).astype(np.uint32), lengths + 1
+    return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 
 
 # ------------------------------------------------------------------ Spark jobs
@@ -243,6 +304,19 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of some batches at a time, of about ``TEXT_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= TEXT_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_batches(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_json: str, end_id: int, file_tokens: int) -> Iterator[pa.RecordBatch]:
     """Write files for rows of doc_id, text in their order; rows of MANIFEST for the files.
 
@@ -264,8 +338,8 @@ def write_batches(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_json
         row = [f"{folder.rstrip('/')}/{path.rsplit('/', 1)[1]}", int(names[0]), len(names), int(starts[-1])]
         return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["file", "first_doc", "n_docs", "n_tokens"])
 
-    for batch in batches:
-        keys = np.asarray(batch.column(0).to_pylist(), np.int64)
+    for batch in together(batches):
+        keys = batch.column(0).to_numpy()
         for a, b, data, offsets in text_slices(batch.column(1), TEXT_BYTES):
             part, lengths = encode_texts(encoder, data, offsets, end_id)
             docs.append(keys[a:b])
@@ -312,7 +386,7 @@ def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with system.open_input_file(place) as source:
                 opened = TokenFile(source)
                 doc_ids, starts = opened.documents()
-                raw = opened.tokens().astype("<u4")
+                raw = opened.tokens().astype("<u4", copy=False)
             crcs = [zlib.crc32(raw[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids), pa.array(starts[:-1] + base), pa.array(np.diff(starts)), pa.array(crcs, pa.int64())],
